@@ -8,9 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import clean as C
+from ..functions.columns import normalize_columns, resolve_alias, ALIASES
+from ..operators import quality as Q
+from ..sources.tables import Tables
+from ..sources.testbed import raw_entities
+from . import dq_report
 from .lakehouse import Lakehouse
+from .silver import ENTITIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,5 +49,190 @@ GOLD = [
 QUERIES: dict[str, Query] = {name: _gold(name) for name in GOLD}
 
 
+def _raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    return normalize_columns(raw_entities(Tables(spark, sf_dir))[entity])
+
+
+def _split(entity: str, side: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lh = Lakehouse.from_testbed(spark, sf_dir)
+        return lh.clean(entity) if side == "clean" else lh.quarantine(entity)
+
+    run.__name__ = f"{side}_{entity}"
+    return run
+
+
+for _e in ENTITIES:
+    QUERIES[f"clean_{_e}"] = _split(_e, "clean")
+    QUERIES[f"quarantine_{_e}"] = _split(_e, "quarantine")
+
+
+def scan_orders_header(spark, sf_dir):
+    """Batch read of a Bronze-shaped table with its headers normalized."""
+    return _raw(spark, sf_dir, "orders")
+
+
+def normalize_customers(spark, sf_dir):
+    """Regional header spellings snake-cased."""
+    return _raw(spark, sf_dir, "customers")
+
+
+def harmonize_alias(spark, sf_dir):
+    """Alias resolution per row vs the first-existing-column rule."""
+    df = _raw(spark, sf_dir, "customers")
+    spec = ALIASES["customers"]
+    return df.select(
+        resolve_alias(df, spec["customer_id"]).alias("customer_id"),
+        resolve_alias(df, spec["customer_id"], "first_column").alias("customer_id_first_column"),
+        resolve_alias(df, spec["customer_email"]).alias("customer_email"),
+        resolve_alias(df, spec["customer_name"]).alias("customer_name"),
+    )
+
+
+def segment_rule(spark, sf_dir):
+    """Segment code → label and the IN-list rule, counted per raw value (Q1, P10)."""
+    df = _raw(spark, sf_dir, "customers")
+    seg = C.segment_label(F.col("segment"))
+    return df.groupBy(
+        F.col("segment").alias("segment_raw"),
+        seg.alias("segment"),
+        F.coalesce(seg.isin(*C.VALID_SEGMENTS), F.lit(False)).alias("segment_ok"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def ship_mode_norm(spark, sf_dir):
+    df = _raw(spark, sf_dir, "orders")
+    return df.groupBy(F.col("ship_mode").alias("ship_mode_raw"), C.ship_mode_label(F.col("ship_mode")).alias("ship_mode")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def return_status_norm(spark, sf_dir):
+    df = _raw(spark, sf_dir, "returns")
+    up = F.upper(resolve_alias(df, ALIASES["returns"]["return_status"]))
+    return df.groupBy(
+        F.col("status").alias("status_text"), up.alias("return_status_raw"), C.return_status_label(up).alias("return_status")
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+def discount_percent(spark, sf_dir):
+    """Percent-aware discount parse next to the as-written parity rule."""
+    df = _raw(spark, sf_dir, "transactions")
+    return df.select(
+        F.col("order_id"),
+        F.col("productid").alias("product_id"),
+        F.col("discount").alias("discount_text"),
+        C.percent_to_fraction(F.col("discount")).alias("discount"),
+        C.percent_to_fraction(F.col("discount"), "as_written").alias("discount_as_written"),
+    )
+
+
+def refund_clean(spark, sf_dir):
+    """Currency text → amount; unparseable → NULL (Q5)."""
+    df = _raw(spark, sf_dir, "returns")
+    amt = C.currency_to_double(F.col("amount"))
+    return df.select(
+        F.col("orderid").alias("order_id"),
+        F.col("amount").contains("$").alias("had_symbol"),
+        amt.alias("refund_amount"),
+    )
+
+
+def order_date_parse(spark, sf_dir):
+    df = _raw(spark, sf_dir, "orders")
+    return df.select(
+        "order_id",
+        F.col("order_purchase_date").alias("order_purchase_date_text"),
+        C.parse_timestamp(F.col("order_purchase_date")).alias("order_purchase_date"),
+    )
+
+
+def return_date_parse(spark, sf_dir):
+    df = _raw(spark, sf_dir, "returns")
+    return df.select(
+        F.col("orderid").alias("order_id"),
+        F.col("return_date").alias("return_date_text"),
+        C.parse_date(F.col("return_date")).alias("return_date"),
+    )
+
+
+def upc_digits(spark, sf_dir):
+    df = _raw(spark, sf_dir, "products")
+    return df.select(F.col("productid").alias("product_id"), F.col("upc").alias("upc_text"), C.upc_digits(F.col("upc")).alias("upc"))
+
+
+def vendor_initcap(spark, sf_dir):
+    df = _raw(spark, sf_dir, "vendors")
+    return df.select(
+        F.col("vendorid").alias("vendor_id"), F.col("vendor_name").alias("vendor_name_raw"), C.title_case(F.col("vendor_name")).alias("vendor_name")
+    )
+
+
+def orders_region_freeze(spark, sf_dir):
+    """Region frozen on the order by the left join to clean customers."""
+    b = Lakehouse.from_testbed(spark, sf_dir).orders_base
+    return b.select("order_id", "customer_id", "region", "_dq_region", "_is_valid", "_dq_reason")
+
+
+def split_accounting(spark, sf_dir):
+    """Input = clean + quarantine for all six entities (Q17 invariant)."""
+    lh = Lakehouse.from_testbed(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [Q.split_accounting(lh.base(e), e) for e in ENTITIES])
+
+
+def _quarantines(spark, sf_dir):
+    lh = Lakehouse.from_testbed(spark, sf_dir)
+    return {e: lh.quarantine(e) for e in ENTITIES}
+
+
+def dq_unpivot(spark, sf_dir):
+    """One row per (customer, check)."""
+    b = Lakehouse.from_testbed(spark, sf_dir).customers_base
+    return Q.dq_unpivot(b, ["customer_id", "_dq_reason"])
+
+
+def dq_failure_counts(spark, sf_dir):
+    return dq_report.failure_report(_quarantines(spark, sf_dir))
+
+
+def dq_prompts(spark, sf_dir):
+    return dq_report.dq_prompts(dq_report.failure_report(_quarantines(spark, sf_dir)))
+
+
+def parse_reply(spark, sf_dir):
+    """Replies for every failure row parsed back to ``business_impact`` (M5)."""
+    return dq_report.explain(dq_report.failure_report(_quarantines(spark, sf_dir))).select(
+        "entity_name", "field_name", "issue_type", "reply", "business_impact"
+    )
+
+
+def dq_audit_report(spark, sf_dir):
+    return dq_report.audit_report(_quarantines(spark, sf_dir), stamp=False)
+
+
+for _f in (
+    scan_orders_header,
+    normalize_customers,
+    harmonize_alias,
+    segment_rule,
+    ship_mode_norm,
+    return_status_norm,
+    discount_percent,
+    refund_clean,
+    order_date_parse,
+    return_date_parse,
+    upc_digits,
+    vendor_initcap,
+    orders_region_freeze,
+    split_accounting,
+    dq_unpivot,
+    dq_failure_counts,
+    dq_prompts,
+    parse_reply,
+    dq_audit_report,
+):
+    QUERIES[_f.__name__] = _f
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

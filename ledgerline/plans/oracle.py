@@ -262,5 +262,115 @@ BODIES: dict[str, str] = {
 }
 
 
+ENTITY_FLAGS = {
+    "customers": ["_dq_id_ok", "_dq_email_ok", "_dq_segment_ok"],
+    "orders": ["_dq_order", "_dq_customer", "_dq_vendor", "_dq_region"],
+    "transactions": ["_dq_order", "_dq_product", "_dq_qty"],
+    "returns": ["_dq_order", "_dq_refund"],
+    "products": ["_dq_product"],
+    "vendors": ["_dq_vendor"],
+}
+
+for _e in ENTITY_FLAGS:
+    BODIES[f"clean_{_e}"] = f"SELECT * FROM {_e}_base WHERE _is_valid"
+    BODIES[f"quarantine_{_e}"] = f"SELECT * FROM {_e}_base WHERE NOT _is_valid"
+
+_FAILURES = " UNION ALL ".join(
+    f"SELECT '{f}' AS field_name, trim(lower(_dq_reason)) AS issue_type, count(*) AS failed_count, "
+    f"'{e}' AS entity_name FROM {e}_base WHERE NOT _is_valid AND NOT {f} GROUP BY _dq_reason"
+    for e, flags in ENTITY_FLAGS.items()
+    for f in flags
+)
+
+
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _failure_cte() -> str:
+    from .dq_report import IMPACT_TEMPLATE, PROMPT_TEMPLATE
+
+    impact = f"printf({_sql_text(IMPACT_TEMPLATE)}, failed_count, entity_name, field_name, issue_type)"
+    prompt = f"printf({_sql_text(PROMPT_TEMPLATE)}, entity_name, field_name, issue_type, failed_count)"
+    return (
+        f"(SELECT *, {prompt} AS prompt, {impact} AS business_impact, "
+        f"to_json(struct_pack(entity_name := entity_name, issue_type := issue_type, business_impact := {impact})) AS reply "
+        f"FROM ({_FAILURES}) f) x"
+    )
+
+
+BODIES.update(
+    {
+        "scan_orders_header": "SELECT * FROM orders_norm",
+        "normalize_customers": "SELECT * FROM customers_norm",
+        "harmonize_alias": """
+            SELECT coalesce(customer_id, cust_id) AS customer_id, customer_id AS customer_id_first_column,
+                   coalesce(customer_email, email_address) AS customer_email,
+                   coalesce(customer_name, full_name) AS customer_name
+            FROM customers_norm""",
+        "segment_rule": """
+            SELECT segment AS segment_raw, seg AS segment,
+                   coalesce(seg IN ('Consumer', 'Corporate', 'Home Office'), false) AS segment_ok, count(*) AS n
+            FROM (SELECT segment, CASE WHEN segment = 'CONS' THEN 'Consumer' ELSE segment END AS seg FROM customers_norm) s
+            GROUP BY segment, seg""",
+        "ship_mode_norm": """
+            SELECT ship_mode AS ship_mode_raw,
+                   CASE WHEN ship_mode IN ('1st Class', 'First Class') THEN 'First Class' ELSE ship_mode END AS ship_mode,
+                   count(*) AS n
+            FROM orders_norm GROUP BY 1, 2""",
+        "return_status_norm": """
+            SELECT r.status AS status_text, f.return_status_raw, f.return_status, count(*) AS n
+            FROM (SELECT status, upper(status) AS u FROM returns_raw) r
+            JOIN (SELECT DISTINCT return_status_raw, return_status FROM returns_f) f ON r.u = f.return_status_raw
+            GROUP BY 1, 2, 3""",
+        "discount_percent": """
+            SELECT order_id, product_id, discount_text,
+                   CASE WHEN contains(discount_text, '%') THEN TRY_CAST(replace(discount_text, '%', '') AS DOUBLE) / 100.0
+                        ELSE TRY_CAST(discount_text AS DOUBLE) END AS discount,
+                   CASE WHEN discount_text LIKE '%' THEN TRY_CAST(replace(discount_text, '%', '') AS DOUBLE) / 100.0
+                        ELSE TRY_CAST(discount_text AS DOUBLE) END AS discount_as_written
+            FROM transactions_raw""",
+        "refund_clean": """
+            SELECT order_id, CASE WHEN refund_amount IS NOT NULL THEN refund_prefix = '$' END AS had_symbol, refund_amount
+            FROM returns_raw""",
+        "order_date_parse": """
+            SELECT order_id, order_purchase_date AS order_purchase_date_text,
+                   coalesce(try_strptime(order_purchase_date, '%m/%d/%Y %H:%M'),
+                            try_strptime(order_purchase_date, '%Y-%m-%d %H:%M')) AS order_purchase_date
+            FROM orders_norm""",
+        "return_date_parse": """
+            SELECT order_id, date_text AS return_date_text,
+                   CAST(coalesce(try_strptime(date_text, '%Y-%m-%d'), try_strptime(date_text, '%m/%d/%Y')) AS DATE) AS return_date
+            FROM returns_raw""",
+        "upc_digits": """
+            SELECT product_id, upc_text,
+                   CASE WHEN TRY_CAST(upc_text AS DOUBLE) IS NOT NULL THEN printf('%.0f', TRY_CAST(upc_text AS DOUBLE)) END AS upc
+            FROM products_raw""",
+        "vendor_initcap": "SELECT v.vendor_id, v.vendor_name_raw, b.vendor_name FROM vendors_raw v JOIN vendors_base b USING (vendor_id)",
+        "orders_region_freeze": "SELECT order_id, customer_id, region, _dq_region, _is_valid, _dq_reason FROM orders_base",
+        "split_accounting": " UNION ALL ".join(
+            f"SELECT '{e}' AS entity_name, count(*) AS input_rows, count(*) FILTER (WHERE _is_valid) AS clean_rows, "
+            f"count(*) FILTER (WHERE NOT _is_valid) AS quarantine_rows, count(*) FILTER (WHERE _is_valid IS NULL) AS unassigned_rows "
+            f"FROM {e}_base"
+            for e in ENTITY_FLAGS
+        ),
+        "dq_unpivot": " UNION ALL ".join(
+            f"SELECT customer_id, _dq_reason, '{f}' AS dq_field, {f} AS is_valid FROM customers_base" for f in ENTITY_FLAGS["customers"]
+        ),
+        "dq_failure_counts": _FAILURES,
+    }
+)
+
+
+def _late_bodies() -> dict[str, str]:
+    fx = _failure_cte()
+    return {
+        "dq_prompts": f"SELECT field_name, issue_type, failed_count, entity_name, prompt FROM {fx}",
+        "parse_reply": f"SELECT entity_name, field_name, issue_type, reply, business_impact FROM {fx}",
+        "dq_audit_report": f"SELECT entity_name, issue_type, field_name, failed_count, business_impact FROM {fx}",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
+    BODIES.update(_late_bodies())
     return {k: with_ctes(v) for k, v in BODIES.items()}
