@@ -18,7 +18,7 @@ from ..functions.columns import normalize_columns, resolve_alias, ALIASES
 from ..operators import quality as Q
 from ..sources.tables import Tables
 from ..sources.testbed import raw_entities
-from . import dq_report
+from . import dq_report, fraud, insights
 from .lakehouse import Lakehouse
 from .silver import ENTITIES
 
@@ -236,3 +236,76 @@ for _f in (
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
+
+
+# ---- UC2: return-abuse scoring --------------------------------------------
+def _scored(spark, sf_dir):
+    lh = Lakehouse.from_testbed(spark, sf_dir)
+    prof = fraud.customer_return_profile(fraud.return_profile(lh.fact_returns), fraud.sales_profile(lh.fact_transactions))
+    return fraud.anomaly_score(prof)
+
+
+def return_profile(spark, sf_dir):
+    return fraud.return_profile(Lakehouse.from_testbed(spark, sf_dir).fact_returns)
+
+
+def sales_profile(spark, sf_dir):
+    return fraud.sales_profile(Lakehouse.from_testbed(spark, sf_dir).fact_transactions)
+
+
+def customer_return_profile(spark, sf_dir):
+    lh = Lakehouse.from_testbed(spark, sf_dir)
+    return fraud.customer_return_profile(fraud.return_profile(lh.fact_returns), fraud.sales_profile(lh.fact_transactions))
+
+
+def anomaly_score(spark, sf_dir):
+    return _scored(spark, sf_dir)
+
+
+def fraud_prompts(spark, sf_dir):
+    return fraud.fraud_prompts(fraud.flagged(_scored(spark, sf_dir))).select("customer_id", "anomaly_score", "prompt")
+
+
+def flagged_return_customers(spark, sf_dir):
+    return fraud.flagged_return_customers(fraud.flagged(_scored(spark, sf_dir)), stamp=False)
+
+
+# ---- UC4: KPI views and insights ------------------------------------------
+def _kpi_views(spark, sf_dir):
+    lh = Lakehouse.from_testbed(spark, sf_dir)
+    return {
+        "revenue_performance": insights.kpi_revenue(lh.agg_monthly_revenue),
+        "vendor_return_rate": insights.kpi_vendor(lh.agg_vendor_performance),
+        "slow_moving_inventory": insights.kpi_slow_moving(lh.agg_slow_moving_products),
+    }
+
+
+def kpi_revenue(spark, sf_dir):
+    return _kpi_views(spark, sf_dir)["revenue_performance"]
+
+
+def kpi_vendor(spark, sf_dir):
+    return _kpi_views(spark, sf_dir)["vendor_return_rate"]
+
+
+def kpi_slow_moving(spark, sf_dir):
+    return _kpi_views(spark, sf_dir)["slow_moving_inventory"]
+
+
+def ai_insights_kpi(spark, sf_dir):
+    return insights.insights(_kpi_views(spark, sf_dir), stamp=False)
+
+
+for _f in (
+    return_profile,
+    sales_profile,
+    customer_return_profile,
+    anomaly_score,
+    fraud_prompts,
+    flagged_return_customers,
+    kpi_revenue,
+    kpi_vendor,
+    kpi_slow_moving,
+    ai_insights_kpi,
+):
+    QUERIES[_f.__name__] = _f

@@ -230,8 +230,60 @@ agg_vendor_performance AS (
     ON s.vendor_id = r.vendor_id
 ),
 agg_slow_moving_products AS (
-  SELECT product_id, region, sum(quantity) AS total_quantity_sold
+  SELECT product_id, region, CAST(sum(quantity) AS BIGINT) AS total_quantity_sold
   FROM fact_transactions GROUP BY product_id, region HAVING sum(quantity) < 10
+),
+return_profile AS (
+  SELECT customer_id, count(*) AS total_returns,
+    CAST(sum(CAST(refund_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_return_value,
+    max(date) AS latest_return_date,
+    count(*) FILTER (WHERE date >= CAST((SELECT max(date) FROM fact_returns) - INTERVAL 30 DAY AS DATE)) AS last_30_day_returns
+  FROM fact_returns GROUP BY customer_id
+),
+sales_profile AS (
+  SELECT customer_id, count(DISTINCT order_id) AS total_orders,
+    CAST(sum(CAST(sales_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_sales_value
+  FROM fact_transactions GROUP BY customer_id
+),
+customer_return_profile AS (
+  SELECT r.*, coalesce(s.total_orders, 0) AS total_orders, coalesce(s.total_sales_value, 0.0) AS total_sales_value,
+    r.total_returns / CASE WHEN coalesce(s.total_orders, 0) = 0 THEN 1 ELSE coalesce(s.total_orders, 0) END AS return_to_order_ratio
+  FROM return_profile r LEFT JOIN sales_profile s ON r.customer_id = s.customer_id
+),
+rule_points AS (
+  SELECT *,
+    CASE WHEN total_returns >= 5 THEN 25 ELSE 0 END AS rule_high_volume,
+    CASE WHEN total_return_value >= 25000 THEN 20 ELSE 0 END AS rule_high_value,
+    CASE WHEN return_to_order_ratio >= 0.5 THEN 25 ELSE 0 END AS rule_high_ratio,
+    CASE WHEN last_30_day_returns >= 3 THEN 20 ELSE 0 END AS rule_recent_spike,
+    CASE WHEN total_return_value > total_sales_value THEN 10 ELSE 0 END AS rule_refund_dominance
+  FROM customer_return_profile
+),
+anomaly_score AS (
+  SELECT *,
+    CAST(rule_high_volume + rule_high_value + rule_high_ratio + rule_recent_spike + rule_refund_dominance AS INTEGER) AS anomaly_score,
+    concat_ws(', ',
+      CASE WHEN rule_high_volume > 0 THEN 'High return volume' END,
+      CASE WHEN rule_high_value > 0 THEN 'High refund value' END,
+      CASE WHEN rule_high_ratio > 0 THEN 'High return-to-order ratio' END,
+      CASE WHEN rule_recent_spike > 0 THEN 'Recent return spike' END,
+      CASE WHEN rule_refund_dominance > 0 THEN 'Refunds exceed purchases' END) AS violated_rules
+  FROM rule_points
+),
+flagged AS (SELECT * FROM anomaly_score WHERE anomaly_score >= 40),
+kpi_revenue AS (
+  SELECT region, CAST(sum(CAST(total_sales AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
+    CAST(sum(order_count) AS BIGINT) AS total_orders
+  FROM agg_monthly_revenue GROUP BY region
+),
+kpi_vendor AS (
+  SELECT vendor_id, avg(return_rate) AS avg_return_rate, CAST(sum(total_returns) AS BIGINT) AS total_returns,
+    CAST(sum(total_orders) AS BIGINT) AS total_orders
+  FROM agg_vendor_performance GROUP BY vendor_id
+),
+kpi_slow_moving AS (
+  SELECT region, count(product_id) AS slow_product_count, CAST(sum(total_quantity_sold) AS BIGINT) AS total_quantity_sold
+  FROM agg_slow_moving_products GROUP BY region
 )
 """
 
@@ -362,9 +414,54 @@ BODIES.update(
 )
 
 
+def _kpi_sql(itype: str, view: str, key: str, fields: str) -> str:
+    from .insights import INSTRUCTIONS, PAGE_SIZE, SUMMARY_TEMPLATE
+
+    return f"""
+        SELECT '{itype}' AS insight_type, page, n_pages,
+               printf({_sql_text(SUMMARY_TEMPLATE)}, '{itype}', page + 1, n_pages, n_entries) AS summary,
+               kpi_data
+        FROM (
+          SELECT page, n_pages, CAST(count(*) AS INTEGER) AS n_entries,
+                 to_json(list(struct_pack({fields}) ORDER BY {key})) AS kpi_data
+          FROM (SELECT v.*, CAST(n.n_pages AS INTEGER) AS n_pages,
+                       CAST((('0x' || substr(md5(CAST(v.{key} AS VARCHAR)), 1, 8))::BIGINT) % n.n_pages AS INTEGER) AS page
+                FROM {view} v, (SELECT greatest(1, CAST(ceil(count(*) / {PAGE_SIZE}) AS BIGINT)) AS n_pages FROM {view}) n) p
+          GROUP BY page, n_pages) g"""
+
+
 def _late_bodies() -> dict[str, str]:
+    from .fraud import BRIEF_TEMPLATE, PROMPT_TEMPLATE as FRAUD_PROMPT
+
     fx = _failure_cte()
+    brief = f"printf({_sql_text(BRIEF_TEMPLATE)}, customer_id, total_returns, anomaly_score, violated_rules)"
+    fprompt = (
+        f"printf({_sql_text(FRAUD_PROMPT)}, customer_id, total_returns, CAST(CAST(total_return_value AS DECIMAL(18,4)) AS VARCHAR), "
+        f"CAST(CAST(round(return_to_order_ratio, 2) AS DECIMAL(10,2)) AS VARCHAR), anomaly_score, violated_rules)"
+    )
+    kpis = " UNION ALL ".join(
+        [
+            _kpi_sql("revenue_performance", "kpi_revenue", "region",
+                     "region := region, total_revenue := CAST(total_revenue AS DECIMAL(18,4)), total_orders := total_orders"),
+            _kpi_sql("vendor_return_rate", "kpi_vendor", "vendor_id",
+                     "vendor_id := vendor_id, avg_return_rate := CAST(avg_return_rate AS DECIMAL(20,6)), "
+                     "total_returns := total_returns, total_orders := total_orders"),
+            _kpi_sql("slow_moving_inventory", "kpi_slow_moving", "region",
+                     "region := region, slow_product_count := slow_product_count, total_quantity_sold := total_quantity_sold"),
+        ]
+    )
     return {
+        "return_profile": "SELECT * FROM return_profile",
+        "sales_profile": "SELECT * FROM sales_profile",
+        "customer_return_profile": "SELECT * FROM customer_return_profile",
+        "anomaly_score": "SELECT * FROM anomaly_score",
+        "fraud_prompts": f"SELECT customer_id, anomaly_score, {fprompt} AS prompt FROM flagged",
+        "flagged_return_customers": f"SELECT customer_id, total_returns, total_return_value, anomaly_score, violated_rules, "
+        f"{brief} AS investigation_brief FROM flagged",
+        "kpi_revenue": "SELECT * FROM kpi_revenue",
+        "kpi_vendor": "SELECT * FROM kpi_vendor",
+        "kpi_slow_moving": "SELECT * FROM kpi_slow_moving",
+        "ai_insights_kpi": kpis,
         "dq_prompts": f"SELECT field_name, issue_type, failed_count, entity_name, prompt FROM {fx}",
         "parse_reply": f"SELECT entity_name, field_name, issue_type, reply, business_impact FROM {fx}",
         "dq_audit_report": f"SELECT entity_name, issue_type, field_name, failed_count, business_impact FROM {fx}",
