@@ -18,7 +18,8 @@ from ..functions.columns import normalize_columns, resolve_alias, ALIASES
 from ..operators import quality as Q
 from ..sources.tables import Tables
 from ..sources.testbed import raw_entities
-from . import dq_report, fraud, insights
+from ..operators.knn import exact_knn
+from . import dq_report, fraud, insights, retrieval
 from .lakehouse import Lakehouse
 from .silver import ENTITIES
 
@@ -309,3 +310,58 @@ for _f in (
     ai_insights_kpi,
 ):
     QUERIES[_f.__name__] = _f
+
+
+# ---- UC3: documents, retrieval, grounded answers --------------------------
+def _docs(spark, sf_dir):
+    lh = Lakehouse.from_testbed(spark, sf_dir)
+    return (
+        retrieval.product_documents(lh.dim_product, lh.agg_slow_moving_products),
+        retrieval.vendor_documents(lh.dim_vendor, lh.agg_vendor_performance),
+    )
+
+
+def product_documents(spark, sf_dir):
+    return _docs(spark, sf_dir)[0]
+
+
+def vendor_documents(spark, sf_dir):
+    return _docs(spark, sf_dir)[1]
+
+
+def rag_documents(spark, sf_dir):
+    return retrieval.rag_documents(*_docs(spark, sf_dir))
+
+
+def _rag(spark, sf_dir):
+    docs = retrieval.rag_documents(*_docs(spark, sf_dir))
+    qs = retrieval.questions_frame(spark)
+    return docs, qs, retrieval.top_k(docs, qs)
+
+
+def rag_topk(spark, sf_dir):
+    """Five nearest documents per demo question over all product and vendor
+    documents (R2–R4)."""
+    return _rag(spark, sf_dir)[2]
+
+
+def rag_context(spark, sf_dir):
+    docs, _, hits = _rag(spark, sf_dir)
+    return retrieval.context(hits, docs)
+
+
+def rag_answer(spark, sf_dir):
+    docs, qs, hits = _rag(spark, sf_dir)
+    return retrieval.answer(qs, retrieval.context(hits, docs))
+
+
+def vector_topk(spark, sf_dir):
+    """Exact kNN over the whole vector table; one query per label = the
+    label's centroid, computed by Spark from the same table (R4)."""
+    vecs = Tables(spark, sf_dir).read("embeddings", ["vec_id", "embedding", "label"])
+    cents = retrieval.label_centroids(vecs)
+    return exact_knn(vecs, cents, retrieval.TOP_K, corpus_id="vec_id", corpus_vec="embedding", query_id="label", query_vec="centroid")
+
+
+for _f in (product_documents, vendor_documents, rag_documents, rag_topk, rag_context, rag_answer, vector_topk):
+    QUERIES[_f.__name__] = _f

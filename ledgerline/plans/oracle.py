@@ -289,7 +289,7 @@ kpi_slow_moving AS (
 
 
 def with_ctes(body: str) -> str:
-    return "WITH " + _CTES.strip() + "\n" + body.strip()
+    return "WITH " + _CTES.strip() + "," + _retrieval_ctes() + "\n" + body.strip()
 
 
 BODIES: dict[str, str] = {
@@ -430,6 +430,89 @@ def _kpi_sql(itype: str, view: str, key: str, fields: str) -> str:
           GROUP BY page, n_pages) g"""
 
 
+def _hashed_vec_sql(table: str, id_cols: str, text: str, dim: int) -> str:
+    """Normalized hashed term counts, as the default embedding builds them."""
+    b = (
+        f"list_transform(list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda t: t <> ''), "
+        f"lambda t: (('0x' || substr(md5(t), 1, 8))::BIGINT) % {dim})"
+    )
+    counts = f"list_transform(range({dim}), lambda i: CAST(len(list_filter(b, lambda x: x = i)) AS DOUBLE))"
+    return (
+        f"(SELECT {id_cols}, list_transform(counts, lambda x: CASE WHEN norm > 0 THEN x / norm ELSE 0.0 END) AS v FROM "
+        f"(SELECT {id_cols}, counts, sqrt(list_sum(list_transform(counts, lambda y: y * y))) AS norm FROM "
+        f"(SELECT {id_cols}, {counts} AS counts FROM (SELECT {id_cols}, {b} AS b FROM {table}) t1) t2) t3)"
+    )
+
+
+def _retrieval_ctes() -> str:
+    from ..functions.text import EMBED_DIM
+    from .retrieval import CONTEXT_K, NO_ANSWER, PRODUCT_DOC, QUESTIONS, TOP_K, VENDOR_DOC
+
+    qvals = ", ".join(f"({i + 1}, {_sql_text(q)})" for i, q in enumerate(QUESTIONS))
+    dist = "round(list_sum(list_transform(list_zip(q.v, d.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), 6)"
+    return f"""
+dim_product AS (
+  SELECT product_id, max(product_name) AS product_name, max(categories) AS categories FROM products_clean GROUP BY product_id
+),
+dim_vendor AS (SELECT vendor_id, max(vendor_name) AS vendor_name FROM vendors_clean GROUP BY vendor_id),
+product_documents AS (
+  SELECT 'product:' || p.product_id AS doc_id, 'product' AS kind,
+    printf({_sql_text(PRODUCT_DOC)}, coalesce(p.product_name, 'unknown'), coalesce(p.categories, 'unknown'),
+           CASE WHEN s.product_id IS NOT NULL THEN 'slow-moving' ELSE 'fast-moving' END) AS text
+  FROM dim_product p LEFT JOIN (SELECT DISTINCT product_id FROM agg_slow_moving_products) s ON p.product_id = s.product_id
+),
+vendor_documents AS (
+  SELECT 'vendor:' || v.vendor_id AS doc_id, 'vendor' AS kind,
+    printf({_sql_text(VENDOR_DOC)}, coalesce(v.vendor_name, 'unknown'),
+           coalesce(CAST(CAST(a.return_rate AS DECIMAL(20,6)) AS VARCHAR), 'unknown')) AS text
+  FROM dim_vendor v LEFT JOIN agg_vendor_performance a ON v.vendor_id = a.vendor_id
+),
+rag_documents AS (SELECT * FROM product_documents UNION ALL SELECT * FROM vendor_documents),
+questions AS (SELECT * FROM (VALUES {qvals}) q(question_id, question)),
+doc_vec AS {_hashed_vec_sql("rag_documents", "doc_id", "text", EMBED_DIM)},
+q_vec AS {_hashed_vec_sql("questions", "question_id", "question", EMBED_DIM)},
+rag_topk AS (
+  SELECT question_id, doc_id, CAST(rank AS INTEGER) AS rank, distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY distance, doc_id) AS rank
+    FROM (SELECT q.question_id, d.doc_id, {dist} AS distance FROM q_vec q, doc_vec d) x) y
+  WHERE rank <= {TOP_K}
+),
+rag_context AS (
+  SELECT question_id, CAST(context_rank AS INTEGER) AS context_rank, text FROM (
+    SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY hit_rank) AS context_rank
+    FROM (SELECT h.question_id, d.text, min(h.rank) AS hit_rank FROM rag_topk h JOIN rag_documents d ON h.doc_id = d.doc_id
+          GROUP BY h.question_id, d.text) x) y
+  WHERE context_rank <= {CONTEXT_K}
+),
+rag_answer AS (
+  SELECT q.question_id, q.question,
+    CASE WHEN length(trim(coalesce(a.kept_text, ''))) > 0 THEN a.kept_text ELSE {_sql_text(NO_ANSWER)} END AS answer,
+    coalesce(a.docs, '[]') AS retrieved_docs
+  FROM questions q LEFT JOIN (
+    SELECT c.question_id,
+      string_agg(CASE WHEN r.route IS NULL OR contains(lower(c.text), r.route) THEN c.text END, chr(10) ORDER BY c.context_rank) AS kept_text,
+      to_json(list(c.text ORDER BY c.context_rank)) AS docs
+    FROM rag_context c JOIN (
+      SELECT question_id, CASE WHEN contains(lower(question), 'slow-moving') THEN 'slow-moving'
+                               WHEN contains(lower(question), 'fast-moving') THEN 'fast-moving' END AS route
+      FROM questions) r ON c.question_id = r.question_id
+    GROUP BY c.question_id) a ON q.question_id = a.question_id
+),
+emb AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+centroids AS (
+  SELECT label, list(m ORDER BY pos) AS v FROM (
+    SELECT label, pos, avg(x) AS m FROM (
+      SELECT label, unnest(v) AS x, unnest(generate_series(1, len(v))) AS pos FROM emb) e GROUP BY label, pos) c
+  GROUP BY label
+),
+vector_topk AS (
+  SELECT label, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) AS rank
+    FROM (SELECT q.label, d.vec_id, {dist} AS distance FROM centroids q, emb d) x) y
+  WHERE rank <= {TOP_K}
+)"""
+
+
 def _late_bodies() -> dict[str, str]:
     from .fraud import BRIEF_TEMPLATE, PROMPT_TEMPLATE as FRAUD_PROMPT
 
@@ -462,6 +545,13 @@ def _late_bodies() -> dict[str, str]:
         "kpi_vendor": "SELECT * FROM kpi_vendor",
         "kpi_slow_moving": "SELECT * FROM kpi_slow_moving",
         "ai_insights_kpi": kpis,
+        "product_documents": "SELECT * FROM product_documents",
+        "vendor_documents": "SELECT * FROM vendor_documents",
+        "rag_documents": "SELECT * FROM rag_documents",
+        "rag_topk": "SELECT * FROM rag_topk",
+        "rag_context": "SELECT * FROM rag_context",
+        "rag_answer": "SELECT * FROM rag_answer",
+        "vector_topk": "SELECT * FROM vector_topk",
         "dq_prompts": f"SELECT field_name, issue_type, failed_count, entity_name, prompt FROM {fx}",
         "parse_reply": f"SELECT entity_name, field_name, issue_type, reply, business_impact FROM {fx}",
         "dq_audit_report": f"SELECT entity_name, issue_type, field_name, failed_count, business_impact FROM {fx}",
