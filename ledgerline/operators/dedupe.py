@@ -15,8 +15,13 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     Written as ``max(struct(order…, rest…))`` grouped by key instead of a
     ``row_number`` window: the max is combined map-side before the shuffle, so
     a key holding a third of all rows costs one partial row per task, not a
-    single task sorting all of them."""
+    single task sorting all of them.
+
+    On a streaming frame this is ``dropDuplicates(keys)``: the first arrival
+    survives and later copies are dropped against the query's state (T6)."""
     keys = list(keys)
+    if df.isStreaming:
+        return df.dropDuplicates(keys)
     order = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     if not order and not rest:
