@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def latest_by_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), watermark: tuple[str, str] | None = None
+) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` values (e.g.
     ``ingestion_timestamp``), remaining ties broken by the other columns.
 
@@ -18,9 +20,14 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     single task sorting all of them.
 
     On a streaming frame this is ``dropDuplicates(keys)``: the first arrival
-    survives and later copies are dropped against the query's state (T6)."""
+    survives and later copies are dropped against the query's state (T6).
+    The state is unbounded, as in the reference, unless ``watermark``
+    ``(event_time_column, delay)`` is given: then duplicates are dropped
+    within the watermark and old keys leave the state."""
     keys = list(keys)
     if df.isStreaming:
+        if watermark:
+            return df.withWatermark(*watermark).dropDuplicatesWithinWatermark(keys)
         return df.dropDuplicates(keys)
     order = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]

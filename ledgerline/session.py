@@ -44,6 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     if active is None or not checkpoint_dir(active):
         # tests only: the cluster names its own shared folder
         builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
+        builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerline-warehouse-"))
     for k, v in RUNTIME_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

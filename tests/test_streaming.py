@@ -122,3 +122,21 @@ def test_streaming_equals_batch(spark, scratch):
     oq = results["one"][0].silver_table("orders", "quarantine")
     reasons = dict(_rows(oq, ["order_id", "_dq_reason"]))
     assert reasons == {"12": "Missing region", "13": "Missing vendor_id", None: "Missing order_id"}
+
+
+def test_streaming_dedupe_with_watermark(spark, scratch):
+    """Table stream over the driver's events: dedupe within a watermark keeps
+    one row per key, the same as the batch dedupe (T6)."""
+    from ledgerline.operators.dedupe import latest_by_key
+
+    src = f"{scratch}/events"
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.unionByName(ev).write.parquet(src)  # every event twice
+    stream = spark.readStream.schema(ev.schema).parquet(src)
+    q = (
+        latest_by_key(stream, ["event_id"], watermark=("ts", "3650 days"))
+        .writeStream.format("memory").queryName("dedup_events").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    got = spark.table("dedup_events")
+    assert got.count() == ev.select("event_id").distinct().count()
