@@ -27,7 +27,10 @@ def latest_by_key(
     keys = list(keys)
     if df.isStreaming:
         if watermark:
-            return df.withWatermark(*watermark).dropDuplicatesWithinWatermark(keys)
+            # watermarks need TIMESTAMP; wall-clock (NTZ) event times are read as session-zone time
+            col, delay = watermark
+            marked = df.withColumn("_event_time", F.col(col).cast("timestamp")).withWatermark("_event_time", delay)
+            return marked.dropDuplicatesWithinWatermark(keys).drop("_event_time")
         return df.dropDuplicates(keys)
     order = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
