@@ -9,15 +9,19 @@ materialized or shuffled. A final ``row_number`` per query (planned as a
 partial + final ``WindowGroupLimit``) keeps the global top k. Query sets
 above the bound are processed in hash blocks, each within the bound.
 
-Ranking key is ``(round(distance, scale), corpus id)``; a batch keeps every
-vector within ``10**-scale`` of its k-th distance, so ties at the boundary
-are decided exactly by the final ranking, never by an arbitrary cut.
+Ranking key is ``(distance rounded HALF_UP to scale places, corpus id)``:
+distances equal to the scale are ties, decided by id. The key is computed in
+the task (once per distinct raw distance) and each batch emits exactly its k
+best keys per query, so the final ranking sees the same keys and the result
+is exact — and a group of copies, however large, contributes at most k rows
+per batch.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
 import numpy as np
@@ -38,18 +42,29 @@ def _matrix(values, normalize: bool) -> np.ndarray:
     return m
 
 
-def _candidates(Q: np.ndarray, qids, V: np.ndarray, ids: np.ndarray, k: int, slack: float):
-    """Per query: rows of this batch that can still be in the global top k."""
+def _rounded(values: np.ndarray, scale: int) -> np.ndarray:
+    """HALF_UP rounding of each value's shortest decimal form (SQL ``round``)."""
+    step = Decimal(1).scaleb(-scale)
+    return np.array([float(Decimal(repr(float(v))).quantize(step, rounding=ROUND_HALF_UP)) for v in values], dtype=np.float64)
+
+
+def _candidates(Q: np.ndarray, qids, V: np.ndarray, ids: np.ndarray, k: int, scale: int):
+    """Per query: the k best (rounded distance, id) rows of this batch."""
+    slack = 10.0 ** (-scale)
     for qi, q in enumerate(Q):
         diff = V - q
         d2 = np.einsum("ij,ij->i", diff, diff)
         if len(d2) > k:
+            # rounding is monotone: nothing beyond the k-th raw distance + one step can rank higher
             kth = np.partition(d2, k - 1)[k - 1]
-            keep = np.nonzero(d2 <= kth + slack)[0]
+            band = np.nonzero(d2 <= kth + slack)[0]
         else:
-            keep = np.arange(len(d2))
-        for j in keep:
-            yield qids[qi], ids[j], float(d2[j])
+            band = np.arange(len(d2))
+        uniq, inv = np.unique(d2[band], return_inverse=True)
+        dist = _rounded(uniq, scale)[inv]
+        best = sorted(zip(dist.tolist(), ids[band].tolist()))[:k]
+        for dv, cid in best:
+            yield qids[qi], cid, dv
 
 
 def exact_knn(
@@ -68,20 +83,20 @@ def exact_knn(
     """``(query_id, corpus_id, distance, rank)`` for the k nearest corpus
     vectors of every query by squared L2 distance (of unit vectors when
     ``normalize``, i.e. a cosine ranking). Fewer than k vectors → fewer rows."""
-    n = queries.count()  # the size check that allows the broadcast
+    # size check that allows the broadcast: never fetches more than max_broadcast + 1 rows
+    rows = queries.select(query_id, query_vec).limit(max_broadcast + 1).collect()
+    n = len(rows)
     out_schema = StructType(
         [
             queries.schema[query_id],
             corpus.schema[corpus_id],
-            StructField("d2", DoubleType(), True),
+            StructField("distance", DoubleType(), True),
         ]
     )
     if n == 0:
-        return corpus.sparkSession.createDataFrame([], out_schema).withColumn("distance", F.col("d2")).withColumn(
-            "rank", F.lit(1)
-        ).drop("d2").limit(0)
+        return corpus.sparkSession.createDataFrame([], out_schema).withColumn("rank", F.lit(1))
     if n > max_broadcast:
-        blocks = math.ceil(2 * n / max_broadcast)
+        blocks = math.ceil(2 * queries.count() / max_broadcast)
         bucket = F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks))
         parts = [
             exact_knn(
@@ -92,13 +107,10 @@ def exact_knn(
         ]
         return reduce(DataFrame.unionByName, parts)
 
-    rows = queries.select(query_id, query_vec).collect()  # at most max_broadcast rows
     qids = [r[0] for r in rows]
     Q = _matrix([r[1] for r in rows], normalize)
     sc = corpus.sparkSession.sparkContext
     shipped = sc.broadcast((qids, Q))
-    slack = 10.0 ** (-scale)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bq, BQ = shipped.value
         for pdf in batches:
@@ -106,11 +118,10 @@ def exact_knn(
             if pdf.empty:
                 continue
             V = _matrix(pdf[corpus_vec].tolist(), normalize)
-            found = list(_candidates(BQ, bq, V, pdf[corpus_id].to_numpy(), k, slack))
+            found = list(_candidates(BQ, bq, V, pdf[corpus_id].to_numpy(), k, scale))
             if found:
-                yield pd.DataFrame(found, columns=[query_id, corpus_id, "d2"])
+                yield pd.DataFrame(found, columns=[query_id, corpus_id, "distance"])
 
     cands = corpus.select(corpus_id, corpus_vec).mapInPandas(run, out_schema)
-    ranked = cands.withColumn("distance", F.round(F.greatest(F.col("d2"), F.lit(0.0)), scale)).drop("d2")
     w = Window.partitionBy(query_id).orderBy(F.col("distance"), F.col(corpus_id))
-    return ranked.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -58,7 +58,7 @@ def log_answers(answers: DataFrame, table: str) -> None:
 
 
 def ask_once(spark: SparkSession, prompt: str, model: TextModel | None = None, default: Column | None = None) -> DataFrame:
-    """A single model call without a source table, like ``SELECT ai_query(…)``
+    """A single model call without a source table, like a bare ``SELECT model_call(…)``
     (S12): a one-row frame carrying the prompt and its reply."""
     one = spark.range(1).select(F.lit(prompt).alias("prompt"))
     return generate_text(one, "prompt", "reply", model, default if default is not None else F.lit(None).cast("string"))

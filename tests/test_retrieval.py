@@ -78,3 +78,17 @@ def test_rag_end_to_end(spark):
     for r in ans:
         if "slow-moving" in r.question.lower() and r.answer != retrieval.NO_ANSWER:
             assert all("slow-moving" in line for line in r.answer.split("\n"))
+
+
+def test_knn_copies_are_bounded_per_batch(spark):
+    """A third of the corpus as exact copies at the nearest distance: each
+    batch still emits at most k candidates, ties go to the smallest ids."""
+    rows = [(i, [0.0, 0.0]) for i in range(300)] + [(1000 + i, [float(i + 1), 0.0]) for i in range(600)]
+    corpus = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    q = spark.createDataFrame([(1, [0.0, 0.0])], "qid int, qv array<double>")
+    from ledgerline.operators import knn
+
+    res = knn.exact_knn(corpus, q, 4, corpus_id="id", corpus_vec="v", query_id="qid", query_vec="qv")
+    assert [r.id for r in res.orderBy("rank").collect()] == [0, 1, 2, 3]
+    batch = list(knn._candidates(np.zeros((1, 2)), [1], np.zeros((300, 2)), np.arange(300), 4, 6))
+    assert len(batch) == 4

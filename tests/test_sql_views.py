@@ -1,0 +1,32 @@
+"""SQL-text forms equal the DataFrame forms."""
+
+from conftest import SF_SMALL
+from ledgerline.plans import fraud, insights, sql_views
+from ledgerline.plans.lakehouse import Lakehouse
+
+
+def _same(a, b):
+    assert sorted(a.columns) == sorted(b.columns)
+    cols = sorted(a.columns)
+    assert sorted(map(tuple, a.select(*cols).collect()), key=repr) == sorted(map(tuple, b.select(*cols).collect()), key=repr)
+
+
+def test_sql_forms(spark):
+    lh = Lakehouse.from_testbed(spark, SF_SMALL)
+    sql_views.register(
+        spark,
+        {
+            "fact_returns": lh.fact_returns,
+            "fact_transactions": lh.fact_transactions,
+            "agg_monthly_revenue": lh.agg_monthly_revenue,
+            "agg_vendor_performance": lh.agg_vendor_performance,
+            "agg_slow_moving_products": lh.agg_slow_moving_products,
+        },
+    )
+    _same(sql_views.return_profile_sql(spark), fraud.return_profile(lh.fact_returns))
+    _same(sql_views.return_profile_sql(spark, as_of="1995-06-30"), fraud.return_profile(lh.fact_returns, as_of="1995-06-30"))
+    _same(sql_views.sales_profile_sql(spark), fraud.sales_profile(lh.fact_transactions))
+    views = sql_views.create_kpi_views(spark)
+    _same(views["revenue_kpi"], insights.kpi_revenue(lh.agg_monthly_revenue))
+    _same(views["vendor_kpi"], insights.kpi_vendor(lh.agg_vendor_performance))
+    _same(views["slow_kpi"], insights.kpi_slow_moving(lh.agg_slow_moving_products))
