@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as C
 from ..functions.columns import normalize_columns, resolve_alias, ALIASES
 from ..operators import quality as Q
-from ..sources.tables import Tables
+from ..sources.tables import Tables, stage
 from ..sources.testbed import raw_entities
 from ..operators.knn import exact_knn
 from . import dq_report, fraud, insights, retrieval
@@ -240,14 +240,18 @@ def queries() -> dict[str, Query]:
 
 
 # ---- UC2: return-abuse scoring --------------------------------------------
+# fact_returns feeds both the profile and its as-of date: staged once
+SCORING_STAGE = ("fact_returns",)
+
+
 def _scored(spark, sf_dir):
-    lh = Lakehouse.from_testbed(spark, sf_dir)
+    lh = Lakehouse.from_testbed(spark, sf_dir, stage=SCORING_STAGE)
     prof = fraud.customer_return_profile(fraud.return_profile(lh.fact_returns), fraud.sales_profile(lh.fact_transactions))
     return fraud.anomaly_score(prof)
 
 
 def return_profile(spark, sf_dir):
-    return fraud.return_profile(Lakehouse.from_testbed(spark, sf_dir).fact_returns)
+    return fraud.return_profile(Lakehouse.from_testbed(spark, sf_dir, stage=SCORING_STAGE).fact_returns)
 
 
 def sales_profile(spark, sf_dir):
@@ -255,7 +259,7 @@ def sales_profile(spark, sf_dir):
 
 
 def customer_return_profile(spark, sf_dir):
-    lh = Lakehouse.from_testbed(spark, sf_dir)
+    lh = Lakehouse.from_testbed(spark, sf_dir, stage=SCORING_STAGE)
     return fraud.customer_return_profile(fraud.return_profile(lh.fact_returns), fraud.sales_profile(lh.fact_transactions))
 
 
@@ -272,8 +276,8 @@ def flagged_return_customers(spark, sf_dir):
 
 
 # ---- UC4: KPI views and insights ------------------------------------------
-def _kpi_views(spark, sf_dir):
-    lh = Lakehouse.from_testbed(spark, sf_dir)
+def _kpi_views(spark, sf_dir, stage=()):
+    lh = Lakehouse.from_testbed(spark, sf_dir, stage=stage)
     return {
         "revenue_performance": insights.kpi_revenue(lh.agg_monthly_revenue),
         "vendor_return_rate": insights.kpi_vendor(lh.agg_vendor_performance),
@@ -294,7 +298,8 @@ def kpi_slow_moving(spark, sf_dir):
 
 
 def ai_insights_kpi(spark, sf_dir):
-    return insights.insights(_kpi_views(spark, sf_dir), stamp=False)
+    # three views (and their page counts) read both facts: staged once
+    return insights.insights(_kpi_views(spark, sf_dir, stage=("fact_transactions", "fact_returns")), stamp=False)
 
 
 for _f in (
@@ -313,8 +318,8 @@ for _f in (
 
 
 # ---- UC3: documents, retrieval, grounded answers --------------------------
-def _docs(spark, sf_dir):
-    lh = Lakehouse.from_testbed(spark, sf_dir)
+def _docs(spark, sf_dir, stage=()):
+    lh = Lakehouse.from_testbed(spark, sf_dir, stage=stage)
     return (
         retrieval.product_documents(lh.dim_product, lh.agg_slow_moving_products),
         retrieval.vendor_documents(lh.dim_vendor, lh.agg_vendor_performance),
@@ -334,7 +339,9 @@ def rag_documents(spark, sf_dir):
 
 
 def _rag(spark, sf_dir):
-    docs = retrieval.rag_documents(*_docs(spark, sf_dir))
+    # the corpus (one row per product / vendor) is scanned by the search and
+    # joined back for text: written once instead of recomputed from the facts
+    docs = stage(retrieval.rag_documents(*_docs(spark, sf_dir)), "rag_documents")
     qs = retrieval.questions_frame(spark)
     return docs, qs, retrieval.top_k(docs, qs)
 

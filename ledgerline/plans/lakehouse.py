@@ -7,25 +7,32 @@ the ingest streams, and unit-test fixtures.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import clean, quarantine
-from ..sources.tables import Tables
+from ..sources.tables import Tables, stage
 from ..sources.testbed import raw_entities
 from . import gold, silver
 
 
 class Lakehouse:
-    def __init__(self, raw: Mapping[str, DataFrame], options: silver.SilverOptions = silver.SilverOptions()):
+    """``stage`` names the facts to write once (parquet under the shared
+    checkpoint folder) because the consumer reads them several times with
+    different column sets; everything else stays one lazy plan."""
+
+    def __init__(self, raw: Mapping[str, DataFrame], options: silver.SilverOptions = silver.SilverOptions(), stage: Iterable[str] = ()):
         self.raw = dict(raw)
         self.opts = options
+        self.staged = frozenset(stage)
 
     @classmethod
-    def from_testbed(cls, spark: SparkSession, sf_dir: str, options: silver.SilverOptions = silver.SilverOptions()) -> "Lakehouse":
-        return cls(raw_entities(Tables(spark, sf_dir)), options)
+    def from_testbed(
+        cls, spark: SparkSession, sf_dir: str, options: silver.SilverOptions = silver.SilverOptions(), stage: Iterable[str] = ()
+    ) -> "Lakehouse":
+        return cls(raw_entities(Tables(spark, sf_dir)), options, stage)
 
     # ---- Silver base views --------------------------------------------
     def base(self, entity: str) -> DataFrame:
@@ -80,11 +87,13 @@ class Lakehouse:
 
     @cached_property
     def fact_transactions(self) -> DataFrame:
-        return gold.fact_transactions(self.clean("orders"), self.clean("transactions"))
+        df = gold.fact_transactions(self.clean("orders"), self.clean("transactions"))
+        return stage(df, "fact_transactions") if "fact_transactions" in self.staged else df
 
     @cached_property
     def fact_returns(self) -> DataFrame:
-        return gold.fact_returns(self.clean("returns"), self.clean("orders"))
+        df = gold.fact_returns(self.clean("returns"), self.clean("orders"))
+        return stage(df, "fact_returns") if "fact_returns" in self.staged else df
 
     @cached_property
     def agg_monthly_revenue(self) -> DataFrame:

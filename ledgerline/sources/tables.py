@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,20 @@ class Tables:
         return df.select(*cols) if cols else df
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as parquet under the cluster's shared checkpoint
+    folder and return a reader of it. Used when one query consumes the same
+    intermediate several times with different column sets (so Spark cannot
+    reuse the exchanges): the lineage runs once, the copy survives executor
+    loss, and each consumer still prunes columns on read."""
+    from ..session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/ledgerline-stage/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def overwrite_table(df: DataFrame, name: str, partition_by: list[str] | None = None, comment: str | None = None) -> None:
     """Materialized table: full recompute, replace (K5/K6)."""
     w = df.write.mode("overwrite").format("parquet")

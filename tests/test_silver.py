@@ -165,3 +165,32 @@ def test_resolve_alias_missing_is_typed_null(spark):
     out = df.select(resolve_alias(df, ["a", "b"]).alias("y"))
     assert out.schema["y"].dataType.simpleString() == "string"
     assert out.collect()[0][0] is None
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_maybe = st.one_of(st.none(), st.text(alphabet="abc123", min_size=1, max_size=4))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(_maybe, _maybe, _maybe), min_size=1, max_size=8))
+def test_alias_resolution_property(spark, rows):
+    """coalesce mode = first non-NULL across aliases; first_column = first alias."""
+    df = spark.createDataFrame(rows, "customer_id string, customerid string, cust_id string")
+    names = ["customer_id", "customerid", "cust_id", "customer_identifier"]
+    got = df.select(resolve_alias(df, names).alias("c"), resolve_alias(df, names, "first_column").alias("f")).collect()
+    for (a, b, c), r in zip(rows, got):
+        assert r.c == next((x for x in (a, b, c) if x is not None), None)
+        assert r.f == a
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(0, 100), min_size=1, max_size=8))
+def test_percent_parsing_property(spark, pcts):
+    """``n%`` and its fraction text parse to the same value."""
+    rows = [(f"{n}%", str(n / 100)) for n in pcts]
+    df = spark.createDataFrame(rows, "p string, f string")
+    got = df.select(C.percent_to_fraction(F.col("p")).alias("a"), C.percent_to_fraction(F.col("f")).alias("b")).collect()
+    for n, r in zip(pcts, got):
+        assert abs(r.a - n / 100) < 1e-12 and r.b == n / 100
