@@ -143,7 +143,7 @@ returns_raw AS (
     CASE WHEN l_linestatus = 'F' THEN 'APPRVD' ELSE 'pendg' END AS status,
     CASE WHEN l_orderkey % 2 = 0 THEN strftime(l_shipdate, '%Y-%m-%d') ELSE strftime(l_shipdate, '%m/%d/%Y') END AS date_text
   FROM lineitem
-  WHERE l_returnflag = '{TB.RETURN_FLAG}' AND l_discount >= {TB.RETURN_MIN_DISCOUNT}
+  WHERE l_returnflag = '{TB.RETURN_FLAG}'
 ),
 returns_f AS (
   SELECT order_id, refund_amount,
@@ -167,7 +167,7 @@ returns_base AS (
 returns_clean AS (SELECT * FROM returns_base WHERE _is_valid),
 products_raw AS (
   SELECT p_partkey,
-    CAST(p_partkey AS VARCHAR) AS product_id,
+    CASE WHEN p_partkey % {TB.NULL_PRODUCT_ID_MOD} <> 0 THEN CAST(p_partkey AS VARCHAR) END AS product_id,
     p_name AS product_name, p_brand AS brand, p_type AS categories,
     CASE WHEN p_partkey % {TB.NULL_UPC_MOD} <> 0 THEN
       CASE WHEN p_partkey % 2 = 0
@@ -187,7 +187,8 @@ products_base AS (
 ),
 products_clean AS (SELECT * FROM products_base WHERE _is_valid),
 vendors_raw AS (
-  SELECT CAST(s_suppkey AS VARCHAR) AS vendor_id, lower(s_name) AS vendor_name_raw FROM supplier
+  SELECT CASE WHEN s_suppkey % {TB.NULL_VENDOR_ID_MOD} <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS vendor_id,
+    lower(s_name) AS vendor_name_raw FROM supplier
 ),
 vendors_base AS (
   SELECT vendor_id,
@@ -398,7 +399,11 @@ BODIES.update(
             SELECT product_id, upc_text,
                    CASE WHEN TRY_CAST(upc_text AS DOUBLE) IS NOT NULL THEN printf('%.0f', TRY_CAST(upc_text AS DOUBLE)) END AS upc
             FROM products_raw""",
-        "vendor_initcap": "SELECT v.vendor_id, v.vendor_name_raw, b.vendor_name FROM vendors_raw v JOIN vendors_base b USING (vendor_id)",
+        "vendor_initcap": """
+            SELECT vendor_id, vendor_name_raw,
+                   array_to_string(list_transform(string_split(lower(vendor_name_raw), ' '),
+                                                  lambda w: upper(w[1]) || w[2:]), ' ') AS vendor_name
+            FROM vendors_raw""",
         "orders_region_freeze": "SELECT order_id, customer_id, region, _dq_region, _is_valid, _dq_reason FROM orders_base",
         "split_accounting": " UNION ALL ".join(
             f"SELECT '{e}' AS entity_name, count(*) AS input_rows, count(*) FILTER (WHERE _is_valid) AS clean_rows, "

@@ -25,6 +25,8 @@ ZERO_QUANTITY_MOD = 19
 NULL_QUANTITY_MOD = 23
 NULL_REFUND_MOD = 31
 NULL_UPC_MOD = 17
+NULL_PRODUCT_ID_MOD = 53
+NULL_VENDOR_ID_MOD = 37
 JUNK_DATE_TEXT = "n/a"
 # market segment → raw segment code as the regional files write it
 SEGMENT_CODES = (
@@ -36,9 +38,8 @@ SEGMENT_CODES = (
 )
 # order priority → raw ship mode text
 SHIP_MODES = (("1-URGENT", "1st Class"), ("2-HIGH", "First Class"))
-# a line is returned when flagged R and discounted at least this much
+# a line is returned when flagged R
 RETURN_FLAG = "R"
-RETURN_MIN_DISCOUNT = 0.0699
 UPC_BASE = 600000000000
 UPC_STEP = 7
 
@@ -141,7 +142,7 @@ def returned_lines(t: Tables) -> DataFrame:
         "lineitem",
         ["l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"],
     )
-    return li.filter((F.col("l_returnflag") == RETURN_FLAG) & (F.col("l_discount") >= RETURN_MIN_DISCOUNT))
+    return li.filter(F.col("l_returnflag") == RETURN_FLAG)
 
 
 def raw_returns(t: Tables) -> DataFrame:
@@ -174,7 +175,7 @@ def raw_products(t: Tables) -> DataFrame:
     sci = F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, 11), F.lit("E+11"))
     upc = _unless(key, NULL_UPC_MOD, F.when(key % 2 == 0, sci).otherwise(digits))
     return p.select(
-        _text(key).alias("ProductID"),
+        _unless(key, NULL_PRODUCT_ID_MOD, _text(key)).alias("ProductID"),
         F.col("p_name").alias("Product Name"),
         F.col("p_brand").alias("Brand"),
         F.col("p_type").alias("Categories"),
@@ -184,7 +185,8 @@ def raw_products(t: Tables) -> DataFrame:
 
 def raw_vendors(t: Tables) -> DataFrame:
     s = t.read("supplier", ["s_suppkey", "s_name"])
-    return s.select(_text(F.col("s_suppkey")).alias("VendorID"), F.lower("s_name").alias("Vendor Name"))
+    key = F.col("s_suppkey")
+    return s.select(_unless(key, NULL_VENDOR_ID_MOD, _text(key)).alias("VendorID"), F.lower("s_name").alias("Vendor Name"))
 
 
 def raw_entities(t: Tables) -> dict[str, DataFrame]:
