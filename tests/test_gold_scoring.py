@@ -92,3 +92,18 @@ def test_kpi_pages_cover_every_entry_once(spark):
         assert keys == sorted(keys)
     one = insights.kpi_pages(view, spec).collect()  # below page size: the reference's single array
     assert len(one) == 1 and len(json.loads(one[0].kpi_data)) == n
+
+
+def test_score_invariants_on_testbed(spark):
+    from ledgerline.plans import catalog
+
+    scored = catalog.QUERIES["anomaly_score"](spark, SF_SMALL)
+    rules = ["rule_high_volume", "rule_high_value", "rule_high_ratio", "rule_recent_spike", "rule_refund_dominance"]
+    bad = scored.filter(
+        (F.col("anomaly_score") != sum(F.col(r) for r in rules)) | (F.col("anomaly_score") < 0) | (F.col("anomaly_score") > 100)
+    )
+    assert bad.count() == 0
+    flagged = catalog.QUERIES["flagged_return_customers"](spark, SF_SMALL)
+    assert flagged.count() == scored.filter(F.col("anomaly_score") >= fraud.FLAG_THRESHOLD).count()
+    # every customer with returns is profiled exactly once
+    assert scored.count() == scored.select("customer_id").distinct().count()
