@@ -420,7 +420,7 @@ BODIES.update(
 
 
 def _kpi_sql(itype: str, view: str, key: str, fields: str) -> str:
-    from .insights import INSTRUCTIONS, PAGE_SIZE, SUMMARY_TEMPLATE
+    from .insights import PAGE_SIZE, SUMMARY_TEMPLATE
 
     return f"""
         SELECT '{itype}' AS insight_type, page, n_pages,
