@@ -107,3 +107,12 @@ def test_score_invariants_on_testbed(spark):
     assert flagged.count() == scored.filter(F.col("anomaly_score") >= fraud.FLAG_THRESHOLD).count()
     # every customer with returns is profiled exactly once
     assert scored.count() == scored.select("customer_id").distinct().count()
+
+
+def test_fact_returns_region_option(spark):
+    """Region recovered from the order only when asked (parity default)."""
+    lh = Lakehouse.from_testbed(spark, SF_SMALL)
+    assert "region" not in lh.fact_returns.columns
+    with_region = gold.fact_returns(lh.clean("returns"), lh.clean("orders"), include_region=True)
+    assert with_region.filter(F.col("region").isNull()).count() == 0
+    assert with_region.count() == lh.fact_returns.count()

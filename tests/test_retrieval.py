@@ -92,3 +92,18 @@ def test_knn_copies_are_bounded_per_batch(spark):
     assert [r.id for r in res.orderBy("rank").collect()] == [0, 1, 2, 3]
     batch = list(knn._candidates(np.zeros((1, 2)), [1], np.zeros((300, 2)), np.arange(300), 4, 6))
     assert len(batch) == 4
+
+
+def test_documents_print_unknown_for_missing_fields(spark):
+    """A NULL field (or a vendor without sales, hence no rate) prints
+    ``unknown``; a product absent from the slow list is fast-moving."""
+    dim_p = spark.createDataFrame([("P1", None, "Tools"), ("P2", "Gizmo", None)], "product_id string, product_name string, categories string")
+    slow = spark.createDataFrame([("P2", "East", 3)], "product_id string, region string, total_quantity_sold long")
+    docs = {r.doc_id: r.text for r in retrieval.product_documents(dim_p, slow).collect()}
+    assert docs["product:P1"] == "Product unknown belongs to category Tools. This product is fast-moving."
+    assert docs["product:P2"] == "Product Gizmo belongs to category unknown. This product is slow-moving."
+    dim_v = spark.createDataFrame([("V1", "Acme"), ("V2", None)], "vendor_id string, vendor_name string")
+    perf = spark.createDataFrame([("V1", 4, 1, 0.25)], "vendor_id string, total_orders long, total_returns long, return_rate double")
+    vdocs = {r.doc_id: r.text for r in retrieval.vendor_documents(dim_v, perf).collect()}
+    assert vdocs["vendor:V1"] == "Vendor Acme. Their return rate is 0.250000."
+    assert vdocs["vendor:V2"] == "Vendor unknown. Their return rate is unknown."
