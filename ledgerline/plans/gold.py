@@ -16,24 +16,32 @@ from ..operators.dedupe import latest_by_key
 DATE_KEY_FORMAT = "yyyyMMdd"
 MONTH_FORMAT = "yyyy-MM"
 SLOW_MOVING_THRESHOLD = 10
+EVENT_TIME = "ingestion_timestamp"
 
 
 def date_key(c) -> F.Column:
     return F.date_format(c, DATE_KEY_FORMAT).cast("int")
 
 
-def dim_customer(customers_clean: DataFrame) -> DataFrame:
+def _dim(df: DataFrame, cols: list[str], key: str, state_bound: str | None) -> DataFrame:
+    """One row per key; on a stream with ``state_bound`` the dedupe state
+    keeps keys only for that long after their ingestion time."""
+    if state_bound and df.isStreaming and EVENT_TIME in df.columns:
+        return latest_by_key(df.select(*cols, EVENT_TIME), [key], watermark=(EVENT_TIME, state_bound)).select(*cols)
+    return latest_by_key(df.select(*cols), [key])
+
+
+def dim_customer(customers_clean: DataFrame, state_bound: str | None = None) -> DataFrame:
     cols = ["customer_id", "customer_name", "customer_email", "segment", "region"]
-    return latest_by_key(customers_clean.select(*cols), ["customer_id"])
+    return _dim(customers_clean, cols, "customer_id", state_bound)
 
 
-def dim_product(products_clean: DataFrame) -> DataFrame:
-    cols = ["product_id", "product_name", "categories", "brand", "upc"]
-    return latest_by_key(products_clean.select(*cols), ["product_id"])
+def dim_product(products_clean: DataFrame, state_bound: str | None = None) -> DataFrame:
+    return _dim(products_clean, ["product_id", "product_name", "categories", "brand", "upc"], "product_id", state_bound)
 
 
-def dim_vendor(vendors_clean: DataFrame) -> DataFrame:
-    return latest_by_key(vendors_clean.select("vendor_id", "vendor_name"), ["vendor_id"])
+def dim_vendor(vendors_clean: DataFrame, state_bound: str | None = None) -> DataFrame:
+    return _dim(vendors_clean, ["vendor_id", "vendor_name"], "vendor_id", state_bound)
 
 
 def dim_date(orders_clean: DataFrame, returns_clean: DataFrame, grain: str = "date") -> DataFrame:
@@ -59,40 +67,63 @@ def dim_date(orders_clean: DataFrame, returns_clean: DataFrame, grain: str = "da
     )
 
 
-def fact_transactions(orders_clean: DataFrame, transactions_clean: DataFrame) -> DataFrame:
+def _bounded_join(left: DataFrame, right: DataFrame, state_bound: str | None) -> DataFrame:
+    """Inner join on order_id. On two streams with ``state_bound`` (e.g.
+    ``"7 days"``) both sides get a watermark on their ingestion time and
+    matches must arrive within the bound of each other, so the join state is
+    evicted instead of growing forever; without it the state is unbounded, as
+    in the reference. Batch joins ignore the bound."""
+    if not (state_bound and left.isStreaming and right.isStreaming):
+        return left.join(right, "order_id")
+    lw = left.withColumn("_lt", F.col(EVENT_TIME).cast("timestamp")).withWatermark("_lt", state_bound).alias("l")
+    rw = right.withColumn("_rt", F.col(EVENT_TIME).cast("timestamp")).withWatermark("_rt", state_bound).alias("r")
+    bound = F.expr(f"INTERVAL {state_bound}")
+    cond = (F.col("l.order_id") == F.col("r.order_id")) & (F.col("r._rt") >= F.col("l._lt") - bound) & (F.col("r._rt") <= F.col("l._lt") + bound)
+    joined = lw.join(rw, cond)
+    cols = [F.col("l.order_id").alias("order_id")] + [F.col(f"l.{c}") for c in left.columns if c not in ("order_id", EVENT_TIME)]
+    cols += [F.col(f"r.{c}") for c in right.columns if c not in ("order_id", EVENT_TIME)]
+    return joined.select(*cols)
+
+
+def _keep(df: DataFrame, cols: list[str], state_bound: str | None) -> DataFrame:
+    extra = [EVENT_TIME] if state_bound and df.isStreaming and EVENT_TIME in df.columns else []
+    return df.select(*cols, *extra)
+
+
+def fact_transactions(orders_clean: DataFrame, transactions_clean: DataFrame, state_bound: str | None = None) -> DataFrame:
     """Order line grain: region, customer, vendor and date from the order."""
-    o = orders_clean.select("order_id", "customer_id", "vendor_id", "region", "order_purchase_date").alias("o")
-    t = transactions_clean.select("order_id", "product_id", "sales", "quantity", "profit").alias("t")
-    return o.join(t, "order_id").select(
-        F.col("order_id"),
-        F.col("o.customer_id"),
-        F.col("o.vendor_id"),
-        F.col("t.product_id"),
-        F.col("o.region"),
-        F.col("o.order_purchase_date").alias("date"),
-        date_key(F.col("o.order_purchase_date")).alias("date_key"),
-        F.col("t.sales").alias("sales_amount"),
-        F.col("t.quantity"),
-        F.col("t.profit"),
+    o = _keep(orders_clean, ["order_id", "customer_id", "vendor_id", "region", "order_purchase_date"], state_bound)
+    t = _keep(transactions_clean, ["order_id", "product_id", "sales", "quantity", "profit"], state_bound)
+    return _bounded_join(o, t, state_bound).select(
+        "order_id",
+        "customer_id",
+        "vendor_id",
+        "product_id",
+        "region",
+        F.col("order_purchase_date").alias("date"),
+        date_key(F.col("order_purchase_date")).alias("date_key"),
+        F.col("sales").alias("sales_amount"),
+        "quantity",
+        "profit",
     )
 
 
-def fact_returns(returns_clean: DataFrame, orders_clean: DataFrame, include_region: bool = False) -> DataFrame:
+def fact_returns(returns_clean: DataFrame, orders_clean: DataFrame, include_region: bool = False, state_bound: str | None = None) -> DataFrame:
     """Return grain; customer and vendor recovered from the order."""
-    r = returns_clean.select("order_id", "refund_amount", "return_status", "return_date").alias("r")
-    o = orders_clean.select("order_id", "customer_id", "vendor_id", "region").alias("o")
+    r = _keep(returns_clean, ["order_id", "refund_amount", "return_status", "return_date"], state_bound)
+    o = _keep(orders_clean, ["order_id", "customer_id", "vendor_id", "region"], state_bound)
     cols = [
-        F.col("order_id"),
-        F.col("o.customer_id"),
-        F.col("o.vendor_id"),
-        F.col("r.refund_amount"),
-        F.col("r.return_status"),
-        F.col("r.return_date").alias("date"),
-        date_key(F.col("r.return_date")).alias("date_key"),
+        "order_id",
+        "customer_id",
+        "vendor_id",
+        "refund_amount",
+        "return_status",
+        F.col("return_date").alias("date"),
+        date_key(F.col("return_date")).alias("date_key"),
     ]
     if include_region:
-        cols.append(F.col("o.region"))
-    return r.join(o, "order_id").select(*cols)
+        cols.append("region")
+    return _bounded_join(r, o, state_bound).select(*cols)
 
 
 def agg_monthly_revenue(fact_tx: DataFrame) -> DataFrame:

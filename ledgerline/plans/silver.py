@@ -46,8 +46,12 @@ def _alias(df: DataFrame, entity: str, field: str, opts: SilverOptions):
     return resolve_alias(df, ALIASES[entity][field], opts.alias_mode)
 
 
+PROVENANCE = ("source_file", "ingestion_timestamp")
+
+
 def _finish(df: DataFrame, entity: str, opts: SilverOptions) -> DataFrame:
-    cols = CANONICAL[entity] + dq_flag_columns(df) + [VALID, REASON]
+    """Canonical columns, Bronze provenance when present, DQ columns."""
+    cols = CANONICAL[entity] + [c for c in PROVENANCE if c in df.columns] + dq_flag_columns(df) + [VALID, REASON]
     if opts.keep_raw:
         cols = [c for c in df.columns if c not in cols] + cols
     return df.select(*cols)
@@ -94,8 +98,9 @@ def order_rules() -> list[Rule]:
 def _with_region(orders: DataFrame, customers_clean: DataFrame, opts: SilverOptions) -> DataFrame:
     o = orders.alias("o")
     lookup = region_lookup(customers_clean, opts).alias("c")
+    extra = [f"o.{c}" for c in PROVENANCE if c in orders.columns]
     return o.join(lookup, F.col("o.customer_id") == F.col("c.customer_id"), "left").select(
-        "o.order_id", "o.customer_id", "o.vendor_id", F.col("c.region").alias("region"), "o.ship_mode", "o.order_purchase_date"
+        "o.order_id", "o.customer_id", "o.vendor_id", F.col("c.region").alias("region"), "o.ship_mode", "o.order_purchase_date", *extra
     )
 
 
@@ -103,7 +108,7 @@ def orders_base(raw: DataFrame, customers_clean: DataFrame, opts: SilverOptions
     """Region is frozen onto the order from the customers known when the
     order is processed (left join; J1)."""
     o = normalize_columns(raw)
-    o = o.select(*[column_or_null(o, c).cast("string").alias(c) for c in ORDER_FIELDS])
+    o = o.select(*[column_or_null(o, c).cast("string").alias(c) for c in ORDER_FIELDS], *[c for c in PROVENANCE if c in o.columns])
     df = _with_region(o, customers_clean, opts).withColumns(
         {
             "ship_mode": C.ship_mode_label(F.col("ship_mode")),
@@ -183,7 +188,7 @@ def replay_quarantine(orders_quarantine: DataFrame, customers_clean: DataFrame,
     """Re-run the order rules for quarantined orders against today's customers
     (D7): an order that arrived before its customer is recovered. Returns the
     re-evaluated base; its clean side is what moves to ``orders_silver``."""
-    q = orders_quarantine.select(*ORDER_FIELDS)
+    q = orders_quarantine.select(*ORDER_FIELDS, *[c for c in PROVENANCE if c in orders_quarantine.columns])
     df = _with_region(q, customers_clean, opts)
     return _finish(apply_rules(df, order_rules(), opts.null_policy), "orders", opts)
 

@@ -45,10 +45,21 @@ class Layout:
 
 
 class Runner:
-    def __init__(self, spark: SparkSession, layout: Layout, options: silver.SilverOptions = silver.SilverOptions(), checkpoint_root: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        layout: Layout,
+        options: silver.SilverOptions = silver.SilverOptions(),
+        checkpoint_root: str | None = None,
+        state_bound: str | None = None,
+    ):
+        """``state_bound`` (e.g. ``"7 days"``) bounds the Gold streams' state:
+        dims drop duplicates within it, facts match rows ingested within it
+        of each other. ``None`` keeps all state (the reference's behaviour)."""
         self.spark = spark
         self.layout = layout
         self.opts = options
+        self.state_bound = state_bound
         self.ckpt = f"{(checkpoint_root or ensure_checkpoint_dir(spark)).rstrip('/')}/lakehouse"
 
     # ---- plumbing -------------------------------------------------------
@@ -96,13 +107,13 @@ class Runner:
         self._drain(with_status(orders), self.layout.silver("orders"), "silver_orders", [STATUS])
 
     def run_gold(self) -> None:
-        cs = self.clean_stream
-        self._drain(gold.dim_customer(cs("customers")), self.layout.gold("dim_customer"), "dim_customer")
-        self._drain(gold.dim_product(cs("products")), self.layout.gold("dim_product"), "dim_product")
-        self._drain(gold.dim_vendor(cs("vendors")), self.layout.gold("dim_vendor"), "dim_vendor")
+        cs, b = self.clean_stream, self.state_bound
+        self._drain(gold.dim_customer(cs("customers"), b), self.layout.gold("dim_customer"), "dim_customer")
+        self._drain(gold.dim_product(cs("products"), b), self.layout.gold("dim_product"), "dim_product")
+        self._drain(gold.dim_vendor(cs("vendors"), b), self.layout.gold("dim_vendor"), "dim_vendor")
         self._drain(gold.dim_date(cs("orders"), cs("returns")), self.layout.gold("dim_date"), "dim_date")
-        self._drain(gold.fact_transactions(cs("orders"), cs("transactions")), self.layout.gold("fact_transactions"), "fact_transactions")
-        self._drain(gold.fact_returns(cs("returns"), cs("orders")), self.layout.gold("fact_returns"), "fact_returns")
+        self._drain(gold.fact_transactions(cs("orders"), cs("transactions"), b), self.layout.gold("fact_transactions"), "fact_transactions")
+        self._drain(gold.fact_returns(cs("returns"), cs("orders"), state_bound=b), self.layout.gold("fact_returns"), "fact_returns")
 
     def run_kpis(self) -> None:
         """Batch recompute + overwrite after the streams drained."""
