@@ -1,7 +1,7 @@
 """Text helpers: tokenization and the model-free default embedding.
 
 ``hashed_term_counts`` is the built-in stand-in for a sentence-embedding
-model: each lower-cased alphanumeric token adds 1 to bucket
+model: each lower-cased alphanumeric token (plural ``s`` dropped) adds 1 to bucket
 ``md5(token)[0:8] mod dim``. It is built only from SQL functions (one narrow
 projection, no Python worker), is deterministic, and is reproducible in any
 SQL engine with ``md5``. A real model plugs in through ``embed`` in
@@ -17,12 +17,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
+# Token pattern, plural rule (a trailing "s" is dropped from
+# tokens longer than PLURAL_MIN_LEN), embedding width.
 TOKEN_SPLIT = "[^a-z0-9]+"
+PLURAL_MIN_LEN = 3
 EMBED_DIM = 128
 
 
+def singular(token: Column) -> Column:
+    return F.when(F.length(token) > PLURAL_MIN_LEN, F.regexp_replace(token, "s$", "")).otherwise(token)
+
+
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != F.lit(""))
+    """Lower-cased alphanumeric words, plural ``s`` dropped (products → product)."""
+    words = F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != F.lit(""))
+    return F.transform(words, singular)
 
 
 def token_bucket(token: Column, dim: int) -> Column:

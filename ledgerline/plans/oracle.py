@@ -438,7 +438,8 @@ def _kpi_sql(itype: str, view: str, key: str, fields: str) -> str:
 def _hashed_vec_sql(table: str, id_cols: str, text: str, dim: int) -> str:
     """Normalized hashed term counts, as the default embedding builds them."""
     b = (
-        f"list_transform(list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda t: t <> ''), "
+        f"list_transform(list_transform(list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda t: t <> ''), "
+        f"lambda t: CASE WHEN length(t) > 3 THEN regexp_replace(t, 's$', '') ELSE t END), "
         f"lambda t: (('0x' || substr(md5(t), 1, 8))::BIGINT) % {dim})"
     )
     counts = f"list_transform(range({dim}), lambda i: CAST(len(list_filter(b, lambda x: x = i)) AS DOUBLE))"
