@@ -26,9 +26,15 @@ from .silver import ENTITIES
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Staging rule: a query writes once (under spark.checkpoint.dir) whatever it
+# reads more than once; clean orders feed both facts.
+BOTH_FACTS_STAGE = ("orders",)
+GOLD_STAGE = {"agg_vendor_performance": BOTH_FACTS_STAGE}
+
+
 def _gold(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(Lakehouse.from_testbed(spark, sf_dir), name)
+        return getattr(Lakehouse.from_testbed(spark, sf_dir, stage=GOLD_STAGE.get(name, ())), name)
 
     run.__name__ = name
     return run
@@ -240,8 +246,8 @@ def queries() -> dict[str, Query]:
 
 
 # ---- UC2: return-abuse scoring --------------------------------------------
-# fact_returns feeds both the profile and its as-of date: staged once
-SCORING_STAGE = ("fact_returns",)
+# fact_returns feeds both the profile and its as-of date; orders feed both facts
+SCORING_STAGE = ("orders", "fact_returns")
 
 
 def _scored(spark, sf_dir):
@@ -290,7 +296,7 @@ def kpi_revenue(spark, sf_dir):
 
 
 def kpi_vendor(spark, sf_dir):
-    return _kpi_views(spark, sf_dir)["vendor_return_rate"]
+    return _kpi_views(spark, sf_dir, stage=BOTH_FACTS_STAGE)["vendor_return_rate"]
 
 
 def kpi_slow_moving(spark, sf_dir):
@@ -299,7 +305,7 @@ def kpi_slow_moving(spark, sf_dir):
 
 def ai_insights_kpi(spark, sf_dir):
     # three views (and their page counts) read both facts: staged once
-    return insights.insights(_kpi_views(spark, sf_dir, stage=("fact_transactions", "fact_returns")), stamp=False)
+    return insights.insights(_kpi_views(spark, sf_dir, stage=("orders", "fact_transactions", "fact_returns")), stamp=False)
 
 
 for _f in (
@@ -331,17 +337,21 @@ def product_documents(spark, sf_dir):
 
 
 def vendor_documents(spark, sf_dir):
-    return _docs(spark, sf_dir)[1]
+    return _docs(spark, sf_dir, stage=BOTH_FACTS_STAGE)[1]
+
+
+# documents read fact_transactions twice (slow movers, vendor rates)
+RAG_STAGE = ("orders", "fact_transactions")
 
 
 def rag_documents(spark, sf_dir):
-    return retrieval.rag_documents(*_docs(spark, sf_dir))
+    return retrieval.rag_documents(*_docs(spark, sf_dir, stage=RAG_STAGE))
 
 
 def _rag(spark, sf_dir):
     # the corpus (one row per product / vendor) is scanned by the search and
     # joined back for text: written once instead of recomputed from the facts
-    docs = stage(retrieval.rag_documents(*_docs(spark, sf_dir)), "rag_documents")
+    docs = stage(retrieval.rag_documents(*_docs(spark, sf_dir, stage=RAG_STAGE)), "rag_documents")
     qs = retrieval.questions_frame(spark)
     return docs, qs, retrieval.top_k(docs, qs)
 

@@ -19,14 +19,16 @@ from . import gold, silver
 
 
 class Lakehouse:
-    """``stage`` names the facts to write once (parquet under the shared
-    checkpoint folder) because the consumer reads them several times with
-    different column sets; everything else stays one lazy plan."""
+    """``stage`` names the facts (or clean entities) to write once (parquet
+    under the shared checkpoint folder) because the consumer reads them
+    several times with different column sets; everything else stays one lazy
+    plan."""
 
     def __init__(self, raw: Mapping[str, DataFrame], options: silver.SilverOptions = silver.SilverOptions(), stage: Iterable[str] = ()):
         self.raw = dict(raw)
         self.opts = options
         self.staged = frozenset(stage)
+        self._staged_clean: dict[str, DataFrame] = {}
 
     @classmethod
     def from_testbed(
@@ -63,6 +65,10 @@ class Lakehouse:
         return silver.vendors_base(self.raw["vendors"], self.opts)
 
     def clean(self, entity: str) -> DataFrame:
+        if entity in self.staged:
+            if entity not in self._staged_clean:
+                self._staged_clean[entity] = stage(clean(self.base(entity)), f"{entity}_clean")
+            return self._staged_clean[entity]
         return clean(self.base(entity))
 
     def quarantine(self, entity: str) -> DataFrame:
