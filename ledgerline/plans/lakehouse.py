@@ -25,7 +25,7 @@ class Lakehouse:
     plan."""
 
     def __init__(self, raw: Mapping[str, DataFrame], options: silver.SilverOptions = silver.SilverOptions(), stage: Iterable[str] = ()):
-        self.raw = dict(raw)
+        self.raw = raw
         self.opts = options
         self.staged = frozenset(stage)
         self._staged_clean: dict[str, DataFrame] = {}

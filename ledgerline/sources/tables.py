@@ -15,12 +15,16 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
     def read(self, name: str, columns: Iterable[str] | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
+        # one reader per table: file listing and footer schema are resolved once
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        df = self._frames[name]
         cols = list(columns or [])
         return df.select(*cols) if cols else df
 

@@ -11,6 +11,8 @@ work grows with the data.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -189,12 +191,35 @@ def raw_vendors(t: Tables) -> DataFrame:
     return s.select(_unless(key, NULL_VENDOR_ID_MOD, _text(key)).alias("VendorID"), F.lower("s_name").alias("Vendor Name"))
 
 
-def raw_entities(t: Tables) -> dict[str, DataFrame]:
-    return {
-        "customers": raw_customers(t),
-        "orders": raw_orders(t),
-        "transactions": raw_transactions(t),
-        "returns": raw_returns(t),
-        "products": raw_products(t),
-        "vendors": raw_vendors(t),
-    }
+BUILDERS = {
+    "customers": raw_customers,
+    "orders": raw_orders,
+    "transactions": raw_transactions,
+    "returns": raw_returns,
+    "products": raw_products,
+    "vendors": raw_vendors,
+}
+
+
+class RawEntities(Mapping):
+    """The six raw frames, each built on first use (a query touching two
+    entities never resolves the other four tables)."""
+
+    def __init__(self, t: Tables):
+        self._t = t
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, entity: str) -> DataFrame:
+        if entity not in self._built:
+            self._built[entity] = BUILDERS[entity](self._t)
+        return self._built[entity]
+
+    def __iter__(self):
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+
+def raw_entities(t: Tables) -> RawEntities:
+    return RawEntities(t)
