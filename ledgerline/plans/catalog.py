@@ -7,18 +7,17 @@ Silver → Gold → consumer), so its work grows with the tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
-from ..functions.columns import normalize_columns, resolve_alias, ALIASES
+from ..functions.columns import ALIASES, normalize_columns, resolve_alias
 from ..operators import quality as Q
+from ..operators.knn import exact_knn
 from ..sources.tables import Tables, stage
 from ..sources.testbed import raw_entities
-from ..operators.knn import exact_knn
 from . import dq_report, fraud, insights, retrieval
 from .lakehouse import Lakehouse
 from .silver import ENTITIES
