@@ -2,43 +2,11 @@
 as regional CSV / JSON files (differing headers), ingested, run through
 Silver and Gold as availableNow streams; results equal the batch lineage."""
 
-import json
-import os
-
-from pyspark.sql import functions as F
-
 from conftest import SF_SMALL
 from ledgerline.plans.lakehouse import Lakehouse
 from ledgerline.plans.silver import ENTITIES
-from ledgerline.sources.tables import Tables
-from ledgerline.sources.testbed import raw_entities
 from ledgerline.streaming.runner import Layout, Runner
-
-
-def _csv(df, path):
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    df.toPandas().to_csv(path, index=False)
-
-
-def _json(df, path):
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w") as f:
-        json.dump([{k: v for k, v in r.asDict().items() if v is not None} for r in df.collect()], f)
-
-
-def land_testbed(spark, landing):
-    raw = raw_entities(Tables(spark, SF_SMALL))
-    c = raw["customers"]
-    _csv(c.filter(F.col("Customer Name").isNotNull()).select("Customer ID", "Customer Email", "Customer Name", "Segment", "Region"),
-         f"{landing}/Region 1/customers_1.csv")
-    _csv(c.filter(F.col("full_name").isNotNull()).select("cust_id", "email_address", "full_name", "Segment", "Region"),
-         f"{landing}/Region 2/customers_2.csv")
-    _csv(raw["orders"], f"{landing}/Region 1/orders_1.csv")
-    _csv(raw["transactions"], f"{landing}/transactions_1.csv")
-    _csv(raw["vendors"], f"{landing}/vendors.csv")
-    _json(raw["products"], f"{landing}/products.json")
-    _json(raw["returns"], f"{landing}/returns_1.json")
-    return raw
+from tools.land_testbed import land_testbed
 
 
 def _bag(df, cols):
@@ -47,7 +15,7 @@ def _bag(df, cols):
 
 def test_streaming_testbed_equals_batch(spark, scratch):
     landing = f"{scratch}/landing"
-    land_testbed(spark, landing)
+    land_testbed(spark, SF_SMALL, landing)
     layout = Layout(f"{scratch}/lake")
     r = Runner(spark, layout, checkpoint_root=f"{scratch}/ck")
     r.run(landing)
