@@ -4,10 +4,11 @@ A file stream of *paths* (``binaryFile`` with ``content`` pruned, so no bytes
 are read by the stream itself) gives exactly-once discovery through its
 checkpoint. Each micro-batch then reads its new files:
 
-* CSV files are grouped by their header line and each group is read with its
-  own header, so regions spelling columns differently (``cust_id`` vs
-  ``Customer ID``) bind by name, never by position; groups are unioned by
-  name and a new column simply appears (schema evolution).
+* CSV files are grouped by their header line (read from the head of each new
+  file only) and each group is read with its own header, so regions spelling
+  columns differently (``cust_id`` vs ``Customer ID``) bind by name, never by
+  position; groups are unioned by name and a new column simply appears
+  (schema evolution).
 * JSON files (multi-line, top-level arrays) are read with every scalar as
   text; Bronze keeps raw text and Silver does all parsing.
 
@@ -18,9 +19,9 @@ a failure replaces its own output instead of appending twice.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ PATHS_SCHEMA = StructType(
     ]
 )
 MAX_FILES_PER_TRIGGER = 1000
+HEADER_READ_PARALLELISM = 16
 
 
 @dataclass(frozen=True)
@@ -68,16 +70,27 @@ def path_stream(spark: SparkSession, landing: str, spec: IngestSpec, max_files:
     return r.load(f"{landing.rstrip('/')}/{spec.pattern}").select("path")
 
 
-def csv_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, header line) for each path, as a Spark job over the files' first
-    splits: the header is the first line of the split that starts at byte 0."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line_no"),
-        F.col("value"),
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The header line of one file, reading only its head: restricted to the
+    split that starts at byte 0 and limited to one row, Spark's incremental
+    take runs a single task that stops at the first line."""
+    rows = (
+        spark.read.text(path)
+        .filter(F.col("_metadata.file_block_start") == 0)
+        .select("value")
+        .limit(1)
+        .collect()
     )
-    return lines.filter(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "line_no").alias("header"))
+    return rows[0][0] if rows else None
+
+
+def csv_headers(spark: SparkSession, paths: list[str], parallelism: int = HEADER_READ_PARALLELISM) -> dict[str, str | None]:
+    """path → header line for each new file (a bounded list per batch); the
+    small head reads run as concurrent Spark jobs."""
+    if not paths:
+        return {}
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(paths))) as pool:
+        return dict(zip(paths, pool.map(lambda p: first_line(spark, p), paths)))
 
 
 def with_provenance(df: DataFrame) -> DataFrame:
@@ -100,11 +113,12 @@ def read_new_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame
         return _as_text(with_provenance(df))
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}")
-    # ``_metadata.file_path`` is URL-encoded (``Region%201``): match on the decoded form
-    by_decoded = {unquote(p): p for p in paths}
     groups: dict[str, list[str]] = {}
-    for row in csv_headers(spark, paths).collect():  # one row per new file
-        groups.setdefault(row["header"], []).append(by_decoded.get(unquote(row["file"]), row["file"]))
+    for path, header in csv_headers(spark, paths).items():
+        if header is not None:  # empty file: nothing to ingest
+            groups.setdefault(header, []).append(path)
+    if not groups:
+        return None
     parts = [
         _as_text(with_provenance(spark.read.option("header", True).option("enforceSchema", False).csv(files)))
         for files in groups.values()
