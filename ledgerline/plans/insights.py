@@ -89,9 +89,10 @@ def kpi_specs() -> list[KpiSpec]:
 
 
 def page_of(key: Column, n_pages: Column) -> Column:
-    """Stable page for a key: first 32 bits of its MD5, modulo the page count."""
+    """Stable page for a key: first 32 bits of its MD5, modulo the page count
+    (a NULL key goes to page 0)."""
     h = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, n_pages.cast("bigint"))
+    return F.coalesce(F.pmod(h, n_pages.cast("bigint")), F.lit(0))
 
 
 def kpi_pages(view: DataFrame, spec: KpiSpec, page_size: int = PAGE_SIZE) -> DataFrame:

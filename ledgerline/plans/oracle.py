@@ -430,7 +430,7 @@ def _kpi_sql(itype: str, view: str, key: str, fields: str) -> str:
           SELECT page, n_pages, CAST(count(*) AS INTEGER) AS n_entries,
                  to_json(list(struct_pack({fields}) ORDER BY {key})) AS kpi_data
           FROM (SELECT v.*, CAST(n.n_pages AS INTEGER) AS n_pages,
-                       CAST((('0x' || substr(md5(CAST(v.{key} AS VARCHAR)), 1, 8))::BIGINT) % n.n_pages AS INTEGER) AS page
+                       CAST(coalesce((('0x' || substr(md5(CAST(v.{key} AS VARCHAR)), 1, 8))::BIGINT) % n.n_pages, 0) AS INTEGER) AS page
                 FROM {view} v, (SELECT greatest(1, CAST(ceil(count(*) / {PAGE_SIZE}) AS BIGINT)) AS n_pages FROM {view}) n) p
           GROUP BY page, n_pages) g"""
 
