@@ -86,7 +86,9 @@ def top_k(documents: DataFrame, questions: DataFrame, k: int = TOP_K, model: Emb
 def context(hits: DataFrame, documents: DataFrame, keep: int = CONTEXT_K) -> DataFrame:
     """Hits → text, duplicates collapsed to their best rank, first ``keep``
     distinct texts (R5, A17, L3)."""
-    texts = hits.join(documents.select("doc_id", "text"), "doc_id")
+    # hits hold at most k rows per question and the question set is size-checked
+    # by the search: broadcast them instead of shuffling the corpus by doc_id
+    texts = documents.select("doc_id", "text").join(F.broadcast(hits), "doc_id")
     best = texts.groupBy("question_id", "text").agg(F.min("rank").alias("hit_rank"))
     w = Window.partitionBy("question_id").orderBy("hit_rank")
     return best.withColumn("context_rank", F.row_number().over(w)).filter(F.col("context_rank") <= keep).select(
