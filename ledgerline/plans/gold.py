@@ -24,10 +24,14 @@ def date_key(c) -> F.Column:
 
 
 def _dim(df: DataFrame, cols: list[str], key: str, state_bound: str | None) -> DataFrame:
-    """One row per key; on a stream with ``state_bound`` the dedupe state
+    """One row per key. In batch the latest ingested row wins when Bronze
+    provenance is present; on a stream with ``state_bound`` the dedupe state
     keeps keys only for that long after their ingestion time."""
-    if state_bound and df.isStreaming and EVENT_TIME in df.columns:
+    has_time = EVENT_TIME in df.columns
+    if state_bound and df.isStreaming and has_time:
         return latest_by_key(df.select(*cols, EVENT_TIME), [key], watermark=(EVENT_TIME, state_bound)).select(*cols)
+    if has_time and not df.isStreaming:
+        return latest_by_key(df.select(*cols, EVENT_TIME), [key], order_by=[EVENT_TIME]).select(*cols)
     return latest_by_key(df.select(*cols), [key])
 
 

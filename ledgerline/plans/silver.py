@@ -79,8 +79,12 @@ def customers_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> Dat
 def region_lookup(customers_clean: DataFrame, opts: SilverOptions = SilverOptions()) -> DataFrame:
     """customer_id → region from clean customers, one row per id when
     ``dedupe_lookup`` (so duplicate customer rows never multiply orders)."""
-    lookup = customers_clean.select("customer_id", "region")
-    return latest_by_key(lookup, ["customer_id"]) if opts.dedupe_lookup else lookup
+    if not opts.dedupe_lookup:
+        return customers_clean.select("customer_id", "region")
+    if "ingestion_timestamp" in customers_clean.columns:  # latest ingested row wins
+        lookup = customers_clean.select("customer_id", "region", "ingestion_timestamp")
+        return latest_by_key(lookup, ["customer_id"], order_by=["ingestion_timestamp"]).select("customer_id", "region")
+    return latest_by_key(customers_clean.select("customer_id", "region"), ["customer_id"])
 
 
 ORDER_FIELDS = ("order_id", "customer_id", "vendor_id", "ship_mode", "order_purchase_date")
