@@ -133,3 +133,27 @@ class Runner:
         self.run_silver()
         self.run_gold()
         self.run_kpis()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m ledgerline.streaming.runner LANDING LAKE_ROOT [--state-bound "7 days"]``
+    (or via spark-submit): drain new landing files through every layer. The
+    session comes from the launcher's configuration; its
+    ``spark.checkpoint.dir`` holds the stream checkpoints."""
+    import argparse
+
+    from ..session import apply_runtime_conf
+
+    ap = argparse.ArgumentParser(description=main.__doc__)
+    ap.add_argument("landing")
+    ap.add_argument("lake_root")
+    ap.add_argument("--state-bound", default=None)
+    ap.add_argument("--max-files", type=int, default=1000)
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    apply_runtime_conf(spark)
+    Runner(spark, Layout(args.lake_root), state_bound=args.state_bound).run(args.landing, max_files=args.max_files)
+
+
+if __name__ == "__main__":
+    main()

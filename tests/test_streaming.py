@@ -157,3 +157,12 @@ def test_state_bound_keeps_results(spark, scratch):
             for t in ("fact_transactions", "fact_returns", "dim_customer", "dim_vendor")
         }
     assert out["free"] == out["bounded"]
+
+
+def test_runner_command_line(spark, scratch):
+    from ledgerline.streaming import runner
+
+    landing = f"{scratch}/landing"
+    land(landing)
+    runner.main([landing, f"{scratch}/cli"])
+    assert spark.read.parquet(f"{scratch}/cli/gold/fact_transactions").count() == 2
