@@ -42,3 +42,24 @@ def test_attach_stored_explanations(spark):
     stored = spark.createDataFrame([("t", "missing a", "_dq_a", "Impact.")], "entity_name string, issue_type string, field_name string, business_impact string")
     out = dq_report.attach_explanations(counts, stored).collect()
     assert out[0].business_impact == "Impact."
+
+
+def test_consumer_jobs_over_runner_tables(spark, scratch):
+    """The four consumer jobs read what the runner wrote and publish tables."""
+    from ledgerline.plans import jobs
+    from ledgerline.streaming.runner import Layout, Runner
+    from test_streaming import land
+
+    landing = f"{scratch}/landing"
+    land(landing)
+    layout = Layout(f"{scratch}/lake")
+    Runner(spark, layout, checkpoint_root=f"{scratch}/ck").run(landing)
+    publish.use_namespace(spark, "consumers_test")
+    assert jobs.dq_audit_job(spark, layout) > 0
+    n_flagged = jobs.return_abuse_job(spark, layout)
+    assert n_flagged == spark.table("flagged_return_customers").count()
+    jobs.insights_job(spark, layout)
+    assert spark.table("ai_business_insights").select("insight_type").distinct().count() == 3
+    ans = jobs.question_answer_job(spark, layout, ["Which products are slow-moving?"])
+    assert ans.count() == 1 and spark.table("rag_query_history").count() == 1
+    spark.catalog.setCurrentDatabase("default")
