@@ -9,8 +9,10 @@ checkpoint. Each micro-batch then reads its new files:
   columns differently (``cust_id`` vs ``Customer ID``) bind by name, never by
   position; groups are unioned by name and a new column simply appears
   (schema evolution).
-* JSON files (multi-line, top-level arrays) are read with every scalar as
-  text; Bronze keeps raw text and Silver does all parsing.
+* JSON files are read with every scalar as text: JSON Lines files with the
+  splittable reader (a huge file is many tasks), top-level arrays and
+  pretty-printed objects as whole documents (``multiLine``). Bronze keeps
+  raw text and Silver does all parsing.
 
 Every row gets ``source_file`` and ``ingestion_timestamp``. A batch writes
 to ``{bronze}/{entity}/batch_id={n}`` with overwrite, so a batch re-run after
@@ -19,6 +21,7 @@ a failure replaces its own output instead of appending twice.
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -93,6 +96,17 @@ def csv_headers(spark: SparkSession, paths: list[str], parallelism: int = HEADER
         return dict(zip(paths, pool.map(lambda p: first_line(spark, p), paths)))
 
 
+def is_json_lines(first: str | None) -> bool:
+    """A file whose first line is a complete JSON object holds one object per
+    line (splittable); an array or a pretty-printed object is one document."""
+    if not first or not first.lstrip().startswith("{"):
+        return False
+    try:
+        return isinstance(json.loads(first), dict)
+    except ValueError:
+        return False
+
+
 def with_provenance(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {"source_file": F.col("_metadata.file_path"), "ingestion_timestamp": F.current_timestamp()}
@@ -109,8 +123,18 @@ def read_new_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame
     if not paths:
         return None
     if fmt == "json":
-        df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(paths)
-        return _as_text(with_provenance(df))
+        # JSON Lines files are read split-parallel; whole-document files
+        # (top-level arrays, pretty-printed objects) need multiLine, one task each
+        heads = csv_headers(spark, paths)
+        modes: dict[bool, list[str]] = {}
+        for path, first in heads.items():
+            if first is not None:
+                modes.setdefault(is_json_lines(first), []).append(path)
+        parts = [
+            _as_text(with_provenance(spark.read.option("multiLine", not lines).option("primitivesAsString", True).json(files)))
+            for lines, files in modes.items()
+        ]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}")
     groups: dict[str, list[str]] = {}

@@ -166,3 +166,16 @@ def test_runner_command_line(spark, scratch):
     land(landing)
     runner.main([landing, f"{scratch}/cli"])
     assert spark.read.parquet(f"{scratch}/cli/gold/fact_transactions").count() == 2
+
+
+def test_json_lines_and_arrays_both_ingest(spark, scratch):
+    """Returns landed as one JSON array file and one JSON Lines file."""
+    from ledgerline.streaming.ingest import IngestSpec, is_json_lines
+
+    landing, bronze = f"{scratch}/landing", f"{scratch}/bronze"
+    _write(f"{landing}/returns_1.json", json.dumps([{"order_id": "1", "amount": "5"}, {"order_id": "2", "amount": "6"}], indent=2))
+    _write(f"{landing}/returns_2.json", "\n".join(json.dumps({"order_id": str(i), "amount": "7", "status": "PENDG"}) for i in range(3, 8)) + "\n")
+    ingest(spark, landing, bronze, IngestSpec("returns", "returns_*.json", "json"), f"{scratch}/ck")
+    df = read_bronze(spark, bronze, "returns")
+    assert df.count() == 7 and sorted(r.order_id for r in df.collect()) == [str(i) for i in range(1, 8)]
+    assert is_json_lines('{"a": 1}') and not is_json_lines("[") and not is_json_lines("{")
