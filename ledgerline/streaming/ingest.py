@@ -87,9 +87,10 @@ def first_line(spark: SparkSession, path: str) -> str | None:
     return rows[0][0] if rows else None
 
 
-def csv_headers(spark: SparkSession, paths: list[str], parallelism: int = HEADER_READ_PARALLELISM) -> dict[str, str | None]:
-    """path → header line for each new file (a bounded list per batch); the
-    small head reads run as concurrent Spark jobs."""
+def head_lines(spark: SparkSession, paths: list[str], parallelism: int = HEADER_READ_PARALLELISM) -> dict[str, str | None]:
+    """path → first line of each new file (a bounded list per batch): the CSV
+    header, or what tells JSON Lines from a whole JSON document. The small
+    head reads run as concurrent Spark jobs."""
     if not paths:
         return {}
     with ThreadPoolExecutor(max_workers=min(parallelism, len(paths))) as pool:
@@ -125,7 +126,7 @@ def read_new_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame
     if fmt == "json":
         # JSON Lines files are read split-parallel; whole-document files
         # (top-level arrays, pretty-printed objects) need multiLine, one task each
-        heads = csv_headers(spark, paths)
+        heads = head_lines(spark, paths)
         modes: dict[bool, list[str]] = {}
         for path, first in heads.items():
             if first is not None:
@@ -138,7 +139,7 @@ def read_new_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}")
     groups: dict[str, list[str]] = {}
-    for path, header in csv_headers(spark, paths).items():
+    for path, header in head_lines(spark, paths).items():
         if header is not None:  # empty file: nothing to ingest
             groups.setdefault(header, []).append(path)
     if not groups:
