@@ -115,3 +115,13 @@ def test_every_row_lands_exactly_once(spark, rows):
     parity = apply_rules(spark.createDataFrame(rows, "a int, b int"), _rules(), null_policy="drop")
     p = split_accounting(parity, "t").collect()[0]
     assert p.input_rows == p.clean_rows + p.quarantine_rows + p.unassigned_rows
+
+
+def test_write_split_rerun_replaces_both_sides(spark, scratch):
+    """A re-run with no failing rows must not leave the old quarantine behind."""
+    path = f"{scratch}/split2"
+    write_split(apply_rules(spark.createDataFrame([(1, 1), (None, 1)], "a int, b int"), _rules()), path)
+    assert read_split(spark, path, "quarantine").count() == 1
+    write_split(apply_rules(spark.createDataFrame([(1, 1)], "a int, b int"), _rules()), path)
+    assert read_split(spark, path, "quarantine").count() == 0
+    assert read_split(spark, path, "clean").count() == 1
