@@ -28,7 +28,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType, BinaryType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from ..session import ensure_checkpoint_dir
 
@@ -74,9 +74,9 @@ def path_stream(spark: SparkSession, landing: str, spec: IngestSpec, max_files:
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:
-    """The header line of one file, reading only its head: restricted to the
+    """The first line of one file, reading only its head: restricted to the
     split that starts at byte 0 and limited to one row, Spark's incremental
-    take runs a single task that stops at the first line."""
+    take runs a single task that stops after that line."""
     rows = (
         spark.read.text(path)
         .filter(F.col("_metadata.file_block_start") == 0)
