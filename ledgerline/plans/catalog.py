@@ -20,7 +20,7 @@ from ..sources.tables import Tables, stage
 from ..sources.testbed import raw_entities
 from . import dq_report, fraud, insights, retrieval
 from .lakehouse import Lakehouse
-from .silver import ENTITIES
+from .silver import ENTITIES, SilverOptions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,6 +186,22 @@ def split_accounting(spark, sf_dir):
     return reduce(DataFrame.unionByName, [Q.split_accounting(lh.base(e), e) for e in ENTITIES])
 
 
+def split_accounting_parity(spark, sf_dir):
+    """The reference's three-valued rules: rows whose rule is NULL land in
+    neither table (D1), counted as unassigned."""
+    lh = Lakehouse.from_testbed(spark, sf_dir, options=SilverOptions(null_policy="drop"))
+    return reduce(DataFrame.unionByName, [Q.split_accounting(lh.base(e), e) for e in ENTITIES])
+
+
+def dim_date_parity(spark, sf_dir):
+    """The reference's date dimension: distinct order timestamps and return
+    dates, so keys repeat and a NULL row appears (D14)."""
+    from . import gold
+
+    lh = Lakehouse.from_testbed(spark, sf_dir)
+    return gold.dim_date(lh.clean("orders"), lh.clean("returns"), grain="timestamp")
+
+
 def _quarantines(spark, sf_dir):
     lh = Lakehouse.from_testbed(spark, sf_dir)
     return {e: lh.quarantine(e) for e in ENTITIES}
@@ -231,6 +247,8 @@ for _f in (
     vendor_initcap,
     orders_region_freeze,
     split_accounting,
+    split_accounting_parity,
+    dim_date_parity,
     dq_unpivot,
     dq_failure_counts,
     dq_prompts,

@@ -411,6 +411,29 @@ BODIES.update(
             f"FROM {e}_base"
             for e in ENTITY_FLAGS
         ),
+        "split_accounting_parity": " UNION ALL ".join(
+            [
+                "SELECT 'customers' AS entity_name, count(*) AS input_rows, count(*) FILTER (WHERE v) AS clean_rows, "
+                "count(*) FILTER (WHERE NOT v) AS quarantine_rows, count(*) FILTER (WHERE v IS NULL) AS unassigned_rows FROM "
+                "(SELECT (customer_id IS NOT NULL) AND (customer_email IS NOT NULL) AND "
+                "(segment IN ('Consumer', 'Corporate', 'Home Office')) AS v FROM customers_h) c",
+                "SELECT 'transactions' AS entity_name, count(*) AS input_rows, count(*) FILTER (WHERE v) AS clean_rows, "
+                "count(*) FILTER (WHERE NOT v) AS quarantine_rows, count(*) FILTER (WHERE v IS NULL) AS unassigned_rows FROM "
+                "(SELECT (order_id IS NOT NULL) AND (product_id IS NOT NULL) AND (quantity > 0) AS v FROM transactions_raw) t",
+            ]
+            + [
+                f"SELECT '{e}' AS entity_name, count(*) AS input_rows, count(*) FILTER (WHERE _is_valid) AS clean_rows, "
+                f"count(*) FILTER (WHERE NOT _is_valid) AS quarantine_rows, count(*) FILTER (WHERE _is_valid IS NULL) AS unassigned_rows "
+                f"FROM {e}_base"
+                for e in ("orders", "returns", "products", "vendors")
+            ]
+        ),
+        "dim_date_parity": """
+            SELECT date, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key,
+                   CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+                   CAST(day(date) AS INTEGER) AS day
+            FROM (SELECT order_purchase_date AS date FROM orders_clean
+                  UNION SELECT CAST(return_date AS TIMESTAMP) FROM returns_clean) d""",
         "dq_unpivot": " UNION ALL ".join(
             f"SELECT customer_id, _dq_reason, '{f}' AS dq_field, {f} AS is_valid FROM customers_base" for f in ENTITY_FLAGS["customers"]
         ),
