@@ -4,7 +4,8 @@ Each query runs to completion through the ``noop`` sink (the whole plan
 executes, nothing is collected). The clean/quarantine split is timed as the
 real one-pass partitioned write. The incremental pipeline (landing files →
 Bronze → Silver → Gold → KPIs through availableNow streams) is timed
-separately and reported as ``incremental_pipeline``. Prints one JSON line.
+separately and reported as ``incremental_pipeline``. ``BENCH_EVENT_LOG=dir``
+writes Spark's event log there for stage and task times. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -41,7 +42,10 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="ledgerline-bench")
+    # optional: Spark's event log (stage / task times) into a scratch folder
+    log_dir = os.environ.get("BENCH_EVENT_LOG")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
+    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="ledgerline-bench", extra=extra)
     out_root = tempfile.mkdtemp(prefix="ledgerline-bench-")
 
     # warm-up: JVM, parquet footers, Python workers (arrow / mapInPandas)

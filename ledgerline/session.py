@@ -28,7 +28,7 @@ RUNTIME_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerline") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerline", extra: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and benches (UI off, no ports beyond Spark's own)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -44,7 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # tests only: the cluster names its own shared folder
         builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
         builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerline-warehouse-"))
-    for k, v in RUNTIME_CONF.items():
+    for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
