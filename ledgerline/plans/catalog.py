@@ -372,7 +372,7 @@ def _rag(spark, sf_dir):
     # joined back for text: written once instead of recomputed from the facts
     docs = stage(retrieval.rag_documents(*_docs(spark, sf_dir, stage=RAG_STAGE)), "rag_documents")
     qs = retrieval.questions_frame(spark)
-    return docs, qs, retrieval.top_k(docs, qs)
+    return docs, qs, retrieval.top_k(docs, qs), retrieval.questions_bounded(qs)
 
 
 def rag_topk(spark, sf_dir):
@@ -382,13 +382,13 @@ def rag_topk(spark, sf_dir):
 
 
 def rag_context(spark, sf_dir):
-    docs, _, hits = _rag(spark, sf_dir)
-    return retrieval.context(hits, docs)
+    docs, _, hits, bounded = _rag(spark, sf_dir)
+    return retrieval.context(hits, docs, broadcast_hits=bounded)
 
 
 def rag_answer(spark, sf_dir):
-    docs, qs, hits = _rag(spark, sf_dir)
-    return retrieval.answer(qs, retrieval.context(hits, docs))
+    docs, qs, hits, bounded = _rag(spark, sf_dir)
+    return retrieval.answer(qs, retrieval.context(hits, docs, broadcast_hits=bounded))
 
 
 def vector_topk(spark, sf_dir):

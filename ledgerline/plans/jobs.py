@@ -74,7 +74,8 @@ def question_answer_job(
     vendors = retrieval.vendor_documents(_gold(spark, layout, "dim_vendor"), _gold(spark, layout, "agg_vendor_performance"))
     docs = stage(retrieval.rag_documents(products, vendors), "rag_documents")
     qs = retrieval.questions_frame(spark, questions)
-    answers = retrieval.answer(qs, retrieval.context(retrieval.top_k(docs, qs, model=embed_model), docs))
+    hits = retrieval.top_k(docs, qs, model=embed_model)
+    answers = retrieval.answer(qs, retrieval.context(hits, docs, broadcast_hits=retrieval.questions_bounded(qs)))
     answers = stage(answers, "rag_answers")  # logged and returned: computed once
     publish.log_answers(answers, table)
     return answers

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import EmbedModel, embed
-from ..operators.knn import exact_knn
+from ..operators.knn import MAX_BROADCAST_QUERIES, exact_knn
 
 # Document templates, demo questions, retrieval depth, routing
 # keywords and the empty-answer text.
@@ -83,12 +83,22 @@ def top_k(documents: DataFrame, questions: DataFrame, k: int = TOP_K, model: Emb
     return hits.select("question_id", "doc_id", "rank", "distance")
 
 
-def context(hits: DataFrame, documents: DataFrame, keep: int = CONTEXT_K) -> DataFrame:
+def questions_bounded(questions: DataFrame, bound: int = MAX_BROADCAST_QUERIES) -> bool:
+    """True when the question set has at most ``bound`` rows (fetches at most
+    bound + 1 ids to decide)."""
+    return questions.select(F.lit(1)).limit(bound + 1).count() <= bound
+
+
+def context(hits: DataFrame, documents: DataFrame, keep: int = CONTEXT_K, broadcast_hits: bool = False) -> DataFrame:
     """Hits → text, duplicates collapsed to their best rank, first ``keep``
-    distinct texts (R5, A17, L3)."""
-    # hits hold at most k rows per question and the question set is size-checked
-    # by the search: broadcast them instead of shuffling the corpus by doc_id
-    texts = documents.select("doc_id", "text").join(F.broadcast(hits), "doc_id")
+    distinct texts (R5, A17, L3).
+
+    ``broadcast_hits`` only when the question set is size-checked
+    (``questions_bounded``): then the hits are at most k rows per question
+    and are broadcast instead of shuffling the corpus by doc_id; otherwise AQE
+    picks the join from measured sizes."""
+    h = F.broadcast(hits) if broadcast_hits else hits
+    texts = documents.select("doc_id", "text").join(h, "doc_id")
     best = texts.groupBy("question_id", "text").agg(F.min("rank").alias("hit_rank"))
     w = Window.partitionBy("question_id").orderBy("hit_rank")
     return best.withColumn("context_rank", F.row_number().over(w)).filter(F.col("context_rank") <= keep).select(
