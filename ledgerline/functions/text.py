@@ -49,9 +49,10 @@ def hashed_term_counts(text: Column, dim: int = EMBED_DIM) -> Column:
 EmbedModel = Callable[[pd.Series], list]
 
 
-def embed_with(df: DataFrame, text_col: str, out_col: str, model: EmbedModel) -> DataFrame:
+def embed_with(df: DataFrame, text_col: str, out_col: str, model: EmbedModel, batch_size: int | None = None) -> DataFrame:
     """Pluggable embedding hook (R2, R3): ``model`` maps a batch of texts to a
-    list of vectors, run per Arrow batch inside the tasks."""
+    list of vectors, run per Arrow batch inside the tasks, at most
+    ``batch_size`` texts per call."""
     fields = [f for f in df.schema.fields if f.name != out_col]
     schema = StructType(fields + [StructField(out_col, ArrayType(DoubleType()), True)])
     names = [f.name for f in fields]
@@ -59,15 +60,19 @@ def embed_with(df: DataFrame, text_col: str, out_col: str, model: EmbedModel) ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf[names].copy()
-            vecs = model(pdf[text_col])
+            texts = pdf[text_col]
+            step = batch_size or max(len(texts), 1)
+            vecs = [v for i in range(0, len(texts), step) for v in model(texts.iloc[i : i + step])]
             pdf[out_col] = [None if v is None else np.asarray(v, dtype=np.float64).tolist() for v in vecs]
             yield pdf
 
     return df.mapInPandas(run, schema)
 
 
-def embed(df: DataFrame, text_col: str, out_col: str = "embedding", model: EmbedModel | None = None, dim: int = EMBED_DIM) -> DataFrame:
+def embed(
+    df: DataFrame, text_col: str, out_col: str = "embedding", model: EmbedModel | None = None, dim: int = EMBED_DIM, batch_size: int | None = None
+) -> DataFrame:
     """Embed a text column: the hashed default (JVM) or a supplied model."""
     if model is None:
         return df.withColumn(out_col, hashed_term_counts(F.col(text_col), dim))
-    return embed_with(df, text_col, out_col, model)
+    return embed_with(df, text_col, out_col, model, batch_size)

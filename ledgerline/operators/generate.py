@@ -37,11 +37,26 @@ def _safe_apply(fn: TextModel, prompts: pd.Series) -> pd.Series:
     return out.where(out.notna(), None).astype(object)
 
 
-def generate_text(df: DataFrame, prompt_col: str, out_col: str, model: TextModel | None = None, default: Column | None = None) -> DataFrame:
+def chunked(fn: TextModel, size: int | None) -> TextModel:
+    """Call ``fn`` on at most ``size`` prompts at a time (endpoint request limits)."""
+    if not size:
+        return fn
+
+    def run(prompts: pd.Series) -> pd.Series:
+        parts = [pd.Series(fn(prompts.iloc[i : i + size]), index=prompts.index[i : i + size]) for i in range(0, len(prompts), size)]
+        return pd.concat(parts) if parts else pd.Series([], dtype=object)
+
+    return run
+
+
+def generate_text(
+    df: DataFrame, prompt_col: str, out_col: str, model: TextModel | None = None, default: Column | None = None, batch_size: int | None = None
+) -> DataFrame:
     """Add ``out_col`` = model(prompt) per row.
 
     ``model=None`` uses ``default`` (a Column expression, e.g. a template over
-    the row's fields) and stays in the JVM."""
+    the row's fields) and stays in the JVM. ``batch_size`` caps the prompts
+    per model call; a failing call is retried row by row."""
     if model is None:
         if default is None:
             raise ValueError("need a model or a default expression")
@@ -50,10 +65,12 @@ def generate_text(df: DataFrame, prompt_col: str, out_col: str, model: TextModel
     schema = StructType(fields + [StructField(out_col, StringType(), True)])
     names = [f.name for f in fields]
 
+    call = chunked(model, batch_size)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf[names].copy()
-            pdf[out_col] = _safe_apply(model, pdf[prompt_col])
+            pdf[out_col] = _safe_apply(call, pdf[prompt_col])
             yield pdf
 
     return df.mapInPandas(run, schema)

@@ -107,3 +107,19 @@ def test_documents_print_unknown_for_missing_fields(spark):
     vdocs = {r.doc_id: r.text for r in retrieval.vendor_documents(dim_v, perf).collect()}
     assert vdocs["vendor:V1"] == "Vendor Acme. Their return rate is 0.250000."
     assert vdocs["vendor:V2"] == "Vendor unknown. Their return rate is unknown."
+
+
+def test_model_hooks_respect_batch_size(spark):
+    """Model calls never see more than batch_size inputs."""
+    from ledgerline.operators.generate import generate_text
+
+    df = spark.range(50).select(F.col("id").cast("string").alias("p")).coalesce(1)
+
+    def model(s):
+        return s.map(lambda x: f"{x}:{len(s)}")
+
+    out = generate_text(df, "p", "o", model=model, batch_size=7).collect()
+    sizes = [int(r.o.split(":")[1]) for r in out]
+    assert max(sizes) == 7 and sorted(r.o.split(":")[0] for r in out) == sorted(str(i) for i in range(50))
+    emb = embed(df, "p", model=lambda s: ([[float(len(s))]] * len(s)) if len(s) <= 7 else None, batch_size=7).collect()
+    assert all(r.embedding[0] <= 7 for r in emb) and len(emb) == 50
