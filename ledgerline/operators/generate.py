@@ -21,34 +21,28 @@ from pyspark.sql.types import StringType, StructField, StructType
 TextModel = Callable[[pd.Series], pd.Series]
 
 
-def _safe_apply(fn: TextModel, prompts: pd.Series) -> pd.Series:
-    """Whole batch at once; if the batch call fails, retry row by row and
-    leave NULL where a single prompt fails (the reference skips such rows)."""
-    try:
-        out = pd.Series(fn(prompts), index=prompts.index)
-    except Exception:  # noqa: BLE001 — model errors become NULL replies
-        vals = []
-        for p in prompts:
-            try:
-                vals.append(pd.Series(fn(pd.Series([p]))).iloc[0])
-            except Exception:  # noqa: BLE001
-                vals.append(None)
-        out = pd.Series(vals, index=prompts.index)
+def _safe_apply(fn: TextModel, prompts: pd.Series, size: int | None = None) -> pd.Series:
+    """Call the model on chunks of at most ``size`` prompts (the whole batch
+    when unset); if a chunk's call fails, retry that chunk row by row and leave
+    NULL where a single prompt fails (the reference skips such rows)."""
+    step = size or max(len(prompts), 1)
+    parts = []
+    for i in range(0, len(prompts), step):
+        chunk = prompts.iloc[i : i + step]
+        try:
+            parts.append(pd.Series(list(fn(chunk)), index=chunk.index, dtype=object))
+        except Exception:  # noqa: BLE001 — model errors become NULL replies
+            vals = []
+            for p in chunk:
+                try:
+                    vals.append(list(fn(pd.Series([p])))[0])
+                except Exception:  # noqa: BLE001
+                    vals.append(None)
+            parts.append(pd.Series(vals, index=chunk.index, dtype=object))
+    out = pd.concat(parts) if parts else pd.Series([], dtype=object)
     return out.where(out.notna(), None).astype(object)
 
 
-def chunked(fn: TextModel, size: int | None) -> TextModel:
-    """Call ``fn`` on at most ``size`` prompts at a time (endpoint request limits)."""
-    if not size:
-        return fn
-
-    def run(prompts: pd.Series) -> pd.Series:
-        parts = [pd.Series(fn(prompts.iloc[i : i + size]), index=prompts.index[i : i + size]) for i in range(0, len(prompts), size)]
-        return pd.concat(parts) if parts else pd.Series([], dtype=object)
-
-    return run
-
-
 def generate_text(
     df: DataFrame, prompt_col: str, out_col: str, model: TextModel | None = None, default: Column | None = None, batch_size: int | None = None
 ) -> DataFrame:
@@ -56,7 +50,7 @@ def generate_text(
 
     ``model=None`` uses ``default`` (a Column expression, e.g. a template over
     the row's fields) and stays in the JVM. ``batch_size`` caps the prompts
-    per model call; a failing call is retried row by row."""
+    per model call; a failing call is retried row by row for its chunk only."""
     if model is None:
         if default is None:
             raise ValueError("need a model or a default expression")
@@ -65,12 +59,10 @@ def generate_text(
     schema = StructType(fields + [StructField(out_col, StringType(), True)])
     names = [f.name for f in fields]
 
-    call = chunked(model, batch_size)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf[names].copy()
-            pdf[out_col] = _safe_apply(call, pdf[prompt_col])
+            pdf[out_col] = _safe_apply(model, pdf[prompt_col], batch_size)
             yield pdf
 
     return df.mapInPandas(run, schema)
