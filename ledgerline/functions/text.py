@@ -39,11 +39,13 @@ def token_bucket(token: Column, dim: int) -> Column:
 
 
 def hashed_term_counts(text: Column, dim: int = EMBED_DIM) -> Column:
-    """Dense ``array<double>`` of token counts per hash bucket. Built with one
-    fold over the token buckets, so each token is hashed once."""
+    """Dense ``array<float>`` of token counts per hash bucket (small integers,
+    exact in float32, so half the bytes of doubles on the way to the scorer).
+    Built with one fold over the token buckets, so each token is hashed once."""
     buckets = F.transform(tokens(text), lambda t: token_bucket(t, dim))
-    zero = F.array_repeat(F.lit(0.0), dim)
-    return F.aggregate(buckets, zero, lambda acc, b: F.transform(acc, lambda x, j: F.when(j == b, x + F.lit(1.0)).otherwise(x)))
+    one = F.lit(1.0).cast("float")
+    zero = F.array_repeat(F.lit(0.0).cast("float"), dim)
+    return F.aggregate(buckets, zero, lambda acc, b: F.transform(acc, lambda x, j: F.when(j == b, x + one).otherwise(x)))
 
 
 EmbedModel = Callable[[pd.Series], list]
