@@ -1,8 +1,8 @@
 """Independent DuckDB SQL for the correctness gate.
 
 The same testbed mapping, Silver rules and Gold definitions, written as plain
-ANSI-ish SQL over the driver's pre-registered views. Each query in
-``ORACLE`` is ``WITH <shared CTEs> SELECT …``.
+ANSI-ish SQL over the driver's pre-registered views. Each body in
+``BODIES`` becomes ``WITH <shared CTEs> SELECT …`` (``oracle_sql()``).
 """
 
 from __future__ import annotations
