@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +64,14 @@ class Runner:
         self.ckpt = f"{(checkpoint_root or ensure_checkpoint_dir(spark)).rstrip('/')}/lakehouse"
 
     # ---- plumbing -------------------------------------------------------
+    def exists(self, path: str) -> bool:
+        """A table with data at ``path`` (feeds may land after the first run)."""
+        try:
+            self.spark.read.parquet(path).schema
+            return True
+        except AnalysisException:
+            return False
+
     def _stream(self, path: str) -> DataFrame:
         schema = self.spark.read.parquet(path).schema  # file streams need a schema up front
         return self.spark.readStream.schema(schema).parquet(path)
@@ -98,25 +107,39 @@ class Runner:
         path = f"{self.layout.bronze}/{entity}"
         return self.spark.readStream.schema(schema).option("mergeSchema", True).parquet(path).drop("batch_id")
 
+    def _has_bronze(self, entity: str) -> bool:
+        return self.exists(f"{self.layout.bronze}/{entity}")
+
     def run_silver(self) -> None:
+        """Entities whose feed has not landed yet are skipped until it has."""
         for entity in ("customers", "transactions", "returns", "products", "vendors"):
-            base = silver.BASES[entity](self._bronze_stream(entity), self.opts)
-            self._drain(with_status(base), self.layout.silver(entity), f"silver_{entity}", [STATUS])
-        customers = self.silver_table("customers")  # static snapshot for the stream–static join
-        orders = silver.orders_base(self._bronze_stream("orders"), customers, self.opts)
-        self._drain(with_status(orders), self.layout.silver("orders"), "silver_orders", [STATUS])
+            if self._has_bronze(entity):
+                base = silver.BASES[entity](self._bronze_stream(entity), self.opts)
+                self._drain(with_status(base), self.layout.silver(entity), f"silver_{entity}", [STATUS])
+        if self._has_bronze("orders") and self.exists(self.layout.silver("customers")):
+            customers = self.silver_table("customers")  # static snapshot for the stream–static join
+            orders = silver.orders_base(self._bronze_stream("orders"), customers, self.opts)
+            self._drain(with_status(orders), self.layout.silver("orders"), "silver_orders", [STATUS])
 
     def run_gold(self) -> None:
+        """Each Gold table runs once all the Silver tables it reads exist."""
         cs, b = self.clean_stream, self.state_bound
-        self._drain(gold.dim_customer(cs("customers"), b), self.layout.gold("dim_customer"), "dim_customer")
-        self._drain(gold.dim_product(cs("products"), b), self.layout.gold("dim_product"), "dim_product")
-        self._drain(gold.dim_vendor(cs("vendors"), b), self.layout.gold("dim_vendor"), "dim_vendor")
-        self._drain(gold.dim_date(cs("orders"), cs("returns")), self.layout.gold("dim_date"), "dim_date")
-        self._drain(gold.fact_transactions(cs("orders"), cs("transactions"), b), self.layout.gold("fact_transactions"), "fact_transactions")
-        self._drain(gold.fact_returns(cs("returns"), cs("orders"), state_bound=b), self.layout.gold("fact_returns"), "fact_returns")
+        plans = [
+            ("dim_customer", ("customers",), lambda: gold.dim_customer(cs("customers"), b)),
+            ("dim_product", ("products",), lambda: gold.dim_product(cs("products"), b)),
+            ("dim_vendor", ("vendors",), lambda: gold.dim_vendor(cs("vendors"), b)),
+            ("dim_date", ("orders", "returns"), lambda: gold.dim_date(cs("orders"), cs("returns"))),
+            ("fact_transactions", ("orders", "transactions"), lambda: gold.fact_transactions(cs("orders"), cs("transactions"), b)),
+            ("fact_returns", ("returns", "orders"), lambda: gold.fact_returns(cs("returns"), cs("orders"), state_bound=b)),
+        ]
+        for name, needs, build in plans:
+            if all(self.exists(self.layout.silver(e)) for e in needs):
+                self._drain(build(), self.layout.gold(name), name)
 
     def run_kpis(self) -> None:
         """Batch recompute + overwrite after the streams drained."""
+        if not (self.exists(self.layout.gold("fact_transactions")) and self.exists(self.layout.gold("fact_returns"))):
+            return
         ft = self.table(self.layout.gold("fact_transactions"))
         fr = self.table(self.layout.gold("fact_returns"))
         outputs = {

@@ -179,3 +179,26 @@ def test_json_lines_and_arrays_both_ingest(spark, scratch):
     df = read_bronze(spark, bronze, "returns")
     assert df.count() == 7 and sorted(r.order_id for r in df.collect()) == [str(i) for i in range(1, 8)]
     assert is_json_lines('{"a": 1}') and not is_json_lines("[") and not is_json_lines("{")
+
+
+def test_feeds_arriving_over_runs(spark, scratch):
+    """First run: only customers and orders have landed — what can be built is
+    built, the rest waits. Second run: the other feeds arrive, every table
+    appears, and orders are not processed twice."""
+    full, landing = f"{scratch}/full", f"{scratch}/landing"
+    land(full)
+    import shutil
+
+    for rel in ("Region 1/customers_1.csv", "Region 2/customers_2.csv", "Region 1/orders_1.csv"):
+        os.makedirs(os.path.dirname(f"{landing}/{rel}"), exist_ok=True)
+        shutil.copy(f"{full}/{rel}", f"{landing}/{rel}")
+    layout = Layout(f"{scratch}/lake")
+    r = Runner(spark, layout, checkpoint_root=f"{scratch}/ck")
+    r.run(landing)
+    assert r.exists(layout.gold("dim_customer")) and not r.exists(layout.gold("fact_transactions"))
+    for rel in ("transactions_1.csv", "products.json", "returns_1.json", "vendors.csv"):
+        shutil.copy(f"{full}/{rel}", f"{landing}/{rel}")
+    r.run(landing)
+    assert r.table(layout.gold("fact_transactions")).count() == 2
+    assert r.silver_table("orders", "clean").count() + r.silver_table("orders", "quarantine").count() == 5
+    assert r.exists(layout.gold("agg_monthly_revenue"))
