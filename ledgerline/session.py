@@ -54,12 +54,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Apply the runtime settings to an existing session (only SQL confs)."""
+    """Apply the runtime settings that the session does not set itself."""
+    own = spark.conf.getAll
     for k, v in RUNTIME_CONF.items():
-        try:
+        if k not in own:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared cluster session: leave as set
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
