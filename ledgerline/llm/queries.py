@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, linededup, minhash, packing
+from . import decontaminate, langid, linededup, minhash, packing, quality
 from .common import table
 from .sampling import bucket_of
 
@@ -47,6 +47,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = bucket_of(F.col("doc_id"), 3) == 1
+    net = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score(docs, net)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -57,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op6_language_id": op6_language_id,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
+    "op9_quality": op9_quality,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
