@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block:
     placed = staged(placed, "cluster-nodes")
 
     # texts meet their nodes; larger clusters go out as pairs of blocks
-    texts = docs.select("doc_id", "text").join(placed, "doc_id")
+    texts = docs.select("doc_id", "text").join(placed.hint("merge"), "doc_id")
     pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = texts.select("text", "node", "root", "block", pair).select(
         "text",

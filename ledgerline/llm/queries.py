@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, linededup, minhash, packing, quality
+from . import chat, covertree, decontaminate, langid, linededup, minhash, packing, quality, warc
 from .common import table
 from .sampling import bucket_of
 
@@ -28,6 +28,58 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.derivatives(warc.responses_of_pages(table(spark, sf_dir, "pages")))
+    source = lambda name: F.col("source_headers")[name]
+    return made.select(
+        "record_id",
+        "warc_type",
+        "refers_to",
+        "target_uri",
+        "date",
+        "content_type",
+        "content_length",
+        "block_digest",
+        source("WARC-Block-Digest").alias("source_block_digest"),
+        source("WARC-Payload-Digest").alias("source_payload_digest"),
+        F.decode("block", "utf-8").alias("block"),
+    )
+
+
+def op2_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(covertree.usable(F.col("embedding")))
+    whole = lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)  # noqa: E731  from 2^52 on, doubles are whole
+    scaled = F.transform("embedding", lambda v: whole(F.lit(256.0) * v.cast("double")))
+    vectors = rows.select(F.col("vec_id").alias("id"), scaled.alias("vector"))
+    found = covertree.top_k(vectors, vectors.where("id % 50 = 0"), k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit(r"\### Assistant: </turn> ok")
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    back = chat.read_back(chat.windows(turns.unionByName(added)))
+    own = ~F.col("repeated")
+    ordered = lambda value: F.array_sort(F.collect_list(F.when(own, F.struct("place", value.alias("value")))))
+    text = lambda rows: F.array_join(F.transform(rows, lambda r: r["value"]), "")
+    gathered = back.groupBy("conv_id").agg(
+        F.sum(own.cast("long")).alias("n_turns"),
+        ordered(F.concat("role", F.lit("\n"), "text", F.lit("\n"))).alias("turns"),
+        ordered(F.coalesce("loss_text", F.lit(""))).alias("loss"),
+        F.sum("window_chars").alias("formatted_chars"),
+    )
+    loss = text("loss")
+    return gathered.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(text("turns"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.col("formatted_chars").cast("long").alias("formatted_chars"),
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -61,6 +113,9 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc_derivatives": op1_warc_derivatives,
+    "op2_cover_tree_top_k": op2_cover_tree_top_k,
+    "op3_chat_windows": op3_chat_windows,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op7_decontaminate": op7_decontaminate,
