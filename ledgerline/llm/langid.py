@@ -14,7 +14,7 @@ all that tasks receive. A prediction depends on that text alone.
 
 Defined cases: text that is NULL or has no letter is ``und`` with score 0 and
 rejected; a text without any subword gets the prior; without labelled rows all
-texts are ``und``; one known language is predicted for all; repeated rows and
+texts are ``und``, and only those without a letter rejected; one known language is predicted for all; repeated rows and
 extra columns change nothing; an empty table gives no rows.
 """
 
@@ -130,7 +130,7 @@ def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([*buckets, np.zeros(0, np.int32)]), np.concatenate([[0], np.cumsum(np.concatenate([*counts, np.zeros(0, np.int64)]))]).astype(np.int64)
 
 
-def train(rows: list[tuple[str, str]], epochs: int = 5, batch: int = 32, rate: float = 4.0, reject_share: float = 0.001, reject_cap: float = 0.5, seed: int = 5) -> Model | None:
+def train(rows: list[tuple[str, str]], epochs: int = 5, batch: int = 32, rate: float = 4.0, reject_share: float = 0.0005, reject_cap: float = 0.4, seed: int = 5) -> Model | None:
     """rows: (language, text), in any order."""
     rows = sorted(rows)
     langs = sorted({lang for lang, _ in rows})
@@ -225,11 +225,13 @@ def identify(docs: DataFrame, model: Model | None, columns: list[str] | None = N
 
     def score(batches):
         for batch in batches:
-            pred, prob = np.full(batch.num_rows, -1), np.zeros(batch.num_rows)
-            if model is not None:
-                for lo, hi, data, offsets in text_parts(batch.column(len(kept))):
+            pred, prob, known = np.full(batch.num_rows, -1), np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
+            for lo, hi, data, offsets in text_parts(batch.column(len(kept))):
+                if model is None:
+                    known[lo:hi] = has_letter(data, offsets)
+                else:
                     pred[lo:hi], prob[lo:hi] = model.predict(data, offsets)
-            reject = (pred < 0) | (prob < (model.threshold if model else 1.0))
+            reject = (pred < 0) | (prob < model.threshold) if model else ~known
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(names[pred], pa.string()), pa.array(prob), pa.array(reject)], names=schema.names)
 
     return source.mapInArrow(score, schema)

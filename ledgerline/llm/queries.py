@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, covertree, decontaminate, langid, linededup, minhash, packing, quality, warc
+from . import chat, covertree, decontaminate, langid, linededup, minhash, packing, quality, substring, warc
 from .common import table
 from .sampling import bucket_of
 
@@ -87,6 +87,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), ranks_path=path("byte_bpe_50k.tiktoken"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = bucket_of(F.col("doc_id"), 4) == 2
@@ -117,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op2_cover_tree_top_k": op2_cover_tree_top_k,
     "op3_chat_windows": op3_chat_windows,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_language_id": op6_language_id,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
