@@ -44,8 +44,8 @@ WINDOW = 50
 GRAM = 8
 SHARD_WORDS = 64_000
 LEAST_SHARDS = 64
-#: different segments under one key from which on it is dealt window by window
-HOT_SEGMENTS = 500
+#: words of different segments under one key beyond which it is dealt window by window
+HOT_WORDS = 4 * SHARD_WORDS
 
 _WORD = byte_table()
 
@@ -224,7 +224,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     whole = _segment_rows(candidates, window, True)
     distinct = whole.groupBy("key", "c1", "c2").agg(F.min("doc_id").alias("first"), F.min("content").alias("content"), F.min("words").alias("words"))
     distinct = staged(distinct, "segments")
-    hot = staged(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_SEGMENTS).select("key"), "hot-keys")
+    hot = staged(distinct.groupBy("key").agg(F.sum("words").alias("n")).where(F.col("n") > HOT_WORDS).select("key"), "hot-keys")
     uses = _segment_rows(candidates, window, False).select("doc_id", "row", "start", "key", "c1", "c2")
     if hot.head(1):
         split = _windows_of(distinct.join(hot, "key").withColumn("start", F.lit(0).cast("long")).select("first", "start", "content"), window, ["first"])
