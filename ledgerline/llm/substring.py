@@ -15,8 +15,9 @@ also starts in a document with a smaller doc_id. Windows are judged on the input
    compressed FM-index (wavelet matrix) of its segments, streams them through it
    and gets matching statistics by backward search; a match of ``window`` words
    gives an interval, whose smallest doc_id is the window's first document.
-   A key with very many different segments (a hot group of near copies) is dealt
-   window by window, so no shard grows with a group.
+   A key with very many different segments (a hot group of near copies) is cut
+   finer, by least grams in further orders and at last window by window, so no
+   shard grows with a group.
 4. Intervals whose first document is smaller go back to their documents, the
    covered words are merged and removed.
 
@@ -37,15 +38,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_table, gram_hashes, small_batches, sorted_groups, staged, text_parts, word_hashes, word_spans
+from .common import byte_table, gram_hashes, mix, small_batches, sorted_groups, staged, text_parts, word_hashes, word_spans
 from .fmindex import FMIndex
 
 WINDOW = 50
 GRAM = 8
 SHARD_WORDS = 64_000
 LEAST_SHARDS = 64
-#: words of different segments under one key beyond which it is dealt window by window
+#: words of different segments under one key beyond which its segments are cut finer
 HOT_WORDS = 4 * SHARD_WORDS
+#: the level at which they are cut into single windows
+LEVELS = 4
 
 _WORD = byte_table()
 
@@ -152,21 +155,28 @@ def _segment_rows(candidates: DataFrame, window: int, with_content: bool) -> Dat
     return candidates.mapInArrow(run, schema)
 
 
-def _windows_of(segments: DataFrame, window: int, keep: list[str]) -> DataFrame:
-    """Segments cut into their single windows (for hot keys)."""
+def _cut(segments: DataFrame, window: int, level: int, keep: list[str]) -> DataFrame:
+    """Segments of hot keys cut again: where the least gram in another order changes,
+    which becomes part of the key, and at the last level into single windows."""
     fields = [("start", pa.int64()), ("words", pa.int64()), ("key", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("content", pa.binary())]
     schema = ", ".join(f"{c} {segments.schema[c].dataType.simpleString()}" for c in keep) + ", start long, words long, key long, c1 long, c2 long, content binary"
+    order = np.uint64(0x9E3779B97F4A7C15) * np.uint64(2 * level + 1)
 
     def run(batches):
         for batch in batches:
             rows, owner = [], []
-            starts = batch.column("start").to_pylist()
-            for i, content in enumerate(batch.column("content").to_pylist()):
-                words = content.split(b" ")
-                for j in range(len(words) - window + 1):
-                    part = b" ".join(words[j : j + window])
+            starts, keys = batch.column("start").to_pylist(), batch.column("key").to_numpy().view(np.uint64)
+            for i, (words, hashes) in enumerate(_each(_text_of(batch.column("content")))):
+                other = _sliding_min(mix(gram_hashes(hashes, GRAM) ^ order), window - GRAM + 1)
+                if level >= LEVELS:
+                    edge = np.arange(len(other) + 1)
+                else:
+                    edge = np.flatnonzero(np.concatenate(([True], other[1:] != other[:-1], [True])))
+                key = mix(other ^ keys[i : i + 1]).view(np.int64)
+                for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                    part = b" ".join(words[a : b + window - 1])
                     c1, c2 = _digest(part)
-                    rows.append((starts[i] + j, window, c1, c1, c2, part))
+                    rows.append((starts[i] + a, b - a + window - 1, c1 if level >= LEVELS else int(key[a]), c1, c2, part))
                     owner.append(i)
             made = _rows(fields, rows)
             take = pa.array(owner, pa.int32())
@@ -175,10 +185,17 @@ def _windows_of(segments: DataFrame, window: int, keep: list[str]) -> DataFrame:
     return segments.mapInArrow(run, schema)
 
 
+def _text_of(content) -> pa.Array:
+    """Binary column of valid UTF-8 as text."""
+    if isinstance(content, pa.ChunkedArray):
+        content = content.combine_chunks()
+    return content.cast(pa.large_binary()).cast(pa.large_string())
+
+
 def _first_documents(shards, window: int):
     """Per segment of a shard: the smallest doc_id of each of its windows, found in the shard's index."""
     for shard in shards:
-        hashes = [h for _, h in _each(shard.column("content").combine_chunks().cast(pa.large_binary()).cast(pa.large_string(), safe=False))]
+        hashes = [h for _, h in _each(_text_of(shard.column("content")))]
         size = np.fromiter(map(len, hashes), np.int64, len(hashes))
         symbols = np.unique(np.concatenate(hashes), return_inverse=True)[1].reshape(-1).astype(np.int64) + 1
         first = np.concatenate(([0], np.cumsum(size)))
@@ -220,18 +237,20 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("row"), "text")
     candidates = staged(texts.join(per_doc.hint("merge"), ["doc_id", "row"]), "candidates")
 
-    # different segments under each key, with their first document
+    # different segments under each key, with their first document; hot keys are cut finer
+    key = ["key", "c1", "c2"]
+    different = lambda rows, first: staged(rows.groupBy(*key).agg(F.min(first).alias("first"), F.min("content").alias("content"), F.min("words").alias("words")), "segments")
     whole = _segment_rows(candidates, window, True)
-    distinct = whole.groupBy("key", "c1", "c2").agg(F.min("doc_id").alias("first"), F.min("content").alias("content"), F.min("words").alias("words"))
-    distinct = staged(distinct, "segments")
-    hot = staged(distinct.groupBy("key").agg(F.sum("words").alias("n")).where(F.col("n") > HOT_WORDS).select("key"), "hot-keys")
-    uses = _segment_rows(candidates, window, False).select("doc_id", "row", "start", "key", "c1", "c2")
-    if hot.head(1):
-        split = _windows_of(distinct.join(hot, "key").withColumn("start", F.lit(0).cast("long")).select("first", "start", "content"), window, ["first"])
-        split = split.groupBy("key", "c1", "c2").agg(F.min("first").alias("first"), F.min("content").alias("content"), F.min("words").alias("words"))
-        distinct = staged(distinct.join(hot, "key", "left_anti").unionByName(split), "segments")
-        cut = _windows_of(whole.join(hot, "key").select("doc_id", "row", "start", "content"), window, ["doc_id", "row"])
-        uses = uses.join(hot, "key", "left_anti").unionByName(cut.select(*uses.columns))
+    distinct = different(whole, "doc_id")
+    uses = _segment_rows(candidates, window, False).select("doc_id", "row", "start", *key)
+    for level in range(2, LEVELS + 1):
+        hot = staged(distinct.groupBy("key").agg(F.sum("words").alias("n")).where(F.col("n") > HOT_WORDS).select("key"), "hot-keys")
+        if not hot.head(1):
+            break
+        finer = _cut(distinct.join(hot, "key").withColumn("start", F.lit(0).cast("long")), window, level, ["first"])
+        distinct = staged(distinct.join(hot, "key", "left_anti").unionByName(different(finer, "first")), "segments")
+        whole = _cut(whole.join(hot, "key"), window, level, ["doc_id", "row"])
+        uses = uses.join(hot, "key", "left_anti").unionByName(whole.select(*uses.columns))
 
     words = distinct.agg(F.sum("words").alias("n")).first()["n"] or 0
     shards = max(LEAST_SHARDS, -(-words // SHARD_WORDS))
