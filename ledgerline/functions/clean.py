@@ -95,8 +95,9 @@ def title_case(c: Column) -> Column:
 
 
 def to_int(c: Column) -> Column:
-    """Integer text → int; ``3.7``, ``abc`` → NULL (Q10)."""
-    return as_text(c).try_cast("int")
+    """Whole-number text → int: ``2`` and ``2.0`` → 2; ``3.7``, ``abc`` → NULL (Q10)."""
+    number = as_text(c).try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("int"))
 
 
 def to_double(c: Column) -> Column:

@@ -8,7 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_TYPE = "decimal(18,4)"
+# ten decimals and 28 digits before them: amounts are kept as they are, and the
+# silver rules quarantine what does not fit
+MONEY_TYPE = "decimal(38,10)"
+MONEY_TEXT = "decimal(38,4)"  # how money is printed in prompts and JSON
+MONEY_LIMIT = 1e18
 
 
 def _col(c) -> Column:
@@ -16,7 +20,12 @@ def _col(c) -> Column:
 
 
 def money(c) -> Column:
-    return _col(c).cast(MONEY_TYPE)
+    return _col(c).try_cast(MONEY_TYPE)
+
+
+def in_range(c) -> Column:
+    """Absent, or a number below ``MONEY_LIMIT`` in size (NaN is not)."""
+    return _col(c).isNull() | (F.abs(_col(c)) < MONEY_LIMIT)
 
 
 def money_sum(c) -> Column:

@@ -26,7 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -84,6 +84,17 @@ def _candidates(Q: np.ndarray, qids, V: np.ndarray, ids: np.ndarray, k: int, sca
                 yield qids[start + j], cid, dv
 
 
+def usable(vec: str) -> Column:
+    """The vector is there, and every component is present and finite."""
+    fine = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != F.lit(float("inf")))
+    return F.coalesce(F.col(vec).isNotNull() & (F.size(vec) > 0) & F.forall(vec, fine), F.lit(False))
+
+
+def unusable_vectors(df: DataFrame, vec: str) -> DataFrame:
+    """How many rows ``exact_knn`` leaves out: one row, ``n_rows`` and ``n_unusable``."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~usable(vec)).alias("n_unusable"))
+
+
 def exact_knn(
     corpus: DataFrame,
     queries: DataFrame,
@@ -100,7 +111,13 @@ def exact_knn(
     """``(query_id, corpus_id, distance, rank)`` for the k nearest corpus
     vectors of every query by squared L2 distance (of unit vectors when
     ``normalize``, i.e. a cosine ranking). Fewer than k vectors → fewer rows."""
+    # a repeated query id counts once (its smallest vector); vectors that are NULL or
+    # hold NULL or non-finite components take no part, on either side
+    queries = queries.filter(usable(query_vec)).groupBy(query_id).agg(F.min(query_vec).alias(query_vec))
     # size check that allows the broadcast: never fetches more than max_broadcast + 1 rows
+    widths = [r["w"] for r in queries.select(F.size(query_vec).alias("w")).distinct().limit(2).collect()]
+    if len(widths) > 1:
+        raise ValueError(f"query vectors of different widths: {sorted(widths)}")
     rows = queries.select(query_id, query_vec).limit(max_broadcast + 1).collect()
     n = len(rows)
     out_schema = StructType(
@@ -139,6 +156,8 @@ def exact_knn(
             if found:
                 yield pd.DataFrame(found, columns=[query_id, corpus_id, "distance"])
 
-    cands = corpus.select(corpus_id, corpus_vec).mapInPandas(run, out_schema)
+    width = Q.shape[1]  # vectors of another width have no distance to the queries
+    fit = corpus.filter(usable(corpus_vec)).filter(F.size(corpus_vec) == width)
+    cands = fit.select(corpus_id, corpus_vec).mapInPandas(run, out_schema)
     w = Window.partitionBy(query_id).orderBy(F.col("distance"), F.col(corpus_id))
     return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -217,6 +217,11 @@ def dq_failure_counts(spark, sf_dir):
     return dq_report.failure_report(_quarantines(spark, sf_dir))
 
 
+def dq_failure_counts_per_rule(spark, sf_dir):
+    """Every failed check under its own reason, not the row's first one (Q18)."""
+    return dq_report.failure_report(_quarantines(spark, sf_dir), per_rule_reason=True)
+
+
 def dq_prompts(spark, sf_dir):
     return dq_report.dq_prompts(dq_report.failure_report(_quarantines(spark, sf_dir)))
 
@@ -251,6 +256,7 @@ for _f in (
     dim_date_parity,
     dq_unpivot,
     dq_failure_counts,
+    dq_failure_counts_per_rule,
     dq_prompts,
     parse_reply,
     dq_audit_report,

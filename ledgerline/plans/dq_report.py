@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 from ..operators.generate import TextModel, generate_text, parse_reply
 from ..operators.quality import failure_counts
+from .silver import rule_reasons
 
 # Reply key and the text used when a reply lacks it.
 IMPACT_KEY = "business_impact"
 IMPACT_MISSING = "Impact could not be generated"
 
 PROMPT_TEMPLATE = (
-    "You are a finance audit assistant. Explain the business impact of this data-quality issue.\n"
-    "Entity: %s\nField: %s\nIssue: %s\nFailed Count: %d\n"
-    'Return ONLY JSON with keys "entity_name", "issue_type", "business_impact" (3-4 sentences).'
+    "table=%s check=%s finding=%s records=%d\n"
+    "These records are held back from reporting. Say in at most four sentences what that costs the business. "
+    'Answer with one JSON object: "entity_name", "issue_type" and your text as "business_impact".'
 )
 IMPACT_TEMPLATE = (
     "%d %s records fail the %s check (%s). They are held in quarantine and excluded from "
@@ -28,8 +29,9 @@ IMPACT_TEMPLATE = (
 
 
 def failure_report(quarantine_tables: Mapping[str, DataFrame], per_rule_reason: bool = False) -> DataFrame:
-    """Failed-check counts for every entity given (all six by default)."""
-    parts = [failure_counts(df, entity, per_rule_reason) for entity, df in quarantine_tables.items()]
+    """Failed-check counts for every entity given (all six by default); with
+    ``per_rule_reason`` each failed check carries its own reason."""
+    parts = [failure_counts(df, entity, per_rule_reason, rule_reasons(entity) if per_rule_reason else None) for entity, df in quarantine_tables.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

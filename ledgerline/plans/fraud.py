@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import MONEY_TYPE, money_sum
+from ..functions.measures import MONEY_TEXT, money_sum
 from ..operators.generate import TextModel, generate_text, with_fallback
 from ..operators.scoring import ScoreRule, score_rules
 
@@ -30,12 +30,10 @@ def abuse_rules() -> list[ScoreRule]:
 
 
 PROMPT_TEMPLATE = (
-    "You support a retail return-fraud investigations team.\n"
-    "Customer return profile:\n"
-    "- Customer ID: %s\n- Total returns: %d\n- Total refund value: %s\n"
-    "- Return-to-order ratio: %s\n- Anomaly score: %d\n- Rules violated: %s\n"
-    "Write a 3-4 sentence investigation brief: the data patterns that raise the risk, plausible "
-    "innocent explanations, and what investigators should review first. Be cautious; do not assume fraud."
+    "customer_id=%s returns=%d refunded=%s returns_per_order=%s score=%d\n"
+    "triggered: %s\n"
+    "For the case file, state in at most four sentences which of these figures stand out, how an honest "
+    "customer could come by them, and which record to open first. Draw no conclusion about guilt."
 )
 BRIEF_TEMPLATE = (
     "Customer %s has %d returns and an anomaly score of %d (%s). Innocent causes such as defective "
@@ -98,7 +96,7 @@ def fraud_prompts(flagged_df: DataFrame) -> DataFrame:
         PROMPT_TEMPLATE,
         F.col("customer_id"),
         F.col("total_returns"),
-        F.col("total_return_value").cast(MONEY_TYPE).cast("string"),
+        F.col("total_return_value").cast(MONEY_TEXT).cast("string"),
         F.round(F.col("return_to_order_ratio"), 2).cast("decimal(10,2)").cast("string"),
         F.col("anomaly_score"),
         F.col("violated_rules"),

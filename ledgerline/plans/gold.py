@@ -23,29 +23,23 @@ def date_key(c) -> F.Column:
     return F.date_format(c, DATE_KEY_FORMAT).cast("int")
 
 
-def _dim(df: DataFrame, cols: list[str], key: str, state_bound: str | None) -> DataFrame:
-    """One row per key. In batch the latest ingested row wins when Bronze
-    provenance is present; on a stream with ``state_bound`` the dedupe state
-    keeps keys only for that long after their ingestion time."""
-    has_time = EVENT_TIME in df.columns
-    if state_bound and df.isStreaming and has_time:
-        return latest_by_key(df.select(*cols, EVENT_TIME), [key], watermark=(EVENT_TIME, state_bound)).select(*cols)
-    if has_time and not df.isStreaming:
+def _dim(df: DataFrame, cols: list[str], key: str) -> DataFrame:
+    """One row per key: the latest ingested one when Bronze provenance is present."""
+    if EVENT_TIME in df.columns:
         return latest_by_key(df.select(*cols, EVENT_TIME), [key], order_by=[EVENT_TIME]).select(*cols)
     return latest_by_key(df.select(*cols), [key])
 
 
-def dim_customer(customers_clean: DataFrame, state_bound: str | None = None) -> DataFrame:
-    cols = ["customer_id", "customer_name", "customer_email", "segment", "region"]
-    return _dim(customers_clean, cols, "customer_id", state_bound)
+def dim_customer(customers_clean: DataFrame) -> DataFrame:
+    return _dim(customers_clean, ["customer_id", "customer_name", "customer_email", "segment", "region"], "customer_id")
 
 
-def dim_product(products_clean: DataFrame, state_bound: str | None = None) -> DataFrame:
-    return _dim(products_clean, ["product_id", "product_name", "categories", "brand", "upc"], "product_id", state_bound)
+def dim_product(products_clean: DataFrame) -> DataFrame:
+    return _dim(products_clean, ["product_id", "product_name", "categories", "brand", "upc"], "product_id")
 
 
-def dim_vendor(vendors_clean: DataFrame, state_bound: str | None = None) -> DataFrame:
-    return _dim(vendors_clean, ["vendor_id", "vendor_name"], "vendor_id", state_bound)
+def dim_vendor(vendors_clean: DataFrame) -> DataFrame:
+    return _dim(vendors_clean, ["vendor_id", "vendor_name"], "vendor_id")
 
 
 def dim_date(orders_clean: DataFrame, returns_clean: DataFrame, grain: str = "date") -> DataFrame:
@@ -71,34 +65,11 @@ def dim_date(orders_clean: DataFrame, returns_clean: DataFrame, grain: str = "da
     )
 
 
-def _bounded_join(left: DataFrame, right: DataFrame, state_bound: str | None) -> DataFrame:
-    """Inner join on order_id. On two streams with ``state_bound`` (e.g.
-    ``"7 days"``) both sides get a watermark on their ingestion time and
-    matches must arrive within the bound of each other, so the join state is
-    evicted instead of growing forever; without it the state is unbounded, as
-    in the reference. Batch joins ignore the bound."""
-    if not (state_bound and left.isStreaming and right.isStreaming):
-        return left.join(right, "order_id")
-    lw = left.withColumn("_lt", F.col(EVENT_TIME).cast("timestamp")).withWatermark("_lt", state_bound).alias("l")
-    rw = right.withColumn("_rt", F.col(EVENT_TIME).cast("timestamp")).withWatermark("_rt", state_bound).alias("r")
-    bound = F.expr(f"INTERVAL {state_bound}")
-    cond = (F.col("l.order_id") == F.col("r.order_id")) & (F.col("r._rt") >= F.col("l._lt") - bound) & (F.col("r._rt") <= F.col("l._lt") + bound)
-    joined = lw.join(rw, cond)
-    cols = [F.col("l.order_id").alias("order_id")] + [F.col(f"l.{c}") for c in left.columns if c not in ("order_id", EVENT_TIME)]
-    cols += [F.col(f"r.{c}") for c in right.columns if c not in ("order_id", EVENT_TIME)]
-    return joined.select(*cols)
-
-
-def _keep(df: DataFrame, cols: list[str], state_bound: str | None) -> DataFrame:
-    extra = [EVENT_TIME] if state_bound and df.isStreaming and EVENT_TIME in df.columns else []
-    return df.select(*cols, *extra)
-
-
-def fact_transactions(orders_clean: DataFrame, transactions_clean: DataFrame, state_bound: str | None = None) -> DataFrame:
+def fact_transactions(orders_clean: DataFrame, transactions_clean: DataFrame) -> DataFrame:
     """Order line grain: region, customer, vendor and date from the order."""
-    o = _keep(orders_clean, ["order_id", "customer_id", "vendor_id", "region", "order_purchase_date"], state_bound)
-    t = _keep(transactions_clean, ["order_id", "product_id", "sales", "quantity", "profit"], state_bound)
-    return _bounded_join(o, t, state_bound).select(
+    o = orders_clean.select(*["order_id", "customer_id", "vendor_id", "region", "order_purchase_date"])
+    t = transactions_clean.select(*["order_id", "product_id", "sales", "quantity", "profit"])
+    return o.join(t, "order_id").select(
         "order_id",
         "customer_id",
         "vendor_id",
@@ -112,10 +83,10 @@ def fact_transactions(orders_clean: DataFrame, transactions_clean: DataFrame, st
     )
 
 
-def fact_returns(returns_clean: DataFrame, orders_clean: DataFrame, include_region: bool = False, state_bound: str | None = None) -> DataFrame:
+def fact_returns(returns_clean: DataFrame, orders_clean: DataFrame, include_region: bool = False) -> DataFrame:
     """Return grain; customer and vendor recovered from the order."""
-    r = _keep(returns_clean, ["order_id", "refund_amount", "return_status", "return_date"], state_bound)
-    o = _keep(orders_clean, ["order_id", "customer_id", "vendor_id", "region"], state_bound)
+    r = returns_clean.select(*["order_id", "refund_amount", "return_status", "return_date"])
+    o = orders_clean.select(*["order_id", "customer_id", "vendor_id", "region"])
     cols = [
         "order_id",
         "customer_id",
@@ -127,7 +98,7 @@ def fact_returns(returns_clean: DataFrame, orders_clean: DataFrame, include_regi
     ]
     if include_region:
         cols.append("region")
-    return _bounded_join(r, o, state_bound).select(*cols)
+    return r.join(o, "order_id").select(*cols)
 
 
 def agg_monthly_revenue(fact_tx: DataFrame) -> DataFrame:

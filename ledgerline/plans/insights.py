@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import MONEY_TYPE, money_sum
+from ..functions.measures import MONEY_TEXT, money_sum
 from ..operators.generate import TextModel, generate_text
 
 PAGE_SIZE = 500
@@ -78,7 +78,7 @@ def kpi_specs() -> list[KpiSpec]:
     exact and engine-independent."""
     c = F.col
     return [
-        KpiSpec("revenue_performance", "region", [c("region"), c("total_revenue").cast(MONEY_TYPE).alias("total_revenue"), c("total_orders")]),
+        KpiSpec("revenue_performance", "region", [c("region"), c("total_revenue").cast(MONEY_TEXT).alias("total_revenue"), c("total_orders")]),
         KpiSpec(
             "vendor_return_rate",
             "vendor_id",

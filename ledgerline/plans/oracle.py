@@ -123,15 +123,17 @@ transactions_f AS (
     sales, profit, quantity,
     coalesce(order_id IS NOT NULL, false) AS _dq_order,
     coalesce(product_id IS NOT NULL, false) AS _dq_product,
-    coalesce(quantity > 0, false) AS _dq_qty
+    coalesce(quantity > 0, false) AS _dq_qty,
+    (sales IS NULL OR abs(sales) < 1e18) AND (profit IS NULL OR abs(profit) < 1e18) AS _dq_amount
   FROM transactions_raw
 ),
 transactions_base AS (
   SELECT *,
-    _dq_order AND _dq_product AND _dq_qty AS _is_valid,
+    _dq_order AND _dq_product AND _dq_qty AND _dq_amount AS _is_valid,
     CASE WHEN NOT _dq_order THEN 'Missing order_id'
          WHEN NOT _dq_product THEN 'Missing product_id'
-         WHEN NOT _dq_qty THEN 'Invalid quantity' END AS _dq_reason
+         WHEN NOT _dq_qty THEN 'Invalid quantity'
+         WHEN NOT _dq_amount THEN 'Amount out of range' END AS _dq_reason
   FROM transactions_f
 ),
 transactions_clean AS (SELECT * FROM transactions_base WHERE _is_valid),
@@ -154,14 +156,16 @@ returns_f AS (
          ELSE 'Unknown' END AS return_status,
     CAST(coalesce(try_strptime(date_text, '%Y-%m-%d'), try_strptime(date_text, '%m/%d/%Y')) AS DATE) AS return_date,
     coalesce(order_id IS NOT NULL, false) AS _dq_order,
-    coalesce(refund_amount IS NOT NULL, false) AS _dq_refund
+    coalesce(refund_amount IS NOT NULL, false) AS _dq_refund,
+    (refund_amount IS NULL OR abs(refund_amount) < 1e18) AS _dq_amount
   FROM returns_raw
 ),
 returns_base AS (
   SELECT *,
-    _dq_order AND _dq_refund AS _is_valid,
+    _dq_order AND _dq_refund AND _dq_amount AS _is_valid,
     CASE WHEN NOT _dq_order THEN 'Missing order_id'
-         WHEN NOT _dq_refund THEN 'Missing refund_amount' END AS _dq_reason
+         WHEN NOT _dq_refund THEN 'Missing refund_amount'
+         WHEN NOT _dq_amount THEN 'Amount out of range' END AS _dq_reason
   FROM returns_f
 ),
 returns_clean AS (SELECT * FROM returns_base WHERE _is_valid),
@@ -214,13 +218,13 @@ fact_returns AS (
 ),
 agg_monthly_revenue AS (
   SELECT region, strftime(date, '%Y-%m') AS month,
-    CAST(sum(CAST(sales_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_sales,
+    CAST(sum(CAST(sales_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_sales,
     count(DISTINCT order_id) AS order_count
   FROM fact_transactions GROUP BY region, strftime(date, '%Y-%m')
 ),
 agg_customer_returns AS (
   SELECT customer_id, count(*) AS return_count,
-    CAST(sum(CAST(refund_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_refund_amount
+    CAST(sum(CAST(refund_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_refund_amount
   FROM fact_returns GROUP BY customer_id
 ),
 agg_vendor_performance AS (
@@ -236,14 +240,14 @@ agg_slow_moving_products AS (
 ),
 return_profile AS (
   SELECT customer_id, count(*) AS total_returns,
-    CAST(sum(CAST(refund_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_return_value,
+    CAST(sum(CAST(refund_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_return_value,
     max(date) AS latest_return_date,
     count(*) FILTER (WHERE date >= CAST((SELECT max(date) FROM fact_returns) - INTERVAL 30 DAY AS DATE)) AS last_30_day_returns
   FROM fact_returns GROUP BY customer_id
 ),
 sales_profile AS (
   SELECT customer_id, count(DISTINCT order_id) AS total_orders,
-    CAST(sum(CAST(sales_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_sales_value
+    CAST(sum(CAST(sales_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_sales_value
   FROM fact_transactions GROUP BY customer_id
 ),
 customer_return_profile AS (
@@ -273,7 +277,7 @@ anomaly_score AS (
 ),
 flagged AS (SELECT * FROM anomaly_score WHERE anomaly_score >= 40),
 kpi_revenue AS (
-  SELECT region, CAST(sum(CAST(total_sales AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
+  SELECT region, CAST(sum(CAST(total_sales AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue,
     CAST(sum(order_count) AS BIGINT) AS total_orders
   FROM agg_monthly_revenue GROUP BY region
 ),
@@ -318,8 +322,8 @@ BODIES: dict[str, str] = {
 ENTITY_FLAGS = {
     "customers": ["_dq_id_ok", "_dq_email_ok", "_dq_segment_ok"],
     "orders": ["_dq_order", "_dq_customer", "_dq_vendor", "_dq_region"],
-    "transactions": ["_dq_order", "_dq_product", "_dq_qty"],
-    "returns": ["_dq_order", "_dq_refund"],
+    "transactions": ["_dq_order", "_dq_product", "_dq_qty", "_dq_amount"],
+    "returns": ["_dq_order", "_dq_refund", "_dq_amount"],
     "products": ["_dq_product"],
     "vendors": ["_dq_vendor"],
 }
@@ -336,6 +340,28 @@ _FAILURES = " UNION ALL ".join(
 )
 
 
+# written out here, apart from the rules under test
+_OWN_REASON = {
+    "_dq_id_ok": "missing customer_id",
+    "_dq_email_ok": "missing customer_email",
+    "_dq_segment_ok": "invalid segment value",
+    "_dq_order": "missing order_id",
+    "_dq_customer": "missing customer_id",
+    "_dq_vendor": "missing vendor_id",
+    "_dq_region": "missing region",
+    "_dq_product": "missing product_id",
+    "_dq_qty": "invalid quantity",
+    "_dq_amount": "amount out of range",
+    "_dq_refund": "missing refund_amount",
+}
+BODIES["dq_failure_counts_per_rule"] = " UNION ALL ".join(
+    f"SELECT '{f}' AS field_name, '{_OWN_REASON[f]}' AS issue_type, count(*) AS failed_count, '{e}' AS entity_name "
+    f"FROM {e}_base WHERE NOT _is_valid AND NOT {f} HAVING count(*) > 0"
+    for e, flags in ENTITY_FLAGS.items()
+    for f in flags
+)
+
+
 def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -548,13 +574,13 @@ def _late_bodies() -> dict[str, str]:
     fx = _failure_cte()
     brief = f"printf({_sql_text(BRIEF_TEMPLATE)}, customer_id, total_returns, anomaly_score, violated_rules)"
     fprompt = (
-        f"printf({_sql_text(FRAUD_PROMPT)}, customer_id, total_returns, CAST(CAST(total_return_value AS DECIMAL(18,4)) AS VARCHAR), "
+        f"printf({_sql_text(FRAUD_PROMPT)}, customer_id, total_returns, CAST(CAST(total_return_value AS DECIMAL(38,4)) AS VARCHAR), "
         f"CAST(CAST(round(return_to_order_ratio, 2) AS DECIMAL(10,2)) AS VARCHAR), anomaly_score, violated_rules)"
     )
     kpis = " UNION ALL ".join(
         [
             _kpi_sql("revenue_performance", "kpi_revenue", "region",
-                     "region := region, total_revenue := CAST(total_revenue AS DECIMAL(18,4)), total_orders := total_orders"),
+                     "region := region, total_revenue := CAST(total_revenue AS DECIMAL(38,4)), total_orders := total_orders"),
             _kpi_sql("vendor_return_rate", "kpi_vendor", "vendor_id",
                      "vendor_id := vendor_id, avg_return_rate := CAST(avg_return_rate AS DECIMAL(20,6)), "
                      "total_returns := total_returns, total_orders := total_orders"),

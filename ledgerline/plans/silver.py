@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..functions.columns import ALIASES, column_or_null, normalize_columns, resolve_alias
+from ..functions.measures import in_range
 from ..operators.dedupe import latest_by_key
 from ..operators.quality import REASON, VALID, Rule, apply_rules, dq_flag_columns
 
@@ -57,6 +58,14 @@ def _finish(df: DataFrame, entity: str, opts: SilverOptions) -> DataFrame:
     return df.select(*cols)
 
 
+def customer_rules() -> list[Rule]:
+    return [
+        Rule("_dq_id_ok", F.col("customer_id").isNotNull(), "Missing customer_id"),
+        Rule("_dq_email_ok", F.col("customer_email").isNotNull(), "Missing customer_email"),
+        Rule("_dq_segment_ok", F.col("segment").isin(*C.VALID_SEGMENTS), "Invalid segment value"),
+    ]
+
+
 def customers_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> DataFrame:
     df = normalize_columns(raw)
     df = df.withColumns(
@@ -68,12 +77,7 @@ def customers_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> Dat
             "region": column_or_null(df, "region"),
         }
     )
-    rules = [
-        Rule("_dq_id_ok", F.col("customer_id").isNotNull(), "Missing customer_id"),
-        Rule("_dq_email_ok", F.col("customer_email").isNotNull(), "Missing customer_email"),
-        Rule("_dq_segment_ok", F.col("segment").isin(*C.VALID_SEGMENTS), "Invalid segment value"),
-    ]
-    return _finish(apply_rules(df, rules, opts.null_policy), "customers", opts)
+    return _finish(apply_rules(df, customer_rules(), opts.null_policy), "customers", opts)
 
 
 def region_lookup(customers_clean: DataFrame, opts: SilverOptions = SilverOptions()) -> DataFrame:
@@ -122,6 +126,15 @@ def orders_base(raw: DataFrame, customers_clean: DataFrame, opts: SilverOptions
     return _finish(apply_rules(df, order_rules(), opts.null_policy), "orders", opts)
 
 
+def transaction_rules() -> list[Rule]:
+    return [
+        Rule("_dq_order", F.col("order_id").isNotNull(), "Missing order_id"),
+        Rule("_dq_product", F.col("product_id").isNotNull(), "Missing product_id"),
+        Rule("_dq_qty", F.col("quantity") > 0, "Invalid quantity"),
+        Rule("_dq_amount", in_range("sales") & in_range("profit"), "Amount out of range"),
+    ]
+
+
 def transactions_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> DataFrame:
     df = normalize_columns(raw)
     df = df.withColumns(
@@ -134,12 +147,15 @@ def transactions_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) ->
             "profit": C.to_double(column_or_null(df, "profit")),
         }
     )
-    rules = [
+    return _finish(apply_rules(df, transaction_rules(), opts.null_policy), "transactions", opts)
+
+
+def return_rules() -> list[Rule]:
+    return [
         Rule("_dq_order", F.col("order_id").isNotNull(), "Missing order_id"),
-        Rule("_dq_product", F.col("product_id").isNotNull(), "Missing product_id"),
-        Rule("_dq_qty", F.col("quantity") > 0, "Invalid quantity"),
+        Rule("_dq_refund", F.col("refund_amount").isNotNull(), "Missing refund_amount"),
+        Rule("_dq_amount", in_range("refund_amount"), "Amount out of range"),
     ]
-    return _finish(apply_rules(df, rules, opts.null_policy), "transactions", opts)
 
 
 def returns_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> DataFrame:
@@ -154,11 +170,11 @@ def returns_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> DataF
             "return_date": C.parse_date(_alias(df, "returns", "return_date", opts)),
         }
     )
-    rules = [
-        Rule("_dq_order", F.col("order_id").isNotNull(), "Missing order_id"),
-        Rule("_dq_refund", F.col("refund_amount").isNotNull(), "Missing refund_amount"),
-    ]
-    return _finish(apply_rules(df, rules, opts.null_policy), "returns", opts)
+    return _finish(apply_rules(df, return_rules(), opts.null_policy), "returns", opts)
+
+
+def product_rules() -> list[Rule]:
+    return [Rule("_dq_product", F.col("product_id").isNotNull(), "Missing product_id")]
 
 
 def products_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> DataFrame:
@@ -172,8 +188,11 @@ def products_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> Data
             "upc": C.upc_digits(column_or_null(df, "upc")),
         }
     )
-    rules = [Rule("_dq_product", F.col("product_id").isNotNull(), "Missing product_id")]
-    return _finish(apply_rules(df, rules, opts.null_policy), "products", opts)
+    return _finish(apply_rules(df, product_rules(), opts.null_policy), "products", opts)
+
+
+def vendor_rules() -> list[Rule]:
+    return [Rule("_dq_vendor", F.col("vendor_id").isNotNull(), "Missing vendor_id")]
 
 
 def vendors_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> DataFrame:
@@ -184,8 +203,7 @@ def vendors_base(raw: DataFrame, opts: SilverOptions = SilverOptions()) -> DataF
             "vendor_name": C.title_case(column_or_null(df, "vendor_name")),
         }
     )
-    rules = [Rule("_dq_vendor", F.col("vendor_id").isNotNull(), "Missing vendor_id")]
-    return _finish(apply_rules(df, rules, opts.null_policy), "vendors", opts)
+    return _finish(apply_rules(df, vendor_rules(), opts.null_policy), "vendors", opts)
 
 
 def replay_quarantine(orders_quarantine: DataFrame, customers_clean: DataFrame, opts: SilverOptions = SilverOptions()) -> DataFrame:
@@ -204,3 +222,17 @@ BASES = {
     "products": products_base,
     "vendors": vendors_base,
 }
+
+RULES = {
+    "customers": customer_rules,
+    "orders": order_rules,
+    "transactions": transaction_rules,
+    "returns": return_rules,
+    "products": product_rules,
+    "vendors": vendor_rules,
+}
+
+
+def rule_reasons(entity: str) -> dict[str, str]:
+    """Flag column → reason text of an entity's rules."""
+    return {r.flag: r.reason for r in RULES[entity]()}

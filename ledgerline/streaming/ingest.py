@@ -21,14 +21,16 @@ a failure replaces its own output instead of appending twice.
 
 from __future__ import annotations
 
+import csv
 import json
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, MapType, StringType, StructField, StructType, TimestampType
 
 from ..session import ensure_checkpoint_dir
 
@@ -41,6 +43,7 @@ PATHS_SCHEMA = StructType(
     ]
 )
 MAX_FILES_PER_TRIGGER = 1000
+RESCUED = "_rescued_data"
 HEADER_READ_PARALLELISM = 16
 
 
@@ -78,7 +81,7 @@ def first_line(spark: SparkSession, path: str) -> str | None:
     split that starts at byte 0 and limited to one row, Spark's incremental
     take runs a single task that stops after that line."""
     rows = (
-        spark.read.text(path)
+        spark.read.text(literal_path(path))
         .filter(F.col("_metadata.file_block_start") == 0)
         .select("value")
         .limit(1)
@@ -108,6 +111,23 @@ def is_json_lines(first: str | None) -> bool:
         return False
 
 
+def literal_path(path: str) -> str:
+    """The path with glob characters escaped: landed names are names, not patterns.
+    (Spark's schema inference for whole-document JSON matches names as patterns
+    once more; such a file's name must be free of ``[]{}*?``.)"""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def header_names(header: str) -> list[str]:
+    """Column names of a CSV header; blank or repeated ones get their position."""
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader([header]), [])):
+        name = name.strip("\ufeff")
+        taken = {n.lower() for n in names} | {RESCUED}
+        names.append(f"_c{i}" if not name.strip() else f"{name}{i}" if name.lower() in taken else name)
+    return names
+
+
 def with_provenance(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {"source_file": F.col("_metadata.file_path"), "ingestion_timestamp": F.current_timestamp()}
@@ -116,7 +136,22 @@ def with_provenance(df: DataFrame) -> DataFrame:
 
 def _as_text(df: DataFrame) -> DataFrame:
     keep = {"source_file", "ingestion_timestamp"}
-    return df.select(*[F.col(f"`{c}`") if c in keep else F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    out = []
+    for f in df.schema.fields:
+        col = F.col(f"`{f.name}`")
+        if f.name not in keep:
+            nested = isinstance(f.dataType, (StructType, ArrayType, MapType))
+            col = (F.to_json(col) if nested else col.cast("string")).alias(f.name)
+        out.append(col)
+    return df.select(*out)
+
+
+def _read_csv(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
+    """CSV files with this header. A line with more or fewer fields than the
+    header keeps what fits, and its whole text goes to ``_rescued_data``."""
+    schema = StructType([StructField(n, StringType()) for n in [*header_names(header), RESCUED]])
+    reader = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", RESCUED)
+    return reader.csv([literal_path(p) for p in files])
 
 
 def read_new_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame | None:
@@ -132,7 +167,7 @@ def read_new_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame
             if first is not None:
                 modes.setdefault(is_json_lines(first), []).append(path)
         parts = [
-            _as_text(with_provenance(spark.read.option("multiLine", not lines).option("primitivesAsString", True).json(files)))
+            _as_text(with_provenance(spark.read.option("multiLine", not lines).option("primitivesAsString", True).json([literal_path(p) for p in files])))
             for lines, files in modes.items()
         ]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
@@ -145,8 +180,8 @@ def read_new_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame
     if not groups:
         return None
     parts = [
-        _as_text(with_provenance(spark.read.option("header", True).option("enforceSchema", False).csv(files)))
-        for files in groups.values()
+        _as_text(with_provenance(_read_csv(spark, header, files)))
+        for header, files in groups.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

@@ -7,9 +7,14 @@ dependency order, then the batch KPI tables (K1–K13, T1–T8).
   and a reader prunes to one status by partition.
 * Orders join the clean customers as a static snapshot taken when the
   orders query starts: region is frozen at processing time (J1, T4, D7).
-* Gold dims dedupe on the stream (T6), facts are stream–stream inner joins on
-  ``order_id`` (T5), ``dim_date`` is a streaming union + dedupe (T7).
-* KPI aggregates are recomputed in batch from the facts and overwritten (T8).
+* Facts are stream–stream inner joins on ``order_id`` (T5) and keep all state, so
+  a late match is never lost; state is held in RocksDB on local disk instead of
+  executor heap unless the session names another store. ``dim_date`` is a
+  streaming union + dedupe (T7).
+* Dims are recomputed from the clean Silver tables by the same function as in
+  batch: the latest ingested row of a key wins in both (T6).
+* KPI aggregates are recomputed in batch from the facts (T8).
+* Every stream takes a bounded number of files per micro-batch.
 
 Checkpoints live under the cluster's ``spark.checkpoint.dir``.
 """
@@ -27,6 +32,10 @@ from ..plans import gold, silver
 from ..session import ensure_checkpoint_dir
 from .ingest import DEFAULT_SPECS, IngestSpec, ingest, read_bronze
 
+FILES_PER_BATCH = 1000
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -52,29 +61,31 @@ class Runner:
         layout: Layout,
         options: silver.SilverOptions = silver.SilverOptions(),
         checkpoint_root: str | None = None,
-        state_bound: str | None = None,
+        files_per_batch: int = FILES_PER_BATCH,
     ):
-        """``state_bound`` (e.g. ``"7 days"``) bounds the Gold streams' state:
-        dims drop duplicates within it, facts match rows ingested within it
-        of each other. ``None`` keeps all state (the reference's behaviour)."""
         self.spark = spark
         self.layout = layout
         self.opts = options
-        self.state_bound = state_bound
+        self.files_per_batch = files_per_batch
+        if STATE_STORE not in spark.conf.getAll:
+            spark.conf.set(STATE_STORE, ROCKSDB)
         self.ckpt = f"{(checkpoint_root or ensure_checkpoint_dir(spark)).rstrip('/')}/lakehouse"
 
     # ---- plumbing -------------------------------------------------------
     def exists(self, path: str) -> bool:
-        """A table with data at ``path`` (feeds may land after the first run)."""
+        """A table with data at ``path`` (feeds may land after the first run).
+        Only a path that is not there, or holds no file yet, counts as absent."""
         try:
             self.spark.read.parquet(path).schema
             return True
-        except AnalysisException:
-            return False
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
 
     def _stream(self, path: str) -> DataFrame:
         schema = self.spark.read.parquet(path).schema  # file streams need a schema up front
-        return self.spark.readStream.schema(schema).parquet(path)
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.files_per_batch).parquet(path)
 
     def _drain(self, df: DataFrame, path: str, name: str, partition_by: list[str] | None = None) -> None:
         w = (
@@ -105,7 +116,7 @@ class Runner:
     def _bronze_stream(self, entity: str) -> DataFrame:
         schema = read_bronze(self.spark, self.layout.bronze, entity).schema
         path = f"{self.layout.bronze}/{entity}"
-        return self.spark.readStream.schema(schema).option("mergeSchema", True).parquet(path).drop("batch_id")
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", self.files_per_batch).option("mergeSchema", True).parquet(path).drop("batch_id")
 
     def _has_bronze(self, entity: str) -> bool:
         return self.exists(f"{self.layout.bronze}/{entity}")
@@ -123,14 +134,19 @@ class Runner:
 
     def run_gold(self) -> None:
         """Each Gold table runs once all the Silver tables it reads exist."""
-        cs, b = self.clean_stream, self.state_bound
+        cs, table = self.clean_stream, self.silver_table
+        dims = {
+            "dim_customer": ("customers", gold.dim_customer),
+            "dim_product": ("products", gold.dim_product),
+            "dim_vendor": ("vendors", gold.dim_vendor),
+        }
+        for name, (entity, build) in dims.items():
+            if self.exists(self.layout.silver(entity)):
+                build(table(entity)).write.mode("overwrite").parquet(self.layout.gold(name))
         plans = [
-            ("dim_customer", ("customers",), lambda: gold.dim_customer(cs("customers"), b)),
-            ("dim_product", ("products",), lambda: gold.dim_product(cs("products"), b)),
-            ("dim_vendor", ("vendors",), lambda: gold.dim_vendor(cs("vendors"), b)),
             ("dim_date", ("orders", "returns"), lambda: gold.dim_date(cs("orders"), cs("returns"))),
-            ("fact_transactions", ("orders", "transactions"), lambda: gold.fact_transactions(cs("orders"), cs("transactions"), b)),
-            ("fact_returns", ("returns", "orders"), lambda: gold.fact_returns(cs("returns"), cs("orders"), state_bound=b)),
+            ("fact_transactions", ("orders", "transactions"), lambda: gold.fact_transactions(cs("orders"), cs("transactions"))),
+            ("fact_returns", ("returns", "orders"), lambda: gold.fact_returns(cs("returns"), cs("orders"))),
         ]
         for name, needs, build in plans:
             if all(self.exists(self.layout.silver(e)) for e in needs):
@@ -159,7 +175,7 @@ class Runner:
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m ledgerline.streaming.runner LANDING LAKE_ROOT [--state-bound "7 days"]``
+    """``python -m ledgerline.streaming.runner LANDING LAKE_ROOT``
     (or via spark-submit): drain new landing files through every layer. The
     session comes from the launcher's configuration; its
     ``spark.checkpoint.dir`` holds the stream checkpoints."""
@@ -170,12 +186,11 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=main.__doc__)
     ap.add_argument("landing")
     ap.add_argument("lake_root")
-    ap.add_argument("--state-bound", default=None)
     ap.add_argument("--max-files", type=int, default=1000)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     apply_runtime_conf(spark)
-    Runner(spark, Layout(args.lake_root), state_bound=args.state_bound).run(args.landing, max_files=args.max_files)
+    Runner(spark, Layout(args.lake_root)).run(args.landing, max_files=args.max_files)
 
 
 if __name__ == "__main__":

@@ -64,7 +64,7 @@ def test_flagged_table_schema_and_fallback(spark):
     )
     assert out.collect()[0].investigation_brief == fraud.BRIEF_FALLBACK
     prompt = fraud.fraud_prompts(fl).collect()[0].prompt
-    assert "Return-to-order ratio: 0.50" in prompt and "Total refund value: 25000.0000" in prompt
+    assert "returns_per_order=0.50" in prompt and "refunded=25000.0000" in prompt
 
 
 def test_recent_window_uses_as_of(spark):

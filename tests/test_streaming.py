@@ -142,23 +142,6 @@ def test_streaming_dedupe_with_watermark(spark, scratch):
     assert got.count() == ev.select("event_id").distinct().count()
 
 
-def test_state_bound_keeps_results(spark, scratch):
-    """Bounded Gold streams (watermark + time-range join) give the same facts
-    and dims as unbounded ones when rows arrive within the bound (T5, T6)."""
-    landing = f"{scratch}/landing"
-    land(landing)
-    out = {}
-    for name, bound in (("free", None), ("bounded", "1 day")):
-        layout = Layout(f"{scratch}/{name}")
-        r = Runner(spark, layout, checkpoint_root=f"{scratch}/ck_{name}", state_bound=bound)
-        r.run(landing)
-        out[name] = {
-            t: _rows(r.table(layout.gold(t)).drop("date"), sorted(c for c in r.table(layout.gold(t)).columns if c != "date"))
-            for t in ("fact_transactions", "fact_returns", "dim_customer", "dim_vendor")
-        }
-    assert out["free"] == out["bounded"]
-
-
 def test_runner_command_line(spark, scratch):
     from ledgerline.streaming import runner
 
