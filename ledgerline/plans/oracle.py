@@ -277,7 +277,8 @@ anomaly_score AS (
 ),
 flagged AS (SELECT * FROM anomaly_score WHERE anomaly_score >= 40),
 kpi_revenue AS (
-  SELECT region, CAST(sum(CAST(total_sales AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue,
+  -- by way of text: a double is read by its shortest decimal form, not its binary expansion
+  SELECT region, CAST(sum(CAST(CAST(total_sales AS VARCHAR) AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue,
     CAST(sum(order_count) AS BIGINT) AS total_orders
   FROM agg_monthly_revenue GROUP BY region
 ),
