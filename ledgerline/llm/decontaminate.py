@@ -114,7 +114,10 @@ class Plan:
         self.vocabulary = np.unique(np.concatenate([*per_item, np.zeros(0, np.uint64)]))
         rows: list[np.ndarray] = []
         owner: list[int] = []
-        for i, words in enumerate(per_item):
+        names = sorted(set(item_ids))  # rows that repeat an id are one item
+        number = {name: i for i, name in enumerate(names)}
+        for item, words in zip(item_ids, per_item, strict=True):
+            i = number[item]
             terms = np.searchsorted(self.vocabulary, words).astype(np.int32)
             for s in range(max(1, len(terms) - window + 1) if len(terms) else 0):
                 row = np.full(window, -1, np.int32)
@@ -127,7 +130,7 @@ class Plan:
         pairs = np.unique(np.stack([which.reshape(-1), np.array(owner, np.int64)], 1), axis=0) if owner else np.zeros((0, 2), np.int64)
         self.owners, self.owner_first = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(self.windows) + 1))
         self.lengths = (self.windows >= 0).sum(1)
-        self.item_ids = np.array(item_ids, object)
+        self.item_ids = np.array(names, object)
         self.order = np.zeros_like(self.windows)
 
     def rank(self, counts: dict[int, int]) -> None:
