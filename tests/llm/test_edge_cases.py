@@ -64,7 +64,7 @@ def test_decontaminate(docs, empty, items):
 
 def test_proximity(spark, items):
     moved = WORDS.split()[10:24]
-    moved[4:4] = ["between", "them"]
+    moved[7:7] = ["between", "them"]
     near = decontaminate.decontaminate(spark.createDataFrame([(1, " ".join(moved))], "doc_id long, text string"), items).first()
     assert near["near_item_ids"] == ["1"] and near["item_ids"] == []
 
