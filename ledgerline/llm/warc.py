@@ -116,30 +116,39 @@ def decoded_body(headers: list[tuple[str, str]], body: bytes) -> bytes | None:
     return body if coding in ("", "identity") else None
 
 
-def html_text(source: str) -> str:
-    """Visible text: one line for each block of text, blanks folded."""
+def html_parts(source: str) -> tuple[str, list[str]]:
+    """Visible text, one line for each block of text with blanks folded, and the
+    targets of <a href> as written, in one pass over the markup."""
+    targets: list[str] = []
 
     def out(m: re.Match) -> str:
         tag = m["tag"]
-        return "\n" if tag and tag.lower() in BLOCK_TAGS else ""
+        if not tag:
+            return ""
+        tag = tag.lower()
+        if tag == "a" and not m["close"]:
+            href = _HREF.search(m["attributes"])
+            if href:
+                targets.append(next(g for g in href.groups() if g is not None))
+        return "\n" if tag in BLOCK_TAGS else ""
+
+    lines = html.unescape(_MARKUP.sub(out, " ".join(source.split()))).split("\n")
+    return "\n".join(t for t in (" ".join(line.split()) for line in lines) if t), targets
+
 
-    folded = re.sub(r"\s+", " ", source)
-    lines = html.unescape(_MARKUP.sub(out, folded)).split("\n")
-    return "\n".join(t for t in (" ".join(line.split()) for line in lines) if t)
+def html_text(source: str) -> str:
+    return html_parts(source)[0]
 
 
-def outlinks(source: str, base: str | None) -> list[str]:
-    """Targets of <a href>, in order, each once."""
+def outlinks(targets: list[str], base: str | None) -> list[str]:
+    """Absolute targets, in order, each once."""
     found: dict[str, None] = {}
-    for m in _MARKUP.finditer(source):
-        if m["tag"] and m["tag"].lower() == "a" and not m["close"]:
-            href = _HREF.search(m["attributes"])
-            if href:
-                link = html.unescape(next(g for g in href.groups() if g is not None)).strip()
-                try:
-                    found[urljoin(base or "", link)] = None
-                except ValueError:
-                    found[link] = None
+    for target in targets:
+        link = html.unescape(target).strip()
+        try:
+            found[urljoin(base or "", link)] = None
+        except ValueError:
+            found[link] = None
     return list(found)
 
 
@@ -165,8 +174,8 @@ def derive(record_id: str, uri: str | None, block: bytes | None, headers: dict[s
                 title = _TITLE.search(source)
                 if title:
                     fields.append(("title", " ".join(html.unescape(title[1]).split())))
-                fields += [("outlink", link) for link in outlinks(source, uri)]
-                text = html_text(source)
+                text, targets = html_parts(source)
+                fields += [("outlink", link) for link in outlinks(targets, uri)]
             else:
                 text = source
         fields.append(("source-payload-digest", headers.get("WARC-Payload-Digest") or digest(body)))
