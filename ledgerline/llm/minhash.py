@@ -18,8 +18,8 @@
 Defined cases: text that is NULL or has no word has an empty set and is linked
 with nothing; fewer words than a shingle make one shingle; rows with equal word
 sequences are always linked, and rows that repeat a doc_id keep their own rows;
-a NULL doc_id is never the smallest unless all are; extra columns are ignored; an
-empty table gives no rows. Shingles and sequences are compared by 64-bit hash.
+rows with a NULL doc_id are linked like others, and NULL is never the smallest
+unless all are; extra columns are ignored; an empty table gives no rows. Shingles and sequences are compared by 64-bit hash.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, byte_table, gram_hashes, mix, small_batches, sorted_groups, staged, text_parts, word_hashes, word_spans
+from .common import LOWER, byte_table, gram_hashes, mix, row_key, small_batches, sorted_groups, staged, text_parts, word_hashes, word_spans
 from .components import connected
 
 BITS = 2
@@ -118,11 +118,12 @@ def similarity(one: np.ndarray, many: np.ndarray, hashes: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the word sequence, NULL without words), bands."""
+    """doc_id, row (hash of id and text), n_shingles, node (hash of the word sequence, NULL without words), bands."""
     small_batches(docs.sparkSession)
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
+            T.StructField("row", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("node", T.LongType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
@@ -131,7 +132,7 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for lo, hi, data, offsets in text_parts(batch.column(1)):
+            for lo, hi, data, offsets in text_parts(batch.column(2)):
                 sets, whole = shingle_sets(data, offsets, scheme.shingle)
                 size = np.fromiter(map(len, sets), np.int64, len(sets))
                 some = np.flatnonzero(size)
@@ -145,6 +146,7 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
+                        batch.column(1).slice(lo, hi - lo),
                         pa.array(size),
                         pa.array(whole.view(np.int64), mask=size == 0),
                         pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(keys.reshape(-1).view(np.int64))),
@@ -152,7 +154,7 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
                     names=schema.names,
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", row_key("doc_id", "text").alias("row"), "text").mapInArrow(run, schema)
 
 
 def _links(groups, scheme: Scheme):
@@ -167,7 +169,7 @@ def _links(groups, scheme: Scheme):
             sets += s
             whole.append(w)
         node = np.concatenate(whole).view(np.int64)
-        # rows that repeat a node's doc_id with another text, or a node twice, don't count
+        # a text that is not its node's (row hashes that collide), or a node twice, doesn't count
         mine = np.flatnonzero(node == group.column("node").to_numpy())
         mine = mine[np.unique(node[mine], return_index=True)[1]]
         half = group.column("half").to_numpy()[mine]
@@ -210,12 +212,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block:
     clusters = staged(connected(stars), "clusters")
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    firsts = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    placed = clusters.join(sizes, "root").join(firsts, "node").select("doc_id", "node", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
+    firsts = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
+    placed = clusters.join(sizes, "root").join(firsts, "node").select("row", "node", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
     placed = staged(placed, "cluster-nodes")
 
-    # texts meet their nodes; larger clusters go out as pairs of blocks
-    texts = docs.select("doc_id", "text").join(placed.hint("merge"), "doc_id")
+    # one text meets each node, rows that repeat id and text are one (combined before the
+    # shuffle); larger clusters go out as pairs of blocks
+    once = docs.select(row_key("doc_id", "text").alias("row"), "text").groupBy("row").agg(F.min("text").alias("text"))
+    texts = once.join(placed.hint("merge"), "row")
     pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = texts.select("text", "node", "root", "block", pair).select(
         "text",
@@ -229,10 +233,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block:
     links = dealt.mapInArrow(lambda batches: _links(sorted_groups(batches, ["root", "i", "j"]), scheme), "a long, b long")
     labels = staged(connected(links), "components")
 
-    every = staged(firsts, "nodes")
+    every = staged(firsts.drop("row"), "nodes")
     named = labels.join(every, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_node = every.join(labels, "node", "left").join(named, "root", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
     of_node = staged(of_node, "node-components")
-    out = rows.drop("bands").join(of_node, "node", "left")
+    out = rows.drop("bands", "row").join(of_node, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", "node", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

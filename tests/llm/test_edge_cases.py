@@ -85,6 +85,14 @@ def test_near_duplicates(docs, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_rows_without_or_with_one_id(spark):
+    texts = [WORDS, "x " + WORDS, WORDS + " y"]
+    without = spark.createDataFrame([(7, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2])], "doc_id long, text string")
+    assert by_id(minhash.near_duplicates(without), "component_id", "kept") == [(7, 7, True)] + [(None, 7, False)] * 3
+    alike = spark.createDataFrame([(5, t) for t in texts] * 3 + [(2, "z " + WORDS), (5, "something else")], "doc_id long, text string")
+    assert by_id(minhash.near_duplicates(alike), "component_id", "kept") == [(2, 2, True)] + [(5, 2, False)] * 9 + [(5, 5, True)]
+
+
 def test_substring(docs, empty):
     rows = by_id(substring.substring_dedup(docs), "n_words", "n_removed")
     assert (1, 120, 0) in rows and rows.count((2, 120, 120)) == 2 and (3, 122, 120) in rows and (3, 6, 0) in rows
