@@ -1,9 +1,9 @@
 """Near-duplicate components by b-bit MinHash, confirmed on full shingle sets.
 
 1. Per document, in one pass: the number of distinct word shingles, a hash of its
-   word sequence, the minima of ``bands * rows`` hash functions. Only their low
-   ``BITS`` bits are kept, packed, as signature; before that each band of minima
-   becomes a 64-bit key.
+   word sequence, the minima of ``bands * rows`` hash functions. Each is mixed over
+   its 32 bits and the low ``BITS`` bits are kept, packed, as signature; before that
+   each band of minima becomes a 64-bit key.
 2. Candidates: documents with one word sequence are one node. Nodes that share a
    band key are joined to the key's smallest node (a star, never all pairs); the
    stars' components are candidate clusters.
@@ -12,7 +12,8 @@
    blocks, so no task holds more than two blocks. Inside, packed signatures give
    the collision-corrected similarity by bit counts; pairs well below the
    threshold are passed over, the others are decided on their full sets, unless
-   already linked. Links leave as a spanning forest.
+   already linked. Pairs of sets of up to ``SMALL`` shingles, for which an estimate
+   is coarse, are always decided on their full sets. Links leave as a spanning forest.
 4. Components of the links; every document gets the smallest doc_id of its own.
 
 Defined cases: text that is NULL or has no word has an empty set and is linked
@@ -37,8 +38,10 @@ from .components import connected
 
 BITS = 2
 BLOCK = 256
-#: how far below the threshold an estimate may be and the pair still be checked (four standard errors)
-ERRORS = 4.0
+#: how far below the threshold an estimate may be and the pair still be checked (six standard errors)
+ERRORS = 6.0
+#: sets of up to so many shingles are compared without the estimate
+SMALL = 64
 #: chance that a pair just at the threshold shares no band
 MISS = 2e-5
 
@@ -95,9 +98,21 @@ def minima(sets: list[np.ndarray], scheme: Scheme) -> np.ndarray:
     return out
 
 
+def mix32(h: np.ndarray) -> np.ndarray:
+    """Every bit of a 32-bit value over all bits (one to one)."""
+    h = h ^ (h >> np.uint32(16))
+    h *= np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0xC2B2AE35)
+    h ^= h >> np.uint32(16)
+    return h
+
+
 def packed(mins: np.ndarray) -> np.ndarray:
-    """Low BITS bits of each minimum, as whole 64-bit words."""
+    """Low BITS bits of each minimum, as whole 64-bit words. The low bits of a*x+b
+    depend on those of x alone, for every hash function; so the minima are mixed first."""
     n, k = mins.shape
+    mins = mix32(mins)
     bits = np.zeros((n, -(-k * BITS // 64) * 64), np.uint8)
     for i in range(BITS):
         bits[:, i : k * BITS : BITS] = (mins >> np.uint32(i)) & np.uint32(1)
@@ -117,6 +132,27 @@ def similarity(one: np.ndarray, many: np.ndarray, hashes: int) -> np.ndarray:
     return (equal - chance) / (1 - chance)
 
 
+class SmallSets:
+    """Exact numbers of shingles in common among the sets of up to SMALL shingles."""
+
+    def __init__(self, sets: list[np.ndarray], size: np.ndarray):
+        self.small = size <= SMALL
+        few = np.flatnonzero(self.small)
+        self.first = np.concatenate(([0], np.cumsum(size[few])))
+        self.place = np.cumsum(self.small) - 1
+        self.shingle = np.unique(np.concatenate([sets[i] for i in few]), return_inverse=True)[1] if len(few) else few
+
+    def shared(self, i: int) -> np.ndarray:
+        """For small set i: shingles in common with each small set after it."""
+        p = self.place[i]
+        mark = np.zeros(len(self.shingle), bool)
+        mark[self.shingle[self.first[p] : self.first[p + 1]]] = True
+        rest = self.first[p + 1 : -1]
+        if not len(rest):
+            return np.zeros(0, np.int64)
+        return np.add.reduceat(mark[self.shingle[rest[0] :]].astype(np.int64), rest - rest[0])
+
+
 def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """doc_id, row (hash of id and text), n_shingles, node (hash of the word sequence, NULL without words), bands."""
     small_batches(docs.sparkSession)
@@ -181,8 +217,13 @@ def _links(groups, scheme: Scheme):
         root = np.arange(len(sets))
         found: list[tuple[int, int]] = []
         apart = (half == 1).any()
+        exact = SmallSets(sets, size)
         for i in range(len(sets)):
             near = similarity(signature[i], signature[i + 1 :], scheme.hashes) >= scheme.estimate_from
+            if exact.small[i]:
+                later = np.flatnonzero(exact.small[i + 1 :])
+                both = exact.shared(i)
+                near[later] = 100 * both >= scheme.percent * (size[i] + size[i + 1 :][later] - both)
             fits = 100 * np.minimum(size[i], size[i + 1 :]) >= scheme.percent * np.maximum(size[i], size[i + 1 :])
             other = half[i + 1 :] != half[i] if apart else True
             for j in (np.flatnonzero(near & fits & other) + i + 1).tolist():
