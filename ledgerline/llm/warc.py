@@ -51,13 +51,15 @@ BLOCK_TAGS = frozenset(
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<hidden>script|style|noscript|template|textarea|svg)\b[^>]*>.*?(?:</(?P=hidden)\s*>|\Z)"
+    # a whole name (not <svg-icon>); <svg .../> has no content and is an ordinary tag
+    r"""|<(?!svg(?=[\s/>])(?:[^>"'=/]|/(?!>)|"[^"]*"|'[^']*'|=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)?)*+/>)"""
+    r"(?P<hidden>script|style|noscript|template|textarea|svg)(?=[\s/>])[^>]*>.*?(?:</(?P=hidden)(?=[\s/>])[^>]*>|\Z)"
     r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
     r"|<[!?/a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 _HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+_TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)</title\s*>", re.S | re.I)
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?\s*([\w.:-]+)", re.I)
 _TEXTUAL = ("text/", "application/xhtml", "application/xml", "application/json")
 
