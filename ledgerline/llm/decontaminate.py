@@ -13,8 +13,9 @@ Words: ASCII letters lower-cased, runs of digits, letters and non-ASCII bytes.
 A window is ``window`` consecutive words of a test item; an item with fewer
 words, but not none, is one window.
 
-Defined cases: NULL or wordless text has no words and no hits; items without id
-or words match nothing; rows repeating an item_id are one item; rows repeating a
+Defined cases: NULL or wordless text has no words and no hits; items without
+words match nothing; items without id give hits, but no entry in item_ids or
+near_item_ids; rows repeating an item_id are one item; rows repeating a
 doc_id are judged row by row; extra columns are ignored; empty tables give an
 empty or all-clean result. Terms are compared by 64-bit hash.
 
@@ -105,7 +106,7 @@ def positional_index(docs: DataFrame, vocabulary: np.ndarray, gap: int) -> DataF
 class Plan:
     """Distinct windows of a bounded set of test items, in terms of the vocabulary."""
 
-    def __init__(self, item_ids: list[str], texts: list[str], window: int):
+    def __init__(self, item_ids: list[str | None], texts: list[str], window: int):
         col = pa.array(texts, pa.large_string())
         per_item: list[np.ndarray] = []
         for _, _, data, offsets in text_parts(col):
@@ -114,8 +115,8 @@ class Plan:
         self.vocabulary = np.unique(np.concatenate([*per_item, np.zeros(0, np.uint64)]))
         rows: list[np.ndarray] = []
         owner: list[int] = []
-        names = sorted(set(item_ids))  # rows that repeat an id are one item
-        number = {name: i for i, name in enumerate(names)}
+        names = sorted({name for name in item_ids if name is not None})  # rows that repeat an id are one item
+        number = {name: i for i, name in enumerate([*names, None])}
         for item, words in zip(item_ids, per_item, strict=True):
             i = number[item]
             terms = np.searchsorted(self.vocabulary, words).astype(np.int32)
@@ -128,6 +129,7 @@ class Plan:
         table = np.array(rows, np.int32).reshape(-1, window)
         self.windows, which = np.unique(table, axis=0, return_inverse=True)
         pairs = np.unique(np.stack([which.reshape(-1), np.array(owner, np.int64)], 1), axis=0) if owner else np.zeros((0, 2), np.int64)
+        pairs = pairs[pairs[:, 1] < len(names)]  # windows of items without id have no owner to list
         self.owners, self.owner_first = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(self.windows) + 1))
         self.lengths = (self.windows >= 0).sum(1)
         self.item_ids = np.array(names, object)
@@ -233,13 +235,13 @@ def search(index: DataFrame, plan: Plan, window: int, slop: int, gap: int) -> Da
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP, max_test_words: int = MAX_TEST_WORDS) -> DataFrame:
     """One row per document: doc_id, n_words, hits (merged word spans of exact
     matches), item_ids and near_item_ids (distinct, as strings)."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull())
     size = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // (2 * max_test_words)))  # a word takes two characters or more
     gap = 2 * window + slop
     found = []
     for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect() if blocks > 1 else items.collect()
+        rows = items.where(F.pmod(F.xxhash64(F.coalesce("item_id", "text")), F.lit(blocks)) == b).collect() if blocks > 1 else items.collect()
         plan = Plan([r["item_id"] for r in rows], [r["text"] for r in rows], window)
         index = staged(positional_index(docs, plan.vocabulary, gap), "postings")
         counts = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("t")).groupBy("t.terms").agg(F.sum("t.counts").alias("n"))
