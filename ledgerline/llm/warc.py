@@ -13,15 +13,15 @@ task gives the same records.
 One narrow pass: no shuffle, each page is handled alone in its Arrow batch.
 
 Defined cases: a NULL or empty block gives a metadata record only, without HTTP
-fields; a NULL target URI or date leaves that header out; a body that fails to
-decompress counts as no text; bytes that are not valid in the charset become
+fields; a NULL target URI or date leaves that header out; a body that was cut off
+or damaged is decoded as far as it goes and its metadata say payload-truncated; one
+that isn't of its named coding at all counts as no text; bytes that are not valid in the charset become
 U+FFFD; repeated rows give repeated records; extra columns are ignored; an empty
 table gives no rows.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import html
 import re
@@ -35,6 +35,10 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
+# fixed values: zlib's names for gzip, deflate as named and deflate without header; bytes decompressed at once
+GZIP, ZLIB, RAW = 31, 15, -15
+PIECE = 4096
+
 CRAWL_DATE = "2024-01-01T00:00:00Z"
 
 SCHEMA = (
@@ -88,34 +92,66 @@ def split_message(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return (lines[0] if lines else ""), headers, body
 
 
-def _unchunk(body: bytes) -> bytes:
+def _unchunk(body: bytes) -> tuple[bytes, bool]:
+    """Joined chunks, and whether the last one is there."""
     out, at = [], 0
     while True:
         end = body.find(b"\r\n", at)
         try:
             size = int(body[at:end].split(b";")[0], 16) if end >= 0 else 0
         except ValueError:
-            return body  # not chunked after all
+            return body, True  # not chunked after all
         if not size:
-            return b"".join(out)
+            return b"".join(out), end >= 0
         out.append(body[end + 2 : end + 2 + size])
         at = end + 4 + size
 
 
-def decoded_body(headers: list[tuple[str, str]], body: bytes) -> bytes | None:
-    """Body without transfer and content coding; None if it can't be undone."""
+def _inflate(body: bytes, wbits: int) -> tuple[bytes | None, bool]:
+    """What a compressed body yields, and whether it is whole; None if it isn't of that kind."""
+    out: list[bytes] = []
+    while body:
+        stream, at, step = zlib.decompressobj(wbits), 0, PIECE
+        while at < len(body) and not stream.eof:
+            before = stream.copy()
+            try:
+                out.append(stream.decompress(body[at : at + step]))
+                at += step
+            except zlib.error:
+                if step == 1:  # all up to the damaged byte is decoded
+                    text = b"".join(out)
+                    return (text if text and wbits != RAW else None), False
+                stream, step = before, 1
+        if not stream.eof:
+            return b"".join([*out, stream.flush()]), False
+        body = (stream.unused_data + body[at:]).lstrip(b"\0")
+        if wbits != GZIP or not body.startswith(b"\x1f\x8b"):  # no further member
+            break
+    return b"".join(out), True
+
+
+def decoded(headers: list[tuple[str, str]], body: bytes) -> tuple[bytes | None, bool]:
+    """Body without transfer and content coding (None if it can't be undone), and whether it is whole."""
     low = {k.lower(): v.lower() for k, v in headers}
+    whole = True
     if "chunked" in low.get("transfer-encoding", ""):
-        body = _unchunk(body)
+        body, whole = _unchunk(body)
     coding = low.get("content-encoding", "")
-    try:
-        if coding in ("gzip", "x-gzip"):
-            return gzip.decompress(body)
-        if coding == "deflate":
-            return zlib.decompress(body)
-    except (OSError, EOFError, zlib.error):
-        return None
-    return body if coding in ("", "identity") else None
+    if coding in ("", "identity"):
+        return body, whole
+    plain, ended = None, True
+    if coding in ("gzip", "x-gzip"):
+        plain, ended = _inflate(body, GZIP)
+    elif coding == "deflate":
+        plain, ended = _inflate(body, ZLIB)
+        if plain is None:  # sent by many servers
+            plain, ended = _inflate(body, RAW)
+    return plain, whole and ended
+
+
+def decoded_body(headers: list[tuple[str, str]], body: bytes) -> bytes | None:
+    """Body without transfer and content coding; None if it can't be undone."""
+    return decoded(headers, body)[0]
 
 
 def html_parts(source: str) -> tuple[str, list[str]]:
@@ -163,7 +199,9 @@ def derive(record_id: str, uri: str | None, block: bytes | None, headers: dict[s
         fields.append(("http-status", status))
         fields += [(f"http-header-{name.lower()}", value) for name, value in http]
         kind = next((v for k, v in http if k.lower() == "content-type"), "text/html")
-        plain = decoded_body(http, body)
+        plain, whole = decoded(http, body)
+        if plain is not None and not whole:
+            fields.append(("payload-truncated", "true"))
         if plain is not None and kind.lower().startswith(_TEXTUAL):
             named = _CHARSET.search(kind) or _CHARSET.search(plain[:1024].decode("latin-1"))
             charset = named[1].lower() if named else "utf-8"
