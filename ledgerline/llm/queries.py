@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, covertree, decontaminate, langid, linededup, minhash, packing, quality, substring, warc
+from . import chat, covertree, decontaminate, langid, licenses, linededup, minhash, packing, quality, substring, warc
 from .common import table
 from .sampling import bucket_of
 
@@ -116,6 +116,24 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["phrase"])
+    starts = F.transform(base, lambda s: s["start"].cast("long"))
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["coverage"])), F.lit(0.0)).alias("score"),
+        (F.size("spans") - F.size(base)).cast("long").alias("n_notices"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_cover_tree_top_k": op2_cover_tree_top_k,
@@ -127,6 +145,9 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_license_scan": op11_license_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.ORACLE_SQL, "op11_license_scan": licenses.ORACLE_SQL}
+#: what SQL cannot say: a vocabulary file's ids, markup, trained models
+NO_ORACLE = sorted(set(QUERIES) - set(ORACLE_SQL))
