@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, covertree, decontaminate, langid, licenses, linededup, minhash, packing, quality, substring, warc
+from . import chat, covertree, decontaminate, hardneg, langid, lexical, licenses, linededup, minhash, oracles, packing, quality, substring, warc
 from .common import table
 from .sampling import bucket_of
 
@@ -46,11 +46,15 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _scaled(embedding: str) -> Column:
+    """Each component x as floor(256 x); from 2^52 on, doubles are whole."""
+    whole = lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+    return F.transform(embedding, lambda v: whole(F.lit(256.0) * v.cast("double")))
+
+
 def op2_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").where(covertree.usable(F.col("embedding")))
-    whole = lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)  # noqa: E731  from 2^52 on, doubles are whole
-    scaled = F.transform("embedding", lambda v: whole(F.lit(256.0) * v.cast("double")))
-    vectors = rows.select(F.col("vec_id").alias("id"), scaled.alias("vector"))
+    vectors = rows.select(F.col("vec_id").alias("id"), _scaled("embedding").alias("vector"))
     found = covertree.top_k(vectors, vectors.where("id % 50 = 0"), k=5)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
@@ -134,6 +138,18 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(F.col("label").isNotNull() & covertree.usable(F.col("embedding")))
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = rows.select(F.col("vec_id").alias("id"), label.alias("label"), _scaled("embedding").alias("vector"))
+    return hardneg.hard_negatives(vectors, F.col("id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_cover_tree_top_k": op2_cover_tree_top_k,
@@ -146,8 +162,10 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_license_scan": op11_license_scan,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_line_dedup": linededup.ORACLE_SQL, "op11_license_scan": licenses.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {**oracles.SQL, "op8_line_dedup": linededup.ORACLE_SQL, "op11_license_scan": licenses.ORACLE_SQL}
 #: what SQL cannot say: a vocabulary file's ids, markup, trained models
 NO_ORACLE = sorted(set(QUERIES) - set(ORACLE_SQL))
