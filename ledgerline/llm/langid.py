@@ -207,8 +207,8 @@ def fit(docs: DataFrame, learn_from: Column | None = None, per_lang: int = PER_L
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     if learn_from is not None:
         rows = rows.where(learn_from)
-    sample, _ = per_class(rows.select("doc_id", "lang", "text"), "lang", per_lang, max_sample)
-    return train([(r["lang"], r["text"]) for r in sample.select("lang", "text").collect()])  # max_sample rows at most
+    sample, _ = per_class(rows.select("doc_id", "lang", "text"), "lang", per_lang, max_sample, "text")
+    return train([(r["lang"], r["text"]) for r in sample.select("lang", "text").collect()])  # max_sample rows and SAMPLE_BYTES at most
 
 
 def identify(docs: DataFrame, model: Model | None, columns: list[str] | None = None) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import small_batches, text_parts
-from .sampling import per_class
+from .sampling import bounded, per_class
 
 EMBED = 8
 WIDTH = 8
@@ -204,7 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, pe
         rows = rows.where(learn_from)
     sample, counts = per_class(rows, "label", per_label, 2 * per_label)
     share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")  # 2 * per_label rows at most
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")  # 2 * per_label labels at most
+    texts = bounded(texts, 2 * per_label, "text")  # an id may stand at any number of texts
     return train([(r["label"], r["text"]) for r in texts.select("label", "text").collect()], share)
 
 
