@@ -96,8 +96,10 @@ def title_case(c: Column) -> Column:
 
 def to_int(c: Column) -> Column:
     """Whole-number text → int: ``2`` and ``2.0`` → 2; ``3.7``, ``abc`` → NULL (Q10)."""
-    number = as_text(c).try_cast("decimal(38,10)")
-    return F.when(number == F.floor(number), number.try_cast("int"))
+    text = as_text(c)
+    number = text.try_cast("decimal(38,10)")
+    # the decimal reading only where the plain one gives nothing
+    return F.coalesce(text.try_cast("int"), F.when(number == F.floor(number), number.try_cast("int")))
 
 
 def to_double(c: Column) -> Column:

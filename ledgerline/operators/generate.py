@@ -21,48 +21,71 @@ from pyspark.sql.types import StringType, StructField, StructType
 TextModel = Callable[[pd.Series], pd.Series]
 
 
-def _safe_apply(fn: TextModel, prompts: pd.Series, size: int | None = None) -> pd.Series:
-    """Call the model on chunks of at most ``size`` prompts (the whole batch
-    when unset); if a chunk's call fails, retry that chunk row by row and leave
-    NULL where a single prompt fails (the reference skips such rows)."""
+GIVE_UP = 3  # single prompts that fail one after another: the model is taken to be down for the chunk
+
+
+def _safe_apply(fn: TextModel, prompts: pd.Series, size: int | None = None) -> tuple[list, list]:
+    """Replies and errors. The model is called on chunks of at most ``size`` prompts (the whole
+    batch when unset); if a chunk's call fails, that chunk is retried prompt by prompt. A prompt that
+    fails alone has no reply (the reference skips such rows) and its error's text."""
     step = size or max(len(prompts), 1)
-    parts = []
+    replies: list = []
+    errors: list = []
     for i in range(0, len(prompts), step):
         chunk = prompts.iloc[i : i + step]
         try:
-            parts.append(pd.Series(list(fn(chunk)), index=chunk.index, dtype=object))
-        except Exception:  # noqa: BLE001 — model errors become NULL replies
-            vals = []
-            for p in chunk:
+            replies += list(fn(chunk))
+            errors += [None] * len(chunk)
+            continue
+        except Exception:  # noqa: BLE001 — which prompt is to blame shows below
+            failed = 0
+        for p in chunk:
+            if failed < GIVE_UP:
                 try:
-                    vals.append(list(fn(pd.Series([p])))[0])
-                except Exception:  # noqa: BLE001
-                    vals.append(None)
-            parts.append(pd.Series(vals, index=chunk.index, dtype=object))
-    out = pd.concat(parts) if parts else pd.Series([], dtype=object)
-    return out.where(out.notna(), None).astype(object)
+                    replies.append(list(fn(pd.Series([p])))[0])
+                    errors.append(None)
+                    failed = 0
+                    continue
+                except Exception as e:  # noqa: BLE001 — kept in the error column
+                    said = f"{type(e).__name__}: {e}"
+                    failed += 1
+            replies.append(None)
+            errors.append(said)
+    return [None if pd.isna(r) else r for r in replies], errors
 
 
 def generate_text(
-    df: DataFrame, prompt_col: str, out_col: str, model: TextModel | None = None, default: Column | None = None, batch_size: int | None = None
+    df: DataFrame,
+    prompt_col: str,
+    out_col: str,
+    model: TextModel | None = None,
+    default: Column | None = None,
+    batch_size: int | None = None,
+    error_col: str | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = model(prompt) per row.
 
     ``model=None`` uses ``default`` (a Column expression, e.g. a template over
     the row's fields) and stays in the JVM. ``batch_size`` caps the prompts
-    per model call; a failing call is retried row by row for its chunk only."""
+    per model call; a failing call is retried row by row for its chunk only.
+    ``error_col`` names a column for what went wrong with a row's call."""
     if model is None:
         if default is None:
             raise ValueError("need a model or a default expression")
-        return df.withColumn(out_col, default)
-    fields = [f for f in df.schema.fields if f.name != out_col]
-    schema = StructType(fields + [StructField(out_col, StringType(), True)])
+        out = df.withColumn(out_col, default)
+        return out.withColumn(error_col, F.lit(None).cast("string")) if error_col else out
+    added = [out_col, *([error_col] if error_col else [])]
+    fields = [f for f in df.schema.fields if f.name not in added]
+    schema = StructType(fields + [StructField(c, StringType(), True) for c in added])
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf[names].copy()
-            pdf[out_col] = _safe_apply(model, pdf[prompt_col], batch_size)
+            replies, errors = _safe_apply(model, pdf[prompt_col], batch_size)
+            pdf[out_col] = pd.Series(replies, index=pdf.index, dtype=object)
+            if error_col:
+                pdf[error_col] = pd.Series(errors, index=pdf.index, dtype=object)
             yield pdf
 
     return df.mapInPandas(run, schema)

@@ -1,28 +1,31 @@
 """Exact k-nearest-neighbour search of a query set against a distributed
 vector corpus (R4, L2).
 
-Plan: the query vectors are bounded (their count is checked before anything
-is shipped); they travel to the executors once as a broadcast. Each corpus
-task computes distances for its Arrow batch with numpy and emits only the
-batch's best candidates per query, so no query × corpus pairs are ever
-materialized or shuffled. A final ``row_number`` per query (planned as a
-partial + final ``WindowGroupLimit``) keeps the global top k. Query sets
-above the bound are processed in hash blocks, each within the bound.
+The corpus is scanned once, however many queries there are. A task holds the query set as
+one matrix a vector width, looks through its Arrow batches with numpy, and keeps the best k
+rows of each query over all its batches; it emits those alone, so no query × corpus
+pairs are ever materialized or shuffled. A final ``row_number`` per query (planned as a
+partial + final ``WindowGroupLimit``) keeps the global top k.
+
+How the queries reach the tasks depends on their size in bytes, which is checked first: up
+to ``MAX_BROADCAST_BYTES`` they are broadcast. A larger set is sent by shuffle: the
+corpus is dealt into shards, every shard meets the query blocks one after another, sorted
+behind its own rows. Both ways give the same rows.
 
 Ranking key is ``(distance rounded HALF_UP to scale places, corpus id)``:
 distances equal to the scale are ties, decided by id. The key is computed in
-the task (once per distinct raw distance) and each batch emits exactly its k
-best keys per query, so the final ranking sees the same keys and the result
-is exact — and a group of copies, however large, contributes at most k rows
-per batch.
+the task (once per distinct raw distance), so the final ranking sees the same keys and the
+result is exact — and a group of copies, however large, contributes at most k rows a task.
+
+Vectors that are NULL, empty or hold NULL or non-finite components take no part on either
+side; vectors of another width than a query's have no distance to it; a repeated query id
+counts once, with its smallest vector.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from decimal import ROUND_HALF_UP, Decimal
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,7 +33,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-MAX_BROADCAST_QUERIES = 4096
+MAX_BROADCAST_QUERIES = 4096  # hits of so many questions are small enough to broadcast
+MAX_BROADCAST_BYTES = 64 << 20  # of query vectors
+SHARD_ROWS = 65_536  # corpus rows a shard where the queries come by shuffle
+BLOCK_ROWS = 4096  # queries a block there
 DISTANCE_SCALE = 6
 
 
@@ -51,37 +57,57 @@ def _rounded(values: np.ndarray, scale: int) -> np.ndarray:
 QUERY_CHUNK = 256
 
 
-def _candidates(Q: np.ndarray, qids, V: np.ndarray, ids: np.ndarray, k: int, scale: int):
-    """Per query: the k best (rounded distance, id) rows of this batch.
+class Nearest:
+    """The k best (rounded distance, corpus id) of each query of one width so far.
 
     Distances to a chunk of queries come from one matrix product
     (``|v|² + |q|² − 2 v·q``); they only locate a candidate band, widened by a
     bound on that formula's rounding error, and the band's distances are then
     recomputed directly as ``Σ (v − q)²``, so results equal the direct method."""
-    slack = 10.0 ** (-scale)
-    n = len(V)
-    if n == 0:
-        return
-    vv = np.einsum("ij,ij->i", V, V)
-    for start in range(0, len(Q), QUERY_CHUNK):
-        Qc = Q[start : start + QUERY_CHUNK]
-        qq = np.einsum("ij,ij->i", Qc, Qc)
-        approx = vv[:, None] + qq[None, :] - 2.0 * (V @ Qc.T)
-        tol = 1e-9 * (1.0 + float(vv.max()) + float(qq.max()))
-        for j in range(len(Qc)):
-            a = approx[:, j]
-            if n > k:
-                kth = np.partition(a, k - 1)[k - 1]
-                band = np.nonzero(a <= kth + slack + 2.0 * tol)[0]
-            else:
-                band = np.arange(n)
-            diff = V[band] - Qc[j]
-            d2 = np.einsum("ij,ij->i", diff, diff)
-            uniq, inv = np.unique(d2, return_inverse=True)
-            dist = _rounded(uniq, scale)[inv]
-            best = sorted(zip(dist.tolist(), ids[band].tolist()))[:k]
-            for dv, cid in best:
-                yield qids[start + j], cid, dv
+
+    def __init__(self, ids: list, Q: np.ndarray, k: int, scale: int):
+        self.ids, self.Q, self.k, self.scale = ids, Q, k, scale
+        self.best: list[list[tuple]] = [[] for _ in ids]
+        self.worst = np.full(len(ids), np.inf)  # distance of the k-th best
+
+    def look(self, V: np.ndarray, ids: np.ndarray) -> None:
+        n, k, slack = len(V), self.k, 10.0 ** (-self.scale)
+        if n == 0:
+            return
+        vv = np.einsum("ij,ij->i", V, V)
+        for start in range(0, len(self.Q), QUERY_CHUNK):
+            Qc = self.Q[start : start + QUERY_CHUNK]
+            qq = np.einsum("ij,ij->i", Qc, Qc)
+            approx = vv[:, None] + qq[None, :] - 2.0 * (V @ Qc.T)
+            tol = 1e-9 * (1.0 + float(vv.max()) + float(qq.max()))
+            near = approx.min(0) <= self.worst[start : start + QUERY_CHUNK] + slack + 2.0 * tol
+            for j in np.flatnonzero(near | ~np.isfinite(approx.min(0))).tolist():
+                a = approx[:, j]
+                if n > k:
+                    kth = min(np.partition(a, k - 1)[k - 1], self.worst[start + j])
+                    band = np.nonzero(~(a > kth + slack + 2.0 * tol))[0]
+                else:
+                    band = np.arange(n)
+                diff = V[band] - Qc[j]
+                d2 = np.einsum("ij,ij->i", diff, diff)
+                uniq, inv = np.unique(d2, return_inverse=True)
+                dist = _rounded(uniq, self.scale)[inv]
+                best = sorted(self.best[start + j] + list(zip(dist.tolist(), ids[band].tolist(), strict=True)))[:k]
+                self.best[start + j] = best
+                if len(best) == k:
+                    self.worst[start + j] = best[-1][0]
+
+    def rows(self) -> list[tuple]:
+        return [(q, cid, d) for q, best in zip(self.ids, self.best, strict=True) for d, cid in best]
+
+
+def _by_width(values, ids, normalize: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(width, ids, matrix) of the vectors of each width."""
+    width = np.array([len(v) for v in values])
+    ids = np.asarray(ids)
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        yield w, ids[at], _matrix([values[i] for i in at.tolist()], normalize)
 
 
 def usable(vec: str) -> Column:
@@ -106,58 +132,77 @@ def exact_knn(
     query_vec: str,
     normalize: bool = False,
     scale: int = DISTANCE_SCALE,
-    max_broadcast: int = MAX_BROADCAST_QUERIES,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``(query_id, corpus_id, distance, rank)`` for the k nearest corpus
     vectors of every query by squared L2 distance (of unit vectors when
     ``normalize``, i.e. a cosine ranking). Fewer than k vectors → fewer rows."""
-    # a repeated query id counts once (its smallest vector); vectors that are NULL or
-    # hold NULL or non-finite components take no part, on either side
     queries = queries.filter(usable(query_vec)).groupBy(query_id).agg(F.min(query_vec).alias(query_vec))
-    # size check that allows the broadcast: never fetches more than max_broadcast + 1 rows
-    widths = [r["w"] for r in queries.select(F.size(query_vec).alias("w")).distinct().limit(2).collect()]
-    if len(widths) > 1:
-        raise ValueError(f"query vectors of different widths: {sorted(widths)}")
-    rows = queries.select(query_id, query_vec).limit(max_broadcast + 1).collect()
-    n = len(rows)
-    out_schema = StructType(
-        [
-            queries.schema[query_id],
-            corpus.schema[corpus_id],
-            StructField("distance", DoubleType(), True),
-        ]
-    )
-    if n == 0:
-        return corpus.sparkSession.createDataFrame([], out_schema).withColumn("rank", F.lit(1))
-    if n > max_broadcast:
-        blocks = math.ceil(2 * queries.count() / max_broadcast)
-        bucket = F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks))
-        parts = [
-            exact_knn(
-                corpus, queries.filter(bucket == b), k, corpus_id=corpus_id, corpus_vec=corpus_vec,
-                query_id=query_id, query_vec=query_vec, normalize=normalize, scale=scale, max_broadcast=max_broadcast,
-            )
-            for b in range(blocks)
-        ]
-        return reduce(DataFrame.unionByName, parts)
-
-    qids = [r[0] for r in rows]
-    Q = _matrix([r[1] for r in rows], normalize)
-    sc = corpus.sparkSession.sparkContext
-    shipped = sc.broadcast((qids, Q))
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bq, BQ = shipped.value
-        for pdf in batches:
-            pdf = pdf[pdf[corpus_vec].notna()]
-            if pdf.empty:
-                continue
-            V = _matrix(pdf[corpus_vec].tolist(), normalize)
-            found = list(_candidates(BQ, bq, V, pdf[corpus_id].to_numpy(), k, scale))
-            if found:
-                yield pd.DataFrame(found, columns=[query_id, corpus_id, "distance"])
-
-    width = Q.shape[1]  # vectors of another width have no distance to the queries
-    fit = corpus.filter(usable(corpus_vec)).filter(F.size(corpus_vec) == width)
-    cands = fit.select(corpus_id, corpus_vec).mapInPandas(run, out_schema)
+    corpus = corpus.filter(usable(corpus_vec)).select(corpus_id, corpus_vec)
+    out_schema = StructType([queries.schema[query_id], corpus.schema[corpus_id], StructField("distance", DoubleType(), True)])
+    size = queries.agg(F.coalesce(F.sum(8 * F.size(query_vec)), F.lit(0)).alias("bytes")).first()["bytes"]  # the check that allows the broadcast
+    if size <= max_broadcast_bytes:
+        cands = _scan(corpus, queries, k, corpus_id, corpus_vec, query_id, query_vec, normalize, scale, out_schema)
+    else:
+        cands = _meet(corpus, queries, k, corpus_id, corpus_vec, query_id, query_vec, normalize, scale, out_schema)
     w = Window.partitionBy(query_id).orderBy(F.col("distance"), F.col(corpus_id))
     return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def _scan(corpus, queries, k, corpus_id, corpus_vec, query_id, query_vec, normalize, scale, schema) -> DataFrame:
+    """One narrow pass; the whole query set is in every task."""
+    rows = queries.select(query_id, query_vec).collect()  # of checked size
+    asked = {w: (ids.tolist(), Q) for w, ids, Q in _by_width([r[1] for r in rows], [r[0] for r in rows], normalize)}
+    shipped = corpus.sparkSession.sparkContext.broadcast(asked)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = {w: Nearest(ids, Q, k, scale) for w, (ids, Q) in shipped.value.items()}
+        for pdf in batches:
+            for w, ids, V in _by_width(pdf[corpus_vec].tolist(), pdf[corpus_id].to_numpy(), normalize):
+                if w in found:
+                    found[w].look(V, ids)
+        for near in found.values():
+            if rows := near.rows():
+                yield pd.DataFrame(rows, columns=[query_id, corpus_id, "distance"])
+
+    return corpus.mapInPandas(run, schema)
+
+
+def _meet(corpus, queries, k, corpus_id, corpus_vec, query_id, query_vec, normalize, scale, schema) -> DataFrame:
+    """Corpus shards and copies of the query blocks come together by shuffle, the shard's rows first."""
+    shards = max(1, -(-corpus.count() // SHARD_ROWS))
+    blocks = max(1, -(-queries.count() // BLOCK_ROWS))
+    c, q = corpus.schema, queries.schema
+    own = corpus.select(F.pmod(F.xxhash64(corpus_id), F.lit(shards)).cast("int").alias("shard"), F.lit(-1).alias("block"), F.col(corpus_id).alias("cid"), F.lit(None).cast(q[query_id].dataType).alias("qid"), F.col(corpus_vec).cast("array<double>").alias("vec"))
+    block = F.pmod(F.xxhash64(F.lit("block"), query_id), F.lit(blocks)).cast("int")
+    copies = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"), F.lit(None).cast(c[corpus_id].dataType).alias("cid"), F.col(query_id).alias("qid"), F.col(query_vec).cast("array<double>").alias("vec"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, mine, asked, at = None, [], [], None
+
+        def answer() -> Iterator[pd.DataFrame]:
+            for w, ids, Q in _by_width([v for _, v in asked], [i for i, _ in asked], normalize):
+                near = Nearest(ids.tolist(), Q, k, scale)
+                for width, cids, V in mine:
+                    if width == w:
+                        near.look(V, cids)
+                if rows := near.rows():
+                    yield pd.DataFrame(rows, columns=[query_id, corpus_id, "distance"])
+
+        for pdf in batches:
+            for (s, b), part in pdf.groupby(["shard", "block"], sort=True):
+                if asked and (s, b) != at:
+                    yield from answer()
+                    asked = []
+                if s != shard:
+                    shard, mine = s, []
+                if b < 0:
+                    mine += list(_by_width(part["vec"].tolist(), part["cid"].to_numpy(), normalize))
+                else:
+                    asked += list(zip(part["qid"].tolist(), part["vec"].tolist(), strict=True))
+                at = (s, b)
+        if asked:
+            yield from answer()
+
+    met = own.unionByName(copies).repartition("shard").sortWithinPartitions("shard", "block")
+    return met.mapInPandas(run, schema)

@@ -18,7 +18,7 @@ from ..operators import quality as Q
 from ..operators.knn import exact_knn
 from ..sources.tables import Tables, stage
 from ..sources.testbed import raw_entities
-from . import dq_report, fraud, insights, retrieval
+from . import dq_report, fraud, incremental, insights, retrieval
 from .lakehouse import Lakehouse
 from .silver import ENTITIES, SilverOptions
 
@@ -326,11 +326,21 @@ def kpi_slow_moving(spark, sf_dir):
     return _kpi_views(spark, sf_dir)["slow_moving_inventory"]
 
 
-def ai_insights_kpi(spark, sf_dir):
-    # the three views read both facts, and each view is read twice (its page
-    # count and its pages): facts and the small views are written once
+def _insight_tree(spark, sf_dir):
+    # the three views read both facts, and each view is read twice (its count and
+    # its pages): facts and the small views are written once
     views = _kpi_views(spark, sf_dir, stage=("orders", "fact_transactions", "fact_returns"))
-    return insights.insights({name: stage(v, name) for name, v in views.items()}, stamp=False)
+    return insights.summary_tree({name: stage(v, name) for name, v in views.items()})
+
+
+def ai_insights_kpi(spark, sf_dir):
+    """One insight for each KPI view, whatever its size (I4)."""
+    return insights.insights(_insight_tree(spark, sf_dir), stamp=False)
+
+
+def ai_insight_pages(spark, sf_dir):
+    """The pages below the insights: the whole entry lists and their summaries."""
+    return _insight_tree(spark, sf_dir).where("level = 0").select("insight_type", "node", "n_entries", "summary", "kpi_data")
 
 
 for _f in (
@@ -344,6 +354,7 @@ for _f in (
     kpi_vendor,
     kpi_slow_moving,
     ai_insights_kpi,
+    ai_insight_pages,
 ):
     QUERIES[_f.__name__] = _f
 
@@ -405,5 +416,14 @@ def vector_topk(spark, sf_dir):
     return exact_knn(vecs, cents, retrieval.TOP_K, corpus_id="vec_id", corpus_vec="embedding", query_id="label", query_vec="centroid")
 
 
-for _f in (product_documents, vendor_documents, rag_documents, rag_topk, rag_context, rag_answer, vector_topk):
+def vector_topk_all(spark, sf_dir):
+    """Every vector as a query against all of them (R4): one scan of the table."""
+    vecs = Tables(spark, sf_dir).read("embeddings", ["vec_id", "embedding"])
+    asked = vecs.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return exact_knn(vecs, asked, retrieval.TOP_K, corpus_id="vec_id", corpus_vec="embedding", query_id="query_id", query_vec="query")
+
+
+for _f in (product_documents, vendor_documents, rag_documents, rag_topk, rag_context, rag_answer, vector_topk, vector_topk_all):
     QUERIES[_f.__name__] = _f
+
+QUERIES |= incremental.QUERIES

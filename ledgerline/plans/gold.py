@@ -17,6 +17,13 @@ DATE_KEY_FORMAT = "yyyyMMdd"
 MONTH_FORMAT = "yyyy-MM"
 SLOW_MOVING_THRESHOLD = 10
 EVENT_TIME = "ingestion_timestamp"
+# what Gold reads of each Silver table
+CUSTOMER_COLUMNS = ["customer_id", "customer_name", "customer_email", "segment", "region"]
+PRODUCT_COLUMNS = ["product_id", "product_name", "categories", "brand", "upc"]
+VENDOR_COLUMNS = ["vendor_id", "vendor_name"]
+ORDER_COLUMNS = ["order_id", "customer_id", "vendor_id", "region", "order_purchase_date"]
+TRANSACTION_COLUMNS = ["order_id", "product_id", "sales", "quantity", "profit"]
+RETURN_COLUMNS = ["order_id", "refund_amount", "return_status", "return_date"]
 
 
 def date_key(c) -> F.Column:
@@ -31,15 +38,15 @@ def _dim(df: DataFrame, cols: list[str], key: str) -> DataFrame:
 
 
 def dim_customer(customers_clean: DataFrame) -> DataFrame:
-    return _dim(customers_clean, ["customer_id", "customer_name", "customer_email", "segment", "region"], "customer_id")
+    return _dim(customers_clean, CUSTOMER_COLUMNS, "customer_id")
 
 
 def dim_product(products_clean: DataFrame) -> DataFrame:
-    return _dim(products_clean, ["product_id", "product_name", "categories", "brand", "upc"], "product_id")
+    return _dim(products_clean, PRODUCT_COLUMNS, "product_id")
 
 
 def dim_vendor(vendors_clean: DataFrame) -> DataFrame:
-    return _dim(vendors_clean, ["vendor_id", "vendor_name"], "vendor_id")
+    return _dim(vendors_clean, VENDOR_COLUMNS, "vendor_id")
 
 
 def dim_date(orders_clean: DataFrame, returns_clean: DataFrame, grain: str = "date") -> DataFrame:
@@ -67,8 +74,8 @@ def dim_date(orders_clean: DataFrame, returns_clean: DataFrame, grain: str = "da
 
 def fact_transactions(orders_clean: DataFrame, transactions_clean: DataFrame) -> DataFrame:
     """Order line grain: region, customer, vendor and date from the order."""
-    o = orders_clean.select(*["order_id", "customer_id", "vendor_id", "region", "order_purchase_date"])
-    t = transactions_clean.select(*["order_id", "product_id", "sales", "quantity", "profit"])
+    o = orders_clean.select(*ORDER_COLUMNS)
+    t = transactions_clean.select(*TRANSACTION_COLUMNS)
     return o.join(t, "order_id").select(
         "order_id",
         "customer_id",
@@ -85,8 +92,8 @@ def fact_transactions(orders_clean: DataFrame, transactions_clean: DataFrame) ->
 
 def fact_returns(returns_clean: DataFrame, orders_clean: DataFrame, include_region: bool = False) -> DataFrame:
     """Return grain; customer and vendor recovered from the order."""
-    r = returns_clean.select(*["order_id", "refund_amount", "return_status", "return_date"])
-    o = orders_clean.select(*["order_id", "customer_id", "vendor_id", "region"])
+    r = returns_clean.select(*RETURN_COLUMNS)
+    o = orders_clean.select("order_id", "customer_id", "vendor_id", "region")
     cols = [
         "order_id",
         "customer_id",
@@ -121,8 +128,12 @@ def agg_vendor_performance(fact_tx: DataFrame, fact_ret: DataFrame) -> DataFrame
     out (left join from sales), rate may exceed 1 (return rows ÷ orders)."""
     orders = fact_tx.groupBy("vendor_id").agg(F.count_distinct("order_id").alias("total_orders"))
     rets = fact_ret.groupBy("vendor_id").agg(F.count(F.lit(1)).alias("total_returns"))
+    return vendor_rates(orders, rets)
+
+
+def vendor_rates(orders: DataFrame, returns: DataFrame) -> DataFrame:
     return (
-        orders.join(rets, "vendor_id", "left")
+        orders.join(returns, "vendor_id", "left")
         .fillna(0, subset=["total_returns"])
         .withColumn("return_rate", F.try_divide(F.col("total_returns").cast("double"), F.col("total_orders")))
     )

@@ -1,11 +1,13 @@
 """KPI views and the AI-insights table (UC4: I1–I4, A8, A9, A13, M3, M4).
 
 The reference packs a whole KPI view into one JSON array with a global
-``collect_list``: one task, one row, growing with the number of vendors.
-Here each view is split into pages of at most ``page_size`` entries by a
-hash of its key, so every ``collect_list`` group is bounded and the pages
-are built in parallel. A view with fewer entries than ``page_size`` is a
-single page, exactly the reference's array.
+``collect_list``: one task, one row, growing with the number of vendors. Here a view
+is summed up as a tree. Its rows are dealt by a hash of their key into pages of about
+``PAGE_SIZE`` entries; a page becomes a JSON array and a summary. ``FANOUT`` nodes at a
+time become one node of the next level, with the figures of all the entries below (counts
+and sums, and the highest and lowest entries, all of which merge) and a summary of its
+children's summaries, up to a single root. So there is one insight a view at every size,
+and no group ever holds more than a page or ``FANOUT`` children.
 """
 
 from __future__ import annotations
@@ -17,10 +19,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import MONEY_TEXT, money_sum
+from ..functions.measures import MONEY_TEXT, money, money_sum
 from ..operators.generate import TextModel, generate_text
+from ..sources.tables import stage
 
-PAGE_SIZE = 500
+PAGE_SIZE = 20
+FANOUT = 10
+EXTREMES = 3  # highest and lowest entries kept in a node
 RATE_TYPE = "decimal(20,6)"
 
 # Insight types and the instruction put before each KPI JSON.
@@ -38,7 +43,7 @@ INSTRUCTIONS = {
         "regions. Provide a 4-6 sentence executive summary: "
     ),
 }
-SUMMARY_TEMPLATE = "%s: page %d of %d covers %d entries; figures are in kpi_data."
+SUMMARY_TEMPLATE = "%s: %d entries, %s; highest %s, lowest %s by %s."
 
 
 def kpi_revenue(agg_monthly_revenue: DataFrame) -> DataFrame:
@@ -70,7 +75,9 @@ def kpi_slow_moving(agg_slow_moving_products: DataFrame) -> DataFrame:
 class KpiSpec:
     insight_type: str
     key: str
-    fields: Sequence[Column]
+    fields: Sequence[Column]  # of a JSON entry
+    lead: str  # the measure that ranks entries
+    totals: dict[str, tuple[Column, str]]  # name → (value that adds up, type of the sum)
 
 
 def kpi_specs() -> list[KpiSpec]:
@@ -78,52 +85,118 @@ def kpi_specs() -> list[KpiSpec]:
     exact and engine-independent."""
     c = F.col
     return [
-        KpiSpec("revenue_performance", "region", [c("region"), c("total_revenue").cast(MONEY_TEXT).alias("total_revenue"), c("total_orders")]),
+        KpiSpec(
+            "revenue_performance",
+            "region",
+            [c("region"), c("total_revenue").cast(MONEY_TEXT).alias("total_revenue"), c("total_orders")],
+            "total_revenue",
+            {"total_revenue": (money("total_revenue"), MONEY_TEXT), "total_orders": (c("total_orders"), "bigint")},
+        ),
         KpiSpec(
             "vendor_return_rate",
             "vendor_id",
             [c("vendor_id"), c("avg_return_rate").cast(RATE_TYPE).alias("avg_return_rate"), c("total_returns"), c("total_orders")],
+            "avg_return_rate",
+            {"total_returns": (c("total_returns"), "bigint"), "total_orders": (c("total_orders"), "bigint")},
+        ),
+        KpiSpec(
+            "slow_moving_inventory",
+            "region",
+            [c("region"), c("slow_product_count"), c("total_quantity_sold")],
+            "slow_product_count",
+            {"slow_product_count": (c("slow_product_count"), "bigint"), "total_quantity_sold": (c("total_quantity_sold"), "bigint")},
         ),
-        KpiSpec("slow_moving_inventory", "region", [c("region"), c("slow_product_count"), c("total_quantity_sold")]),
     ]
 
 
-def page_of(key: Column, n_pages: Column) -> Column:
+def page_of(key: Column, n_pages: int) -> Column:
     """Stable page for a key: first 32 bits of its MD5, modulo the page count
     (a NULL key goes to page 0)."""
     h = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
-    return F.coalesce(F.pmod(h, n_pages.cast("bigint")), F.lit(0))
-
-
-def kpi_pages(view: DataFrame, spec: KpiSpec, page_size: int = PAGE_SIZE) -> DataFrame:
-    """``(insight_type, page, n_pages, n_entries, kpi_data)`` with
-    ``kpi_data`` = JSON array of the page's entries sorted by key (A8, M3)."""
-    n_pages = view.select(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(page_size))).cast("int")).scalar()
-    entries = view.select(page_of(F.col(spec.key), n_pages).cast("int").alias("page"), F.struct(*spec.fields).alias("entry"))
-    return entries.groupBy("page").agg(F.array_sort(F.collect_list("entry")).alias("entries")).select(
-        F.lit(spec.insight_type).alias("insight_type"),
-        "page",
-        n_pages.alias("n_pages"),
-        F.size("entries").alias("n_entries"),
+    return F.coalesce(F.pmod(h, F.lit(n_pages)), F.lit(0)).cast("int")
+
+
+def _extremes(entries: Column, spec: KpiSpec, highest: bool) -> Column:
+    """The ``EXTREMES`` entries with the greatest or smallest lead measure, ties by key; NULL measures last."""
+
+    def order(e: Column) -> Column:
+        lead = -e[spec.lead] if highest else e[spec.lead]
+        return F.struct(lead.isNull().alias("none"), lead.alias("lead"), e[spec.key].alias("key"), e.alias("entry"))
+
+    ordered = F.array_sort(F.transform(entries, order))
+    return F.slice(F.transform(ordered, lambda x: x["entry"]), 1, EXTREMES)
+
+
+def _summary_text(spec: KpiSpec) -> Column:
+    """The default summary of any node, from its figures alone."""
+    totals = F.concat_ws(", ", *[F.concat(F.lit(f"{name} "), F.coalesce(F.col(name).cast("string"), F.lit("unknown"))) for name in spec.totals])
+    first = lambda c: F.coalesce(F.try_element_at(c, F.lit(1))[spec.key].cast("string"), F.lit("none"))
+    return F.format_string(SUMMARY_TEMPLATE, F.lit(spec.insight_type), F.col("n_entries"), totals, first(F.col("highest")), first(F.col("lowest")), F.lit(spec.lead))
+
+
+def _figures(spec: KpiSpec) -> Column:
+    return F.to_json(F.struct("n_entries", *spec.totals, "highest", "lowest"))
+
+
+def _nodes(df: DataFrame, spec: KpiSpec, level: int, model: TextModel | None) -> DataFrame:
+    """Prompts and summaries of one level, written once (a model is asked once)."""
+    df = df.withColumn("level", F.lit(level)).withColumn("prompt", F.concat(F.lit(INSTRUCTIONS[spec.insight_type]), F.col("asked")))
+    return stage(generate_text(df.drop("asked"), "prompt", "summary", model, _summary_text(spec)), f"insight-{spec.insight_type}-{level}")
+
+
+def kpi_pages(view: DataFrame, spec: KpiSpec, n_pages: int) -> DataFrame:
+    """Level 0: ``kpi_data`` = JSON array of the page's entries by key (A8, M3), and their figures."""
+    values = [value.alias(f"_{name}") for name, (value, _) in spec.totals.items()]
+    entries = view.select(page_of(F.col(spec.key), n_pages).alias("node"), F.struct(*spec.fields).alias("entry"), *values)
+    sums = [F.sum(f"_{name}").cast(kind).alias(name) for name, (_, kind) in spec.totals.items()]
+    pages = entries.groupBy("node").agg(F.array_sort(F.collect_list("entry")).alias("entries"), *sums)
+    return pages.select(
+        "node",
+        F.size("entries").cast("long").alias("n_entries"),
+        *spec.totals,
+        _extremes(F.col("entries"), spec, True).alias("highest"),
+        _extremes(F.col("entries"), spec, False).alias("lowest"),
         F.to_json("entries").alias("kpi_data"),
+        F.to_json("entries").alias("asked"),
     )
 
 
-def template_summary() -> Column:
-    return F.format_string(SUMMARY_TEMPLATE, F.col("insight_type"), F.col("page") + 1, F.col("n_pages"), F.col("n_entries"))
+def kpi_parents(children: DataFrame, spec: KpiSpec, fanout: int) -> DataFrame:
+    """The next level: figures of ``fanout`` nodes merged, their summaries as the prompt."""
+    said = F.struct(F.col("node"), F.col("n_entries"), F.col("summary"))
+    sums = [F.sum(name).cast(kind).alias(name) for name, (_, kind) in spec.totals.items()]
+    merged = children.groupBy(F.floor(F.col("node") / fanout).cast("int").alias("node")).agg(
+        F.sum("n_entries").alias("n_entries"),
+        *sums,
+        F.flatten(F.collect_list("highest")).alias("highest"),
+        F.flatten(F.collect_list("lowest")).alias("lowest"),
+        F.array_sort(F.collect_list(said)).alias("children"),
+    )
+    merged = merged.withColumns({"highest": _extremes(F.col("highest"), spec, True), "lowest": _extremes(F.col("lowest"), spec, False)})
+    return merged.withColumn("kpi_data", _figures(spec)).withColumn("asked", F.to_json("children")).drop("children")
 
 
-def insights(views: dict[str, DataFrame], model: TextModel | None = None, stamp: bool = True, page_size: int = PAGE_SIZE) -> DataFrame:
-    """The insights table: one row per (insight type, page) with the prompt's
-    model summary and the KPI JSON it was given (I4). Written with a single
-    overwrite of the union (atomic), not delete-then-insert."""
-    parts = []
+def summary_tree(views: dict[str, DataFrame], model: TextModel | None = None, page_size: int = PAGE_SIZE, fanout: int = FANOUT) -> DataFrame:
+    """Every node of the three trees: insight_type, level (0: pages), node, n_entries,
+    ``root``, prompt, summary and kpi_data. A view without rows has no node. The views
+    are read twice (their count, their pages): hand in written ones."""
+    out = []
     for spec in kpi_specs():
-        pages = kpi_pages(views[spec.insight_type], spec, page_size)
-        prompt = F.concat(F.lit(INSTRUCTIONS[spec.insight_type]), F.col("kpi_data"))
-        parts.append(pages.withColumn("prompt", prompt))
-    allp = reduce(DataFrame.unionByName, parts)
-    out = generate_text(allp, "prompt", "summary", model, template_summary()).select(
-        "insight_type", "page", "n_pages", "summary", "kpi_data"
-    )
+        view = views[spec.insight_type]
+        n = max(1, -(-view.count() // page_size))
+        level, nodes = 0, _nodes(kpi_pages(view, spec, n), spec, 0, model)
+        while True:
+            root = level > 0 and n == 1  # a page is never the root, however few the rows
+            out.append(nodes.select(F.lit(spec.insight_type).alias("insight_type"), "level", "node", "n_entries", F.lit(root).alias("root"), "prompt", "summary", "kpi_data"))
+            if root:
+                break
+            n, level = -(-n // fanout), level + 1
+            nodes = _nodes(kpi_parents(nodes, spec, fanout), spec, level, model)
+    return reduce(DataFrame.unionByName, out)
+
+
+def insights(tree: DataFrame, stamp: bool = True) -> DataFrame:
+    """The insights table (I4): one row per insight, the root of its tree. ``kpi_data`` holds the
+    figures of the whole view; the entries themselves are in the level 0 rows of the tree."""
+    out = tree.where("root").select("insight_type", "n_entries", "summary", "kpi_data")
     return out.withColumn("generated_at", F.current_timestamp()) if stamp else out

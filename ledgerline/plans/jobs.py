@@ -18,13 +18,13 @@ from ..functions.text import EmbedModel
 from ..operators.generate import TextModel
 from ..operators.quality import STATUS
 from ..sources.tables import stage
-from ..streaming.runner import Layout
+from ..streaming.runner import Layout, Runner
 from . import dq_report, fraud, insights, publish, retrieval
 from .silver import ENTITIES
 
 
 def _gold(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    return spark.read.parquet(layout.gold(name))
+    return Runner(spark, layout).gold_table(name)
 
 
 def quarantine_tables(spark: SparkSession, layout: Layout, entities: Sequence[str] = ENTITIES) -> dict[str, DataFrame]:
@@ -51,14 +51,15 @@ def return_abuse_job(
 
 
 def insights_job(spark: SparkSession, layout: Layout, table: str = "ai_business_insights", model: TextModel | None = None) -> None:
-    """KPI views → paged KPI JSON → summaries → insights table (UC4)."""
+    """KPI views → summary trees → insights table, with all their nodes in ``{table}_tree`` (UC4)."""
     views = {
         "revenue_performance": insights.kpi_revenue(_gold(spark, layout, "agg_monthly_revenue")),
         "vendor_return_rate": insights.kpi_vendor(_gold(spark, layout, "agg_vendor_performance")),
         "slow_moving_inventory": insights.kpi_slow_moving(_gold(spark, layout, "agg_slow_moving_products")),
     }
     publish.register_views({"revenue_kpi": views["revenue_performance"], "vendor_kpi": views["vendor_return_rate"], "slow_kpi": views["slow_moving_inventory"]})
-    publish.publish_insights(spark, insights.insights(views, model), table)
+    publish.publish_overwrite(insights.summary_tree({name: stage(v, name) for name, v in views.items()}, model), f"{table}_tree")
+    publish.publish_insights(spark, insights.insights(spark.table(f"{table}_tree")), table)
 
 
 def question_answer_job(

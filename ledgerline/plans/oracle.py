@@ -469,20 +469,52 @@ BODIES.update(
 )
 
 
-def _kpi_sql(itype: str, view: str, key: str, fields: str) -> str:
-    from .insights import PAGE_SIZE, SUMMARY_TEMPLATE
-
+# written out here, apart from the code under test
+_KPIS = {
+    "revenue_performance": (
+        "kpi_revenue",
+        "region",
+        "region := region, total_revenue := CAST(total_revenue AS DECIMAL(38,4)), total_orders := total_orders",
+        "total_revenue",
+        {"total_revenue": "CAST(sum(CAST(CAST(total_revenue AS VARCHAR) AS DECIMAL(38,10))) AS DECIMAL(38,4))", "total_orders": "CAST(sum(total_orders) AS BIGINT)"},
+    ),
+    "vendor_return_rate": (
+        "kpi_vendor",
+        "vendor_id",
+        "vendor_id := vendor_id, avg_return_rate := CAST(avg_return_rate AS DECIMAL(20,6)), total_returns := total_returns, total_orders := total_orders",
+        "CAST(avg_return_rate AS DECIMAL(20,6))",
+        {"total_returns": "CAST(sum(total_returns) AS BIGINT)", "total_orders": "CAST(sum(total_orders) AS BIGINT)"},
+    ),
+    "slow_moving_inventory": (
+        "kpi_slow_moving",
+        "region",
+        "region := region, slow_product_count := slow_product_count, total_quantity_sold := total_quantity_sold",
+        "slow_product_count",
+        {"slow_product_count": "CAST(sum(slow_product_count) AS BIGINT)", "total_quantity_sold": "CAST(sum(total_quantity_sold) AS BIGINT)"},
+    ),
+}
+_LEADS = {"revenue_performance": "total_revenue", "vendor_return_rate": "avg_return_rate", "slow_moving_inventory": "slow_product_count"}
+
+
+def _kpi_sql(itype: str, pages: bool) -> str:
+    """The insights: figures of whole views, or of their pages of about 20 entries."""
+    view, key, fields, lead, totals = _KPIS[itype]
+    page = f"coalesce(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8))::BIGINT % (SELECT greatest(1, (count(*) + 19) // 20) FROM {view}), 0)"
+    sums = ", ".join(f"{sql} AS {name}" for name, sql in totals.items())
+    text = " || ', ' || ".join(f"'{name} ' || coalesce(CAST({name} AS VARCHAR), 'unknown')" for name in totals)
+    summary = (
+        f"'{itype}: ' || n_entries || ' entries, ' || {text} || '; highest ' || coalesce(CAST(highest[1].{key} AS VARCHAR), 'none') || "
+        f"', lowest ' || coalesce(CAST(lowest[1].{key} AS VARCHAR), 'none') || ' by {_LEADS[itype]}.'"
+    )
+    figures = f"to_json(struct_pack(n_entries := n_entries, {', '.join(f'{n} := {n}' for n in totals)}, highest := highest, lowest := lowest))"
+    node, data = ("CAST(node AS INTEGER) AS node, ", "to_json(entries)") if pages else ("", figures)
     return f"""
-        SELECT '{itype}' AS insight_type, page, n_pages,
-               printf({_sql_text(SUMMARY_TEMPLATE)}, '{itype}', page + 1, n_pages, n_entries) AS summary,
-               kpi_data
+        SELECT '{itype}' AS insight_type, {node}n_entries, {summary} AS summary, {data} AS kpi_data
         FROM (
-          SELECT page, n_pages, CAST(count(*) AS INTEGER) AS n_entries,
-                 to_json(list(struct_pack({fields}) ORDER BY {key})) AS kpi_data
-          FROM (SELECT v.*, CAST(n.n_pages AS INTEGER) AS n_pages,
-                       CAST(coalesce((('0x' || substr(md5(CAST(v.{key} AS VARCHAR)), 1, 8))::BIGINT) % n.n_pages, 0) AS INTEGER) AS page
-                FROM {view} v, (SELECT greatest(1, CAST(ceil(count(*) / {PAGE_SIZE}) AS BIGINT)) AS n_pages FROM {view}) n) p
-          GROUP BY page, n_pages) g"""
+          SELECT node, count(*) AS n_entries, {sums}, list(e ORDER BY {key}) AS entries,
+            list(e ORDER BY {lead} DESC NULLS LAST, {key})[1:3] AS highest, list(e ORDER BY {lead} NULLS LAST, {key})[1:3] AS lowest
+          FROM (SELECT *, struct_pack({fields}) AS e, {page if pages else 0} AS node FROM {view}) p
+          GROUP BY node) g"""
 
 
 def _hashed_vec_sql(table: str, id_cols: str, text: str, dim: int) -> str:
@@ -578,17 +610,6 @@ def _late_bodies() -> dict[str, str]:
         f"printf({_sql_text(FRAUD_PROMPT)}, customer_id, total_returns, CAST(CAST(total_return_value AS DECIMAL(38,4)) AS VARCHAR), "
         f"CAST(CAST(round(return_to_order_ratio, 2) AS DECIMAL(10,2)) AS VARCHAR), anomaly_score, violated_rules)"
     )
-    kpis = " UNION ALL ".join(
-        [
-            _kpi_sql("revenue_performance", "kpi_revenue", "region",
-                     "region := region, total_revenue := CAST(total_revenue AS DECIMAL(38,4)), total_orders := total_orders"),
-            _kpi_sql("vendor_return_rate", "kpi_vendor", "vendor_id",
-                     "vendor_id := vendor_id, avg_return_rate := CAST(avg_return_rate AS DECIMAL(20,6)), "
-                     "total_returns := total_returns, total_orders := total_orders"),
-            _kpi_sql("slow_moving_inventory", "kpi_slow_moving", "region",
-                     "region := region, slow_product_count := slow_product_count, total_quantity_sold := total_quantity_sold"),
-        ]
-    )
     return {
         "return_profile": "SELECT * FROM return_profile",
         "sales_profile": "SELECT * FROM sales_profile",
@@ -600,7 +621,8 @@ def _late_bodies() -> dict[str, str]:
         "kpi_revenue": "SELECT * FROM kpi_revenue",
         "kpi_vendor": "SELECT * FROM kpi_vendor",
         "kpi_slow_moving": "SELECT * FROM kpi_slow_moving",
-        "ai_insights_kpi": kpis,
+        "ai_insights_kpi": " UNION ALL ".join(_kpi_sql(t, False) for t in _KPIS),
+        "ai_insight_pages": " UNION ALL ".join(_kpi_sql(t, True) for t in _KPIS),
         "product_documents": "SELECT * FROM product_documents",
         "vendor_documents": "SELECT * FROM vendor_documents",
         "rag_documents": "SELECT * FROM rag_documents",
@@ -608,6 +630,13 @@ def _late_bodies() -> dict[str, str]:
         "rag_context": "SELECT * FROM rag_context",
         "rag_answer": "SELECT * FROM rag_answer",
         "vector_topk": "SELECT * FROM vector_topk",
+        "vector_topk_all": """
+            SELECT query_id, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM (
+              SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank
+              FROM (SELECT q.vec_id AS query_id, d.vec_id,
+                      round(list_sum(list_transform(list_zip(q.v, d.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), 6) AS distance
+                    FROM emb q, emb d) x) y
+            WHERE rank <= 5""",
         "dq_prompts": f"SELECT field_name, issue_type, failed_count, entity_name, prompt FROM {fx}",
         "parse_reply": f"SELECT entity_name, field_name, issue_type, reply, business_impact FROM {fx}",
         "dq_audit_report": f"SELECT entity_name, issue_type, field_name, failed_count, business_impact FROM {fx}",
@@ -616,4 +645,6 @@ def _late_bodies() -> dict[str, str]:
 
 def oracle_sql() -> dict[str, str]:
     BODIES.update(_late_bodies())
-    return {k: with_ctes(v) for k, v in BODIES.items()}
+    from . import incremental
+
+    return {k: with_ctes(v) for k, v in BODIES.items()} | incremental.oracle_sql(_CTES)

@@ -1,9 +1,9 @@
 """Publishing the consumer outputs as catalog tables.
 
-All writes are single statements over whole DataFrames: overwrite replaces a
-table atomically, the insights table is created from DDL once and refreshed
-with one ``INSERT OVERWRITE`` of the union (never delete-then-insert), and
-the query log is appended.
+A published table is a catalog view over the newest folder of a versioned table: new
+rows are written and counted beside the old ones, then the view is pointed at them in one
+catalog call. A write that fails leaves the old rows readable. The query log is a
+table that is appended to.
 """
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.observation import Observation
 
 from ..operators.generate import TextModel, generate_text
-from ..sources.tables import append_table, create_table_if_absent, overwrite_table
+from ..sources.tables import append_table, set_view_comment
+from ..sources.versions import publish
+from .retrieval import query_log
 
 # Published table schemas.
-INSIGHTS_DDL = "insight_type STRING, page INT, n_pages INT, summary STRING, kpi_data STRING, generated_at TIMESTAMP"
+INSIGHTS_DDL = "insight_type STRING, n_entries LONG, summary STRING, kpi_data STRING, generated_at TIMESTAMP"
 
 
 def use_namespace(spark: SparkSession, database: str) -> None:
@@ -33,28 +34,38 @@ def register_views(views: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def location(spark: SparkSession, table: str) -> str:
+    """Where a published table's versions lie: in the warehouse, by database and name."""
+    name = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/published/{name.replace('.', '/')}"
+
+
 def publish_overwrite(df: DataFrame, table: str, comment: str | None = None) -> int:
-    """Overwrite a table and return its row count, observed during the write
-    itself instead of a second scan (K6, K12, K13)."""
-    obs = Observation(f"rows_{table.replace('.', '_')}")
-    overwrite_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), table, comment=comment)
-    return int(obs.get["rows"])
+    """Replace a table and return its row count, observed during the write
+    and checked against what can be read (K6, K12, K13)."""
+    spark = df.sparkSession
+    n = publish(spark, df, table, location(spark, table))
+    if comment:
+        set_view_comment(spark, table, comment)
+    return n
 
 
 def publish_insights(spark: SparkSession, insights_df: DataFrame, table: str) -> None:
-    """Create the insights table if absent, then replace its content with one
-    INSERT OVERWRITE (K8, K9, K10)."""
-    create_table_if_absent(spark, table, INSIGHTS_DDL)
+    """The insights table: created empty if absent, then its rows replaced."""
+    if not spark.catalog.tableExists(table):
+        publish_overwrite(spark.createDataFrame([], INSIGHTS_DDL), table)
     cols = [c.split()[0] for c in INSIGHTS_DDL.split(", ")]
-    insights_df.select(*cols).write.insertInto(table, overwrite=True)
+    publish_overwrite(insights_df.select(*cols), table)
+
+
+def empty_table(spark: SparkSession, table: str) -> None:
+    """Remove all rows (K9); readers of the version before keep theirs."""
+    publish_overwrite(spark.table(table).where(F.lit(False)), table)
 
 
 def log_answers(answers: DataFrame, table: str) -> None:
     """Append one row per answered question to the query history."""
-    append_table(
-        answers.select("question", "answer", "retrieved_docs", F.current_timestamp().alias("timestamp")),
-        table,
-    )
+    append_table(query_log(answers), table)
 
 
 def ask_once(spark: SparkSession, prompt: str, model: TextModel | None = None, default: Column | None = None) -> DataFrame:

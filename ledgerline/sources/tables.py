@@ -44,7 +44,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def overwrite_table(df: DataFrame, name: str, partition_by: list[str] | None = None, comment: str | None = None) -> None:
-    """Materialized table: full recompute, replace (K5/K6)."""
+    """Materialized table: full recompute, dropped and written again (K5/K6). Not atomic: use
+    ``versions`` where readers must keep the old rows until the new ones are there."""
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -67,3 +68,8 @@ def set_comment(spark: SparkSession, name: str, comment: str) -> None:
     """Table comment metadata."""
     text = comment.replace("'", "\\'")
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{text}')")
+
+
+def set_view_comment(spark: SparkSession, name: str, comment: str) -> None:
+    text = comment.replace("'", "\\'")
+    spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ('comment' = '{text}')")

@@ -14,7 +14,8 @@ checkpoint. Each micro-batch then reads its new files:
   pretty-printed objects as whole documents (``multiLine``). Bronze keeps
   raw text and Silver does all parsing.
 
-Every row gets ``source_file`` and ``ingestion_timestamp``. A batch writes
+The columns and the types their values fit are kept in a schema log, one version per
+change (``schema_log``). Every row gets ``source_file`` and ``ingestion_timestamp``. A batch writes
 to ``{bronze}/{entity}/batch_id={n}`` with overwrite, so a batch re-run after
 a failure replaces its own output instead of appending twice.
 """
@@ -24,15 +25,16 @@ from __future__ import annotations
 import csv
 import json
 import re
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, MapType, StringType, StructField, StructType, TimestampType
 
 from ..session import ensure_checkpoint_dir
+from .schema_log import SchemaLog
 
 PATHS_SCHEMA = StructType(
     [
@@ -44,7 +46,6 @@ PATHS_SCHEMA = StructType(
 )
 MAX_FILES_PER_TRIGGER = 1000
 RESCUED = "_rescued_data"
-HEADER_READ_PARALLELISM = 16
 
 
 @dataclass(frozen=True)
@@ -76,28 +77,30 @@ def path_stream(spark: SparkSession, landing: str, spec: IngestSpec, max_files:
     return r.load(f"{landing.rstrip('/')}/{spec.pattern}").select("path")
 
 
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of one file, reading only its head: restricted to the
-    split that starts at byte 0 and limited to one row, Spark's incremental
-    take runs a single task that stops after that line."""
-    rows = (
-        spark.read.text(literal_path(path))
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .select("value")
-        .limit(1)
-        .collect()
-    )
-    return rows[0][0] if rows else None
-
-
-def head_lines(spark: SparkSession, paths: list[str], parallelism: int = HEADER_READ_PARALLELISM) -> dict[str, str | None]:
+def head_lines(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
     """path → first line of each new file (a bounded list per batch): the CSV
-    header, or what tells JSON Lines from a whole JSON document. The small
-    head reads run as concurrent Spark jobs."""
+    header, or what tells JSON Lines from a whole JSON document. One job with a
+    task a file, which stops after the first line; an empty file has none."""
     if not paths:
         return {}
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(paths))) as pool:
-        return dict(zip(paths, pool.map(lambda p: first_line(spark, p), paths)))
+    # a session of its own for three settings: no file is split, none shares a task,
+    # and rows come to the task one by one
+    reader = spark.newSession()
+    whole = str(1 << 50)
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        reader.conf.set(name, whole)
+    reader.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    lines = reader.read.text([literal_path(p) for p in paths]).select(F.col("_metadata.file_path").alias("path"), "value")
+    plain = lambda path: re.sub(r"^file:/+", "/", path)
+    found = {plain(unquote(r["path"])): r["value"] for r in lines.mapInArrow(first, "path string, value string").collect()}
+    return {p: found.get(plain(p)) for p in paths}
 
 
 def is_json_lines(first: str | None) -> bool:
@@ -112,18 +115,16 @@ def is_json_lines(first: str | None) -> bool:
 
 
 def literal_path(path: str) -> str:
-    """The path with glob characters escaped: landed names are names, not patterns.
-    (Spark's schema inference for whole-document JSON matches names as patterns
-    once more; such a file's name must be free of ``[]{}*?``.)"""
+    """The path with glob characters escaped: landed names are names, not patterns."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def header_names(header: str) -> list[str]:
-    """Column names of a CSV header; blank or repeated ones get their position."""
+def header_names(header: str | list[str]) -> list[str]:
+    """Column names of a CSV header or of JSON keys; blank or repeated ones get their position."""
     names: list[str] = []
-    for i, name in enumerate(next(csv.reader([header]), [])):
+    for i, name in enumerate(next(csv.reader([header]), []) if isinstance(header, str) else header):
         name = name.strip("\ufeff")
-        taken = {n.lower() for n in names} | {RESCUED}
+        taken = {n.lower() for n in names} | {RESCUED, "source_file", "ingestion_timestamp"}
         names.append(f"_c{i}" if not name.strip() else f"{name}{i}" if name.lower() in taken else name)
     return names
 
@@ -154,6 +155,25 @@ def _read_csv(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
     return reader.csv([literal_path(p) for p in files])
 
 
+def _read_json_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    return _as_text(with_provenance(spark.read.option("primitivesAsString", True).json([literal_path(p) for p in files])))
+
+
+def _read_json_documents(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Whole documents, an object or an array of objects each, one task a file. Values are kept as
+    their JSON text; the column names are the objects' keys in these files. (Spark's own
+    inference for whole documents takes file names for patterns once more.)"""
+    text = with_provenance(spark.read.text([literal_path(p) for p in files], wholetext=True))
+    listed = F.from_json("value", "array<string>")
+    items = F.when(F.regexp_replace("value", "^[\\s\ufeff]+", "").startswith("["), F.coalesce(listed, F.array("value"))).otherwise(F.array("value"))
+    objects = text.select("source_file", "ingestion_timestamp", F.explode(items).alias("object"))
+    objects = objects.where(F.trim("object") != "").withColumn("fields", F.from_json("object", "map<string,string>"))
+    keys = sorted(r[0] for r in objects.select(F.explode(F.map_keys("fields"))).distinct().collect())  # the header of these files
+    names = header_names(keys)
+    rescued = F.when(F.col("fields").isNull(), F.col("object")).alias(RESCUED)  # not an object
+    return objects.select(*[F.col("fields")[k].alias(n) for k, n in zip(keys, names, strict=True)], rescued, "source_file", "ingestion_timestamp")
+
+
 def read_new_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame | None:
     """Raw rows of the given files, all values as text, plus provenance."""
     if not paths:
@@ -166,10 +186,8 @@ def read_new_files(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame
         for path, first in heads.items():
             if first is not None:
                 modes.setdefault(is_json_lines(first), []).append(path)
-        parts = [
-            _as_text(with_provenance(spark.read.option("multiLine", not lines).option("primitivesAsString", True).json([literal_path(p) for p in files])))
-            for lines, files in modes.items()
-        ]
+        read = {True: _read_json_lines, False: _read_json_documents}
+        parts = [read[lines](spark, files) for lines, files in modes.items()]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}")
@@ -196,6 +214,13 @@ def ingest(
 ):
     """Drain all newly landed files of ``spec`` into Bronze and stop
     (``availableNow``). A rerun with no new files writes nothing."""
+    q = start_ingest(spark, landing, bronze, spec, checkpoint_root, max_files)
+    q.awaitTermination()
+    return q
+
+
+def start_ingest(spark: SparkSession, landing: str, bronze: str, spec: IngestSpec, checkpoint_root: str | None = None, max_files: int = MAX_FILES_PER_TRIGGER):
+    """The same as a running query: entities are ingested side by side."""
     ckpt = f"{(checkpoint_root or ensure_checkpoint_dir(spark)).rstrip('/')}/ingest/{spec.entity}"
     target = f"{bronze.rstrip('/')}/{spec.entity}"
 
@@ -203,9 +228,11 @@ def ingest(
         paths = [r["path"] for r in batch.collect()]  # bounded by maxFilesPerTrigger
         rows = read_new_files(batch.sparkSession, paths, spec.fmt)
         if rows is not None:
-            rows.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            path = f"{target}/batch_id={batch_id}"
+            rows.write.mode("overwrite").parquet(path)
+            SchemaLog(batch.sparkSession, bronze, spec.entity).record(batch.sparkSession.read.schema(rows.schema).parquet(path))
 
-    q = (
+    return (
         path_stream(spark, landing, spec, max_files)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", ckpt)
@@ -213,10 +240,17 @@ def ingest(
         .queryName(f"ingest_{spec.entity}")
         .start()
     )
-    q.awaitTermination()
-    return q
 
 
 def read_bronze(spark: SparkSession, bronze: str, entity: str) -> DataFrame:
-    """Bronze table as a batch frame, evolving columns merged (missing → NULL)."""
-    return spark.read.option("mergeSchema", True).parquet(f"{bronze.rstrip('/')}/{entity}").drop("batch_id")
+    """Bronze table as a batch frame, with the columns of the schema log (missing → NULL);
+    without a log, with those of all the files' footers."""
+    path = f"{bronze.rstrip('/')}/{entity}"
+    log = SchemaLog(spark, bronze, entity)
+    reader = spark.read.schema(log.text_schema()) if log.types else spark.read.option("mergeSchema", True)
+    return reader.parquet(path).drop("batch_id")
+
+
+def read_bronze_typed(spark: SparkSession, bronze: str, entity: str) -> DataFrame:
+    """Bronze with every column cast to the narrowest type its values so far have."""
+    return SchemaLog(spark, bronze, entity).typed(read_bronze(spark, bronze, entity))

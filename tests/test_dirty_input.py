@@ -51,7 +51,7 @@ def test_knn_leaves_out_unusable_vectors_and_repeated_ids(spark):
         "id int, vec array<double>",
     )
     queries = spark.createDataFrame([(1, [1.0, 0.0])] * 9 + [(2, None), (3, [nan, 1.0])], "q int, qv array<double>")
-    found = exact_knn(corpus, queries, 2, corpus_id="id", corpus_vec="vec", query_id="q", query_vec="qv", max_broadcast=4)
+    found = exact_knn(corpus, queries, 2, corpus_id="id", corpus_vec="vec", query_id="q", query_vec="qv", max_broadcast_bytes=4)
     assert [(r["q"], r["id"], r["distance"]) for r in found.orderBy("rank").collect()] == [(1, 2, 0.0), (1, 6, 2.0)]
     assert tuple(unusable_vectors(corpus, "vec").first()) == (8, 5)
 

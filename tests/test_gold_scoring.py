@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from ledgerline.plans import fraud, gold, insights
 from ledgerline.plans.lakehouse import Lakehouse
+from ledgerline.sources.tables import stage
 
 
 def test_gold_invariants(spark):
@@ -78,20 +79,47 @@ def test_recent_window_uses_as_of(spark):
     assert r2.last_30_day_returns == 3
 
 
-def test_kpi_pages_cover_every_entry_once(spark):
-    lh = Lakehouse.from_testbed(spark, SF_SMALL)
-    view = insights.kpi_vendor(lh.agg_vendor_performance)
-    spec = [s for s in insights.kpi_specs() if s.insight_type == "vendor_return_rate"][0]
-    pages = insights.kpi_pages(view, spec, page_size=3).collect()
-    n = view.count()
-    assert len(pages) > 1 and all(p.n_pages == -(-n // 3) for p in pages)
-    ids = [e["vendor_id"] for p in pages for e in json.loads(p.kpi_data)]
-    assert sorted(ids) == sorted(r.vendor_id for r in view.collect())
-    for p in pages:
-        keys = [e["vendor_id"] for e in json.loads(p.kpi_data)]
-        assert keys == sorted(keys)
-    one = insights.kpi_pages(view, spec).collect()  # below page size: the reference's single array
-    assert len(one) == 1 and len(json.loads(one[0].kpi_data)) == n
+def test_insight_tree_has_one_root_at_every_size(spark):
+    """Pages hold every entry once; each level merges the one below; three roots, whatever the page size."""
+    lh = Lakehouse.from_testbed(spark, SF_SMALL, stage=("orders",))
+    views = {
+        "revenue_performance": insights.kpi_revenue(lh.agg_monthly_revenue),
+        "vendor_return_rate": insights.kpi_vendor(lh.agg_vendor_performance),
+        "slow_moving_inventory": insights.kpi_slow_moving(lh.agg_slow_moving_products),
+    }
+    views = {name: stage(v, name) for name, v in views.items()}
+    vendors = sorted(r.vendor_id for r in views["vendor_return_rate"].collect())
+    roots = []
+    for page_size, fanout in ((3, 2), (20, 10)):
+        tree = insights.summary_tree(views, page_size=page_size, fanout=fanout).collect()
+        root = {r.insight_type: r for r in tree if r.root}
+        assert sorted(root) == sorted(insights.INSTRUCTIONS) and len([r for r in tree if r.root]) == 3
+        pages = [r for r in tree if r.level == 0 and r.insight_type == "vendor_return_rate"]
+        assert sorted(e["vendor_id"] for p in pages for e in json.loads(p.kpi_data)) == vendors
+        assert all(r.n_entries == sum(c.n_entries for c in tree if c.insight_type == r.insight_type and c.level == 0) for r in root.values())
+        for r in tree:
+            below = [c for c in tree if (c.insight_type, c.level) == (r.insight_type, r.level - 1) and c.node // fanout == r.node]
+            assert len(below) <= fanout and (r.level == 0 or all(c.summary in json.loads(json.dumps(r.prompt.replace('\\"', '"'))) for c in below))
+        roots.append({t: (r.summary, r.kpi_data) for t, r in root.items()})
+    assert roots[0] == roots[1]  # figures do not depend on the shape of the tree
+
+
+def test_insight_tree_asks_the_model_once_a_node(spark, scratch):
+    lh = Lakehouse.from_testbed(spark, SF_SMALL, stage=("orders",))
+    view = stage(insights.kpi_revenue(lh.agg_monthly_revenue), "revenue")
+    log = f"{scratch}/calls"
+
+    def model(prompts):
+        with open(log, "a") as f:
+            f.write("x" * len(prompts))
+        return prompts.str.len().astype(str)
+
+    empty = {name: spark.createDataFrame([], v.schema) for name, v in (("vendor_return_rate", insights.kpi_vendor(lh.agg_vendor_performance)), ("slow_moving_inventory", insights.kpi_slow_moving(lh.agg_slow_moving_products)))}
+    tree = insights.summary_tree({"revenue_performance": view, **empty}, model=model, page_size=1, fanout=2)
+    rows = tree.collect()
+    assert tree.count() == len(rows) == len(open(log).read())
+    out = insights.insights(tree).collect()
+    assert [r.insight_type for r in out] == ["revenue_performance"] and out[0].summary.isdigit()
 
 
 def test_score_invariants_on_testbed(spark):

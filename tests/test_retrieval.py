@@ -34,7 +34,7 @@ def test_knn_blocks_and_small_corpus(spark):
     emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     queries = emb.filter(F.col("label") == 3).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q"))
     full = exact_knn(emb, queries, 3, corpus_id="vec_id", corpus_vec="embedding", query_id="qid", query_vec="q")
-    blocked = exact_knn(emb, queries, 3, corpus_id="vec_id", corpus_vec="embedding", query_id="qid", query_vec="q", max_broadcast=7)
+    blocked = exact_knn(emb, queries, 3, corpus_id="vec_id", corpus_vec="embedding", query_id="qid", query_vec="q", max_broadcast_bytes=100)
     assert sorted(map(tuple, full.collect())) == sorted(map(tuple, blocked.collect()))
     tiny = emb.limit(2)
     few = exact_knn(tiny, queries.limit(1), 5, corpus_id="vec_id", corpus_vec="embedding", query_id="qid", query_vec="q")
@@ -80,9 +80,9 @@ def test_rag_end_to_end(spark):
             assert all("slow-moving" in line for line in r.answer.split("\n"))
 
 
-def test_knn_copies_are_bounded_per_batch(spark):
+def test_knn_copies_are_bounded_per_task(spark):
     """A third of the corpus as exact copies at the nearest distance: each
-    batch still emits at most k candidates, ties go to the smallest ids."""
+    task still emits at most k candidates, ties go to the smallest ids."""
     rows = [(i, [0.0, 0.0]) for i in range(300)] + [(1000 + i, [float(i + 1), 0.0]) for i in range(600)]
     corpus = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
     q = spark.createDataFrame([(1, [0.0, 0.0])], "qid int, qv array<double>")
@@ -90,8 +90,10 @@ def test_knn_copies_are_bounded_per_batch(spark):
 
     res = knn.exact_knn(corpus, q, 4, corpus_id="id", corpus_vec="v", query_id="qid", query_vec="qv")
     assert [r.id for r in res.orderBy("rank").collect()] == [0, 1, 2, 3]
-    batch = list(knn._candidates(np.zeros((1, 2)), [1], np.zeros((300, 2)), np.arange(300), 4, 6))
-    assert len(batch) == 4
+    near = knn.Nearest([1], np.zeros((1, 2)), 4, 6)
+    for first in (600, 300, 0):  # kept across batches
+        near.look(np.zeros((300, 2)), first + np.arange(300))
+    assert near.rows() == [(1, i, 0.0) for i in range(4)]
 
 
 def test_documents_print_unknown_for_missing_fields(spark):
@@ -123,3 +125,33 @@ def test_model_hooks_respect_batch_size(spark):
     assert max(sizes) == 7 and sorted(r.o.split(":")[0] for r in out) == sorted(str(i) for i in range(50))
     emb = embed(df, "p", model=lambda s: ([[float(len(s))]] * len(s)) if len(s) <= 7 else None, batch_size=7).collect()
     assert all(r.embedding[0] <= 7 for r in emb) and len(emb) == 50
+
+
+def _random_vectors(spark, n, width, seed, start=0):
+    rng = np.random.RandomState(seed)
+    return [(start + i, rng.randint(-5, 6, width).astype(float).tolist()) for i in range(n)]
+
+
+def test_knn_widths_and_both_ways_agree(spark):
+    """Queries of several widths; a query set sent by shuffle gives the rows of a broadcast one."""
+    rows = _random_vectors(spark, 300, 4, 1) + _random_vectors(spark, 50, 7, 2, 1000) + [(5000, None), (5001, []), (5002, [float("nan")] * 4)]
+    asked = _random_vectors(spark, 90, 4, 3) + _random_vectors(spark, 20, 7, 4, 500) + [(900, [1.0]), (901, None)]
+    corpus, queries = spark.createDataFrame(rows, "id long, v array<double>").repartition(3), spark.createDataFrame(asked, "q long, w array<double>")
+    how = {"corpus_id": "id", "corpus_vec": "v", "query_id": "q", "query_vec": "w"}
+    one, two = (sorted(map(tuple, exact_knn(corpus, queries, 4, max_broadcast_bytes=b, **how).collect())) for b in (1 << 20, 100))
+    want = []
+    for q, w in asked:
+        near = sorted((sum((a - b) ** 2 for a, b in zip(v, w, strict=True)), i) for i, v in rows if v and w and len(v) == len(w) and v[0] == v[0])[:4]
+        want += [(q, i, d, r + 1) for r, (d, i) in enumerate(near)]
+    assert one == two == sorted(want)
+
+
+def test_knn_scans_the_corpus_once_for_many_queries(spark, scratch):
+    spark.createDataFrame(_random_vectors(spark, 200, 3, 5), "id long, v array<double>").write.parquet(f"{scratch}/corpus")
+    corpus = spark.read.parquet(f"{scratch}/corpus")
+    queries = spark.createDataFrame(_random_vectors(spark, 10_000, 3, 6), "q long, w array<double>")
+    for most in (1 << 26, 1000):
+        found = exact_knn(corpus, queries, 2, corpus_id="id", corpus_vec="v", query_id="q", query_vec="w", max_broadcast_bytes=most)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("== Initial Plan")[0].count("FileScan") == 1
+        assert found.count() == 20_000
