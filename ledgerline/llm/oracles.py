@@ -58,4 +58,55 @@ SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_i
   vec_id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10""",
+    "op5_substring_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(text, {_SPACED}), []) AS words FROM documents),
+w AS (SELECT rid, doc_id, p, array_to_string(words[p + 1 : p + 50], ' ') AS win FROM d, unnest(range(len(words) - 49)) u(p)),
+firsts AS (SELECT win, min(doc_id) AS first FROM w GROUP BY win),
+gone AS (SELECT DISTINCT rid, p + i AS word FROM w JOIN firsts USING (win), unnest(range(50)) u(i) WHERE first < doc_id),
+kept AS (
+  SELECT d.rid, string_agg(words[p + 1], ' ' ORDER BY p) AS text, count(*) AS n
+  FROM d, unnest(range(len(words))) u(p) LEFT JOIN gone g ON g.rid = d.rid AND g.word = p WHERE g.rid IS NULL GROUP BY d.rid
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)""",
+    "op7_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all({_low("text")}, {_WORD}), []) AS words FROM documents),
+pos AS (SELECT rid, words[p + 1] AS term, p FROM d, unnest(range(len(words))) u(p)),
+items AS (SELECT item_id, regexp_extract_all({_low("text")}, {_WORD}) AS words FROM benchmark),
+owned AS (SELECT DISTINCT item_id, words[s + 1 : s + 10] AS win FROM items, unnest(range(greatest(1, len(words) - 9))) u(s) WHERE len(words) > 0),
+wins AS (SELECT DISTINCT win, array_to_string(win, ' ') AS phrase, len(win) AS n FROM owned),
+runs AS (
+  SELECT rid, p, n, array_to_string(words[p + 1 : p + n], ' ') AS phrase FROM d, (SELECT DISTINCT n FROM wins) l, unnest(range(len(words) - n + 1)) u(p)
+),
+exact AS (SELECT rid, p, n, win FROM runs JOIN wins USING (phrase, n)),
+hit AS (SELECT rid, count(DISTINCT p + i) AS n_hit FROM exact, unnest(range(n)) u(i) GROUP BY rid),
+named AS (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM exact JOIN owned USING (win) WHERE item_id IS NOT NULL),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM named GROUP BY rid),
+places AS (SELECT win, unnest(range(n)) AS k, unnest(win) AS term FROM wins),
+counts AS (SELECT term, count(*) AS n FROM pos WHERE term IN (SELECT term FROM places) GROUP BY term),
+rarest AS (SELECT win, arg_min(term, coalesce(c.n, 0) * 100 + k) AS rare FROM places LEFT JOIN counts c USING (term) GROUP BY win),
+occ AS (SELECT win, rid, p AS at FROM rarest JOIN pos ON term = rare),
+lists AS (SELECT rid, term, list(p) AS ps FROM pos WHERE term IN (SELECT term FROM places) GROUP BY rid, term),
+near AS (
+  SELECT win, occ.rid, occ."at" FROM occ JOIN (SELECT DISTINCT win, term FROM places) t USING (win)
+  LEFT JOIN lists l ON l.rid = occ.rid AND l.term = t.term
+  GROUP BY win, occ.rid, occ."at" HAVING bool_and(coalesce(len(list_filter(ps, lambda x: abs(x - occ."at") <= 14)) > 0, false))
+),
+close_by AS (SELECT rid, count(DISTINCT item_id) AS n FROM near JOIN owned USING (win) WHERE item_id IS NOT NULL GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated, coalesce(c.n, 0) AS n_near_items
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN found USING (rid) LEFT JOIN close_by c USING (rid)""",
+    "op10_near_duplicates": f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_low("text")}, {_SPACED}), []) AS words FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p + 1 : p + 3], ' ') AS shingle FROM d, unnest(range(greatest(1, len(words) - 2))) u(p) WHERE len(words) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (SELECT a, b FROM edges UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other),
+least AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(other, d.doc_id), d.doc_id) AS component_id, coalesce(least(other, d.doc_id), d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)""",
 }
