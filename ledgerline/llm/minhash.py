@@ -7,14 +7,20 @@
 2. Candidates: documents with one word sequence are one node. Nodes that share a
    band key are joined to the key's smallest node (a star, never all pairs); the
    stars' components are candidate clusters.
-3. A cluster's nodes are compared in blocks of ``block`` nodes: a small cluster is
-   one block, a larger one (a hot group of copies) is dealt out as pairs of
-   blocks, so no task holds more than two blocks. Inside, packed signatures give
-   the collision-corrected similarity by bit counts; pairs well below the
-   threshold are passed over, the others are decided on their full sets, unless
-   already linked. Pairs of sets of up to ``SMALL`` shingles, for which an estimate
-   is coarse, are always decided on their full sets. Links leave as a spanning forest.
-4. Components of the links; every document gets the smallest doc_id of its own.
+3. Inside a candidate cluster the packed signatures, without any text, are compared in
+   blocks of ``sketch_block`` nodes: a small cluster is one block, a larger one (pages
+   of one template, a hot group of copies) is dealt out as pairs of blocks, so no task
+   holds more than two. Bit counts give the collision-corrected similarity; pairs well
+   below the threshold are passed over. Sets of up to ``SMALL`` shingles, for which an
+   estimate is coarse, travel whole and are compared with each other exactly. A
+   spanning forest of the pairs that are left splits the cluster into those nodes whose
+   texts are worth a look; most clusters of merely alike texts fall apart here.
+4. The texts of what is left are dealt in the same way, in blocks of ``block`` nodes, and
+   pairs are decided on their full sets, unless already linked. Links leave as a
+   spanning forest.
+5. Components of the links; every document gets the smallest doc_id of its own. Facts of the
+   few large clusters are broadcast (their number is checked), so no join meets a large
+   cluster's nodes in one task.
 
 Defined cases: text that is NULL or has no word has an empty set and is linked
 with nothing; fewer words than a shingle make one shingle; rows with equal word
@@ -38,6 +44,9 @@ from .components import connected
 
 BITS = 2
 BLOCK = 256
+SKETCH_BLOCK = 2048
+#: large clusters whose facts are broadcast, at most
+BROADCAST_CLUSTERS = 500_000
 #: how far below the threshold an estimate may be and the pair still be checked (six standard errors)
 ERRORS = 6.0
 #: sets of up to so many shingles are compared without the estimate
@@ -154,7 +163,8 @@ class SmallSets:
 
 
 def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id, row (hash of id and text), n_shingles, node (hash of the word sequence, NULL without words), bands."""
+    """doc_id, row (hash of id and text), n_shingles, node (hash of the word sequence, NULL without
+    words), bands, signature (packed) and set (the shingles, if at most SMALL)."""
     small_batches(docs.sparkSession)
     schema = T.StructType(
         [
@@ -163,6 +173,8 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
             T.StructField("n_shingles", T.LongType()),
             T.StructField("node", T.LongType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
+            T.StructField("signature", T.BinaryType()),
+            T.StructField("set", T.ArrayType(T.LongType())),
         ]
     )
 
@@ -173,12 +185,17 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 size = np.fromiter(map(len, sets), np.int64, len(sets))
                 some = np.flatnonzero(size)
                 keys = np.zeros((0, scheme.bands), np.uint64)
+                signature: list[bytes | None] = [None] * len(sets)
                 if len(some):
-                    mins = minima([sets[i] for i in some], scheme).reshape(len(some), scheme.bands, scheme.rows).astype(np.uint64)
+                    mins = minima([sets[i] for i in some], scheme)
+                    for i, s in zip(some.tolist(), packed(mins), strict=True):
+                        signature[i] = s.tobytes()
+                    mins = mins.reshape(len(some), scheme.bands, scheme.rows).astype(np.uint64)
                     keys = np.broadcast_to(np.arange(1, scheme.bands + 1, dtype=np.uint64), mins.shape[:2]).copy()
                     for r in range(scheme.rows):
                         keys = mix(keys ^ mins[:, :, r] * np.uint64(0x9E3779B97F4A7C15))
                 first = np.concatenate(([0], np.cumsum(np.where(size > 0, scheme.bands, 0))))
+                few = [s if len(s) <= SMALL else s[:0] for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
@@ -186,6 +203,8 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
                         pa.array(size),
                         pa.array(whole.view(np.int64), mask=size == 0),
                         pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(keys.reshape(-1).view(np.int64))),
+                        pa.array(signature, pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(s) for s in few]))), pa.int32()), pa.array(np.concatenate([*few, np.zeros(0, np.uint64)]).view(np.int64))),
                     ],
                     names=schema.names,
                 )
@@ -193,6 +212,46 @@ def sketch(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return docs.select("doc_id", row_key("doc_id", "text").alias("row"), "text").mapInArrow(run, schema)
 
 
+def near_later(i: int, signature: np.ndarray, size: np.ndarray, exact: SmallSets, scheme: Scheme) -> np.ndarray:
+    """Which nodes after i may be linked with it: by the estimate, or exactly where both sets are small."""
+    near = similarity(signature[i], signature[i + 1 :], scheme.hashes) >= scheme.estimate_from
+    if exact.small[i]:
+        later = np.flatnonzero(exact.small[i + 1 :])
+        both = exact.shared(i)
+        near[later] = 100 * both >= scheme.percent * (size[i] + size[i + 1 :][later] - both)
+    return near & (100 * np.minimum(size[i], size[i + 1 :]) >= scheme.percent * np.maximum(size[i], size[i + 1 :]))
+
+
+def _candidates(groups, scheme: Scheme):
+    """Spanning forests of the pairs of a group that the signatures do not rule out."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for group in groups:
+        node = group.column("node").to_numpy()
+        at = np.unique(node, return_index=True)[1]
+        if len(at) < 2:
+            continue
+        node, half, size = node[at], group.column("half").to_numpy()[at], group.column("n_shingles").to_numpy()[at]
+        held = group.column("signature").take(pa.array(at)).to_pylist()
+        signature = np.frombuffer(b"".join(held), np.uint64).reshape(len(at), -1)
+        sets = [np.array(s, np.int64).view(np.uint64) for s in group.column("set").take(pa.array(at)).to_pylist()]
+        exact = SmallSets(sets, size)
+        apart = bool((half == 1).any())
+        root = np.arange(len(at))
+        found: list[tuple[int, int]] = []
+        for i in range(len(at) - 1):
+            near = near_later(i, signature, size, exact, scheme)
+            if apart:
+                near &= half[i + 1 :] != half[i]
+            later = np.flatnonzero(near) + i + 1
+            for r in np.unique(root[later]).tolist():
+                if r != root[i]:
+                    found.append((i, int(later[root[later] == r][0])))
+                    root[root == r] = root[i]
+        if found:
+            pairs = np.array(found)
+            yield pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], schema=out)
+
+
 def _links(groups, scheme: Scheme):
     """Spanning forests of the confirmed links inside each group of nodes."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -219,14 +278,9 @@ def _links(groups, scheme: Scheme):
         apart = (half == 1).any()
         exact = SmallSets(sets, size)
         for i in range(len(sets)):
-            near = similarity(signature[i], signature[i + 1 :], scheme.hashes) >= scheme.estimate_from
-            if exact.small[i]:
-                later = np.flatnonzero(exact.small[i + 1 :])
-                both = exact.shared(i)
-                near[later] = 100 * both >= scheme.percent * (size[i] + size[i + 1 :][later] - both)
-            fits = 100 * np.minimum(size[i], size[i + 1 :]) >= scheme.percent * np.maximum(size[i], size[i + 1 :])
+            near = near_later(i, signature, size, exact, scheme)
             other = half[i + 1 :] != half[i] if apart else True
-            for j in (np.flatnonzero(near & fits & other) + i + 1).tolist():
+            for j in (np.flatnonzero(near & other) + i + 1).tolist():
                 if root[i] == root[j]:
                     continue
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -238,7 +292,28 @@ def _links(groups, scheme: Scheme):
             yield pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], schema=out)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
+def _large(clusters: DataFrame, block: int, *facts) -> DataFrame:
+    """(root, n, facts) of the clusters of more than ``block`` nodes: at most nodes / block rows, counted before they are broadcast."""
+    large = staged(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"), *facts).where(F.col("n") > block), "large-clusters")
+    return F.broadcast(large) if large.count() <= BROADCAST_CLUSTERS else large
+
+
+def _dealt(placed: DataFrame, block: int, columns: list[str]) -> DataFrame:
+    """Nodes with their cluster's ``n``, as pairs of blocks (i, j); half tells the two blocks apart."""
+    blocks = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(block)).cast("int")
+    pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    mine = placed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    out = mine.select(*columns, "root", "block", pair).select(
+        *columns,
+        "root",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("half"),
+    )
+    return out.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block: int = BLOCK, sketch_block: int = SKETCH_BLOCK) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, node, component_id (smallest
     doc_id of the component) and kept (doc_id is that one)."""
     scheme = Scheme(shingle, percent)
@@ -251,33 +326,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block:
     shared = staged(shared, "shared-bands")
     stars = keyed.join(shared, "band").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     clusters = staged(connected(stars), "clusters")
-    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    firsts = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
-    placed = clusters.join(sizes, "root").join(firsts, "node").select("row", "node", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"))
+    firsts = staged(nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), *[F.min(c).alias(c) for c in ("n_shingles", "signature", "set")]), "nodes")
+
+    # the signatures alone split the clusters
+    sketched = clusters.join(_large(clusters, sketch_block), "root", "left").join(firsts.drop("doc_id", "row"), "node")
+    dealt = _dealt(sketched, sketch_block, ["node", "n_shingles", "signature", "set"])
+    likely = dealt.mapInArrow(lambda batches: _candidates(sorted_groups(batches, ["root", "i", "j"]), scheme), "a long, b long")
+    clusters = staged(connected(likely), "likely-clusters")
+    placed = clusters.join(_large(clusters, block), "root", "left").join(firsts.select("node", "row"), "node").select("row", "node", "root", "n")
     placed = staged(placed, "cluster-nodes")
 
     # one text meets each node, rows that repeat id and text are one (combined before the
     # shuffle); larger clusters go out as pairs of blocks
     once = docs.select(row_key("doc_id", "text").alias("row"), "text").groupBy("row").agg(F.min("text").alias("text"))
-    texts = once.join(placed.hint("merge"), "row")
-    pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = texts.select("text", "node", "root", "block", pair).select(
-        "text",
-        "node",
-        "root",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("half"),
-    )
-    dealt = dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    links = dealt.mapInArrow(lambda batches: _links(sorted_groups(batches, ["root", "i", "j"]), scheme), "a long, b long")
+    texts = _dealt(once.join(placed.hint("merge"), "row"), block, ["text", "node"])
+    links = texts.mapInArrow(lambda batches: _links(sorted_groups(batches, ["root", "i", "j"]), scheme), "a long, b long")
     labels = staged(connected(links), "components")
 
-    every = staged(firsts.drop("row"), "nodes")
-    named = labels.join(every, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_node = every.join(labels, "node", "left").join(named, "root", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
-    of_node = staged(of_node, "node-components")
-    out = rows.drop("bands", "row").join(of_node, "node", "left")
+    ids = firsts.select("node", "doc_id")
+    named = staged(labels.join(ids, "node"), "component-nodes")
+    least = F.min("doc_id").alias("component_id")
+    large = _large(named, block, least).withColumn("large", F.lit(True))
+    split = named.join(large.drop("n"), "root", "left")
+    known = split.where("large").select("node", "component_id")
+    others = split.where("large IS NULL").select("node", "root")
+    small = named.groupBy("root").agg(F.count(F.lit(1)).alias("n"), least).where(F.col("n") <= block).select("root", "component_id")
+    alone = ids.join(labels, "node", "left_anti").select("node", F.col("doc_id").alias("component_id"))
+    of_node = staged(known.unionByName(others.join(small, "root").select("node", "component_id")).unionByName(alone), "node-components")
+    out = rows.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", "node", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
