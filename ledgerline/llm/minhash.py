@@ -14,7 +14,9 @@
    below the threshold are passed over. Sets of up to ``SMALL`` shingles, for which an
    estimate is coarse, travel whole and are compared with each other exactly. A
    spanning forest of the pairs that are left splits the cluster into those nodes whose
-   texts are worth a look; most clusters of merely alike texts fall apart here.
+   texts are worth a look; most clusters of merely alike texts fall apart here. A cluster
+   that is one block is settled in its task; only the forests of larger ones are joined
+   by ``connected``.
 4. The texts of what is left are dealt in the same way, in blocks of ``block`` nodes, and
    pairs are decided on their full sets, unless already linked. Links leave as a
    spanning forest.
@@ -44,7 +46,7 @@ from .components import connected
 
 BITS = 2
 BLOCK = 256
-SKETCH_BLOCK = 2048
+SKETCH_BLOCK = 4096
 #: large clusters whose facts are broadcast, at most
 BROADCAST_CLUSTERS = 500_000
 #: how far below the threshold an estimate may be and the pair still be checked (six standard errors)
@@ -222,10 +224,28 @@ def near_later(i: int, signature: np.ndarray, size: np.ndarray, exact: SmallSets
     return near & (100 * np.minimum(size[i], size[i + 1 :]) >= scheme.percent * np.maximum(size[i], size[i + 1 :]))
 
 
+FOREST = "a long, b long, whole boolean"
+
+
+def _forest(node: np.ndarray, root: np.ndarray, found: list[tuple[int, int]], whole: bool) -> pa.RecordBatch:
+    """What a group gives: for a whole cluster each linked node (a) with the least of its component (b), else the links found.
+    root: an index of the component for each node."""
+    if whole:
+        _, of, n = np.unique(root, return_inverse=True, return_counts=True)
+        least = np.full(len(n), np.iinfo(np.int64).max)
+        np.minimum.at(least, of, node)
+        linked = n[of] > 1
+        a, b = node[linked], least[of][linked]
+    else:
+        pairs = np.array(found).reshape(-1, 2)
+        a, b = node[pairs[:, 0]], node[pairs[:, 1]]
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.full(len(a), whole))], names=["a", "b", "whole"])
+
+
 def _candidates(groups, scheme: Scheme):
     """Spanning forests of the pairs of a group that the signatures do not rule out."""
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     for group in groups:
+        alone = group.column("blocks")[0].as_py() == 1
         node = group.column("node").to_numpy()
         at = np.unique(node, return_index=True)[1]
         if len(at) < 2:
@@ -248,14 +268,13 @@ def _candidates(groups, scheme: Scheme):
                     found.append((i, int(later[root[later] == r][0])))
                     root[root == r] = root[i]
         if found:
-            pairs = np.array(found)
-            yield pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], schema=out)
+            yield _forest(node, root, found, alone)
 
 
 def _links(groups, scheme: Scheme):
     """Spanning forests of the confirmed links inside each group of nodes."""
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     for group in groups:
+        alone = group.column("blocks")[0].as_py() == 1
         texts = group.column("text").combine_chunks()
         sets: list[np.ndarray] = []
         whole: list[np.ndarray] = []
@@ -288,14 +307,22 @@ def _links(groups, scheme: Scheme):
                     root[root == root[j]] = root[i]
                     found.append((i, j))
         if found:
-            pairs = np.array(found)
-            yield pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], schema=out)
+            yield _forest(node, root, found, alone)
 
 
-def _large(clusters: DataFrame, block: int, *facts) -> DataFrame:
-    """(root, n, facts) of the clusters of more than ``block`` nodes: at most nodes / block rows, counted before they are broadcast."""
+def _large(clusters: DataFrame, block: int, *facts) -> tuple[DataFrame, int]:
+    """(root, n, facts) of the clusters of more than ``block`` nodes, and how many these are: at most
+    nodes / block, counted before they are broadcast."""
     large = staged(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"), *facts).where(F.col("n") > block), "large-clusters")
-    return F.broadcast(large) if large.count() <= BROADCAST_CLUSTERS else large
+    n = large.count()
+    return F.broadcast(large) if n <= BROADCAST_CLUSTERS else large, n
+
+
+def _components(forest: DataFrame, large: int, label: str) -> DataFrame:
+    """(node, root) of the groups' forests; the links of clusters dealt out in several blocks are followed, if there are such clusters."""
+    forest = staged(forest, f"{label}-forest")
+    settled = forest.where("whole").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return settled.unionByName(connected(forest.where("NOT whole").select("a", "b"))) if large else settled
 
 
 def _dealt(placed: DataFrame, block: int, columns: list[str]) -> DataFrame:
@@ -303,9 +330,10 @@ def _dealt(placed: DataFrame, block: int, columns: list[str]) -> DataFrame:
     blocks = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(block)).cast("int")
     pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     mine = placed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    out = mine.select(*columns, "root", "block", pair).select(
+    out = mine.select(*columns, "root", "blocks", "block", pair).select(
         *columns,
         "root",
+        "blocks",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
         (F.col("block") > F.col("other")).cast("int").alias("half"),
@@ -329,24 +357,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block:
     firsts = staged(nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), *[F.min(c).alias(c) for c in ("n_shingles", "signature", "set")]), "nodes")
 
     # the signatures alone split the clusters
-    sketched = clusters.join(_large(clusters, sketch_block), "root", "left").join(firsts.drop("doc_id", "row"), "node")
+    large, n_large = _large(clusters, sketch_block)
+    sketched = clusters.join(large, "root", "left").join(firsts.drop("doc_id", "row"), "node")
     dealt = _dealt(sketched, sketch_block, ["node", "n_shingles", "signature", "set"])
-    likely = dealt.mapInArrow(lambda batches: _candidates(sorted_groups(batches, ["root", "i", "j"]), scheme), "a long, b long")
-    clusters = staged(connected(likely), "likely-clusters")
-    placed = clusters.join(_large(clusters, block), "root", "left").join(firsts.select("node", "row"), "node").select("row", "node", "root", "n")
+    likely = dealt.mapInArrow(lambda batches: _candidates(sorted_groups(batches, ["root", "i", "j"]), scheme), FOREST)
+    clusters = _components(likely, n_large, "likely")
+    large, n_large = _large(clusters, block)
+    placed = clusters.join(large, "root", "left").join(firsts.select("node", "row"), "node").select("row", "node", "root", "n")
     placed = staged(placed, "cluster-nodes")
 
     # one text meets each node, rows that repeat id and text are one (combined before the
     # shuffle); larger clusters go out as pairs of blocks
     once = docs.select(row_key("doc_id", "text").alias("row"), "text").groupBy("row").agg(F.min("text").alias("text"))
     texts = _dealt(once.join(placed.hint("merge"), "row"), block, ["text", "node"])
-    links = texts.mapInArrow(lambda batches: _links(sorted_groups(batches, ["root", "i", "j"]), scheme), "a long, b long")
-    labels = staged(connected(links), "components")
+    links = texts.mapInArrow(lambda batches: _links(sorted_groups(batches, ["root", "i", "j"]), scheme), FOREST)
+    labels = _components(links, n_large, "linked")
 
     ids = firsts.select("node", "doc_id")
     named = staged(labels.join(ids, "node"), "component-nodes")
     least = F.min("doc_id").alias("component_id")
-    large = _large(named, block, least).withColumn("large", F.lit(True))
+    large = _large(named, block, least)[0].withColumn("large", F.lit(True))
     split = named.join(large.drop("n"), "root", "left")
     known = split.where("large").select("node", "component_id")
     others = split.where("large IS NULL").select("node", "root")
