@@ -14,8 +14,9 @@ its text.
 Defined cases: NULL text stays NULL with no lines; a text of fewer than
 ``window`` lines is left as it is; an empty text is one empty line; rows that
 repeat a doc_id with the same text count as one document and stay alike, with
-another text they are judged apart; a NULL doc_id sorts first; extra columns
-pass through; an empty table gives no rows.
+another text they are judged apart; a NULL doc_id sorts first; extra columns of
+any name pass through, but for one named like a result (n_lines, n_removed), which is
+replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, staged
+from .common import staged
 
 WINDOW = 3
 
@@ -43,22 +44,25 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
 
 def line_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with ``text`` reduced to its kept lines, n_lines and n_removed."""
-    fresh(docs, "__row", "__lines", "__at")
+    extra = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_removed")]
+    # they travel as one column, so that their names meet no working name
+    packed = F.struct(*[F.col(f"`{c}`") for c in extra]) if extra else F.lit(0)
+    docs = docs.select("doc_id", "text", packed.alias("__extra"))
     spots = _windows(docs, window)
     spot = F.struct("doc_id", "__row", "at")
     firsts = spots.groupBy("h1", "h2").agg(F.min(spot).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2", "first")
     firsts = staged(firsts, "repeated-windows")
     later = spots.join(firsts, ["h1", "h2"]).where(spot > F.col("first"))
     covered = later.groupBy("doc_id", "__row").agg(F.collect_set("at").alias("__at")).withColumnRenamed("doc_id", "__doc").withColumnRenamed("__row", "__key")
-    rows = docs.drop("n_lines", "n_removed").withColumn("__row", F.xxhash64("text"))
+    rows = docs.withColumn("__row", F.xxhash64("text"))
     joined = rows.join(covered, (F.col("doc_id").eqNullSafe(F.col("__doc"))) & (F.col("__row") == F.col("__key")), "left")
     lines = F.split("text", "\n", -1)
     gone = F.flatten(F.transform("__at", lambda s: F.sequence(s, s + window - 1)))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     changed = F.col("__at").isNotNull()
-    names = [c for c in rows.columns if c not in ("__row", "text")]
     return joined.select(
-        *[joined[c] for c in names],
+        "doc_id",
+        *[F.col("__extra")[c].alias(c) for c in extra],
         F.when(changed, F.array_join(F.transform(kept, lambda i: lines[i]), "\n")).otherwise(F.col("text")).alias("text"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(changed, F.size(lines) - F.size(kept)).otherwise(0).cast("long").alias("n_removed"),
