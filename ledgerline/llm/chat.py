@@ -1,24 +1,28 @@
 """Chat formatting into budgeted windows, with DataFrame functions only.
 
-Turns of a conversation are ordered by (turn, role, text). Prefix sums of their
-tokens lay them on a line that is cut every ``room`` tokens, where room is the
-budget less the system turn and the history allowance: turns that lie inside
-one cell form a window, and a turn that crosses a cut forms a window of its own.
-So windows end at turns, and only a single turn that is longer than the room can
-exceed the budget. Every window begins with the conversation's system turn, then
-repeats the last turns before it, at most ``history_turns`` and ``history_tokens``
-of them. Assistant texts are targets in the one window they belong to; repeated
-turns, system and user texts are masked.
+Turns of a conversation are ordered by (turn, role, text) and laid on a line by prefix
+sums of their tokens. Windows are chosen greedily along it: a window takes turns as long as the
+system turn, the history repeated before its first turn and its own turns fit the
+budget; the next begins at the first turn beyond. The choice is made inside runs of
+``CHUNK`` places, by a fold over at most that many numbers, so a window also ends where
+a run ends and a very long conversation is spread over many tasks. Windows end at turns,
+and only a window of a single turn can exceed the budget.
+
+Every window begins with the conversation's system turn, then repeats the last turns
+before it, at most ``history_turns`` and ``history_tokens`` of them. A system turn that
+would take more than half of what the history allowance leaves is not repeated: it is a turn
+like any other, in the first window. Assistant texts are targets in the one window they
+belong to; repeated turns, system and user texts are masked. Tokens are counted by a
+function of the text, or handed in as a column of counts by a real tokenizer.
 
 Template: ``<turn>role<text>text</turn>`` and a line feed. In roles and texts a
 backslash is written ``\\b`` and ``<`` is written ``\\l``: no control string can
 occur inside them, and ``read_back`` restores them exactly.
 
 Prefix sums are made in two steps, inside runs of ``CHUNK`` turn numbers and over
-the runs' totals, so one very long conversation is spread over many tasks;
-history and system turns are fetched by joins on (conversation, place).
+the runs' totals; history and system turns are fetched by joins on (conversation, place).
 
-Defined cases: NULL text and NULL role are empty; rows without a turn come
+Defined cases: NULL text and NULL role are empty; a NULL token count is 0; rows without a turn come
 first; rows repeating a turn number are all kept; rows with a NULL conv_id form
 one conversation; a system turn counts as such only in first place; a
 conversation of a system turn only is one window; extra columns are ignored; an
@@ -64,8 +68,10 @@ def _meet(a: DataFrame, b: DataFrame, *names: str) -> DataFrame:
 
 def _numbered(turns: DataFrame, tokens) -> DataFrame:
     """conv_id, place (from 0), role, text, tokens, begin (tokens before it)."""
-    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("tokens", tokens(F.col("text")) + TURN_TOKENS).withColumn("chunk", F.floor(F.col("turn") / CHUNK))
+    text = F.coalesce("text", F.lit(""))
+    counted = F.coalesce(F.col(tokens).cast("long"), F.lit(0).cast("long")) if isinstance(tokens, str) else tokens(text)
+    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), (counted + TURN_TOKENS).alias("tokens"))
+    rows = rows.withColumn("chunk", F.floor(F.col("turn") / CHUNK))
     inside = Window.partitionBy("conv_id", "chunk").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("nth", F.count(F.lit(1)).over(inside)).withColumn("upto", F.sum("tokens").over(inside))
     earlier = Window.partitionBy("conv_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,22 +98,44 @@ def windows(
     """One row per window: conv_id, window (increasing within a conversation, not
     gapless), text, n_tokens, turns: array of place, repeated, loss, and where the
     turn's text starts (from 1) and how long it is, in characters of the window.
-    The loss mask is the texts of the turns with loss."""
+    The loss mask is the texts of the turns with loss. ``tokens`` is a function of a text
+    column, or the name of a column of ``turns``."""
     rows = staged(_numbered(turns, tokens), "numbered-turns")
     first = rows.where("place = 0").select("conv_id", (F.col("role") == "system").alias("system"), F.col("tokens").alias("first_tokens"))
     last = rows.groupBy("conv_id").agg(F.max("place").alias("last"))
-    about = _meet(first, last, "conv_id").select(
-        "conv_id",
-        (F.col("system") & (F.col("last") > 0)).alias("system"),
-        F.when(F.col("system") & (F.col("last") > 0), F.col("first_tokens")).otherwise(0).alias("held"),
-    )
+    kept = F.col("system") & (F.col("last") > 0) & (2 * F.col("first_tokens") <= budget - history_tokens)
+    about = _meet(first, last, "conv_id").select("conv_id", kept.alias("system"), F.when(kept, F.col("first_tokens")).otherwise(0).alias("held"))
     rows = _meet(rows, about, "conv_id")
 
-    room = F.greatest(F.lit(1).cast("long"), F.lit(budget - history_tokens).cast("long") - F.col("held"))
-    at = F.col("begin") - F.col("held")
-    cell = F.floor(at / room)
-    crosses = F.floor((at + F.col("tokens") - 1) / room) > cell
-    own = rows.where(~(F.col("system") & (F.col("place") == 0))).withColumn("window", (2 * cell + crosses.cast("long")).cast("long"))
+    own = rows.where(~(F.col("system") & (F.col("place") == 0)))
+    # per run of CHUNK places: each turn's tokens, and the room a window has that begins with it
+    chunks = own.groupBy("conv_id", "system", "held", F.floor(F.col("place") / CHUNK).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("place", "tokens"))).alias("run"))
+
+    def history(i: Column) -> Column:
+        """Tokens repeated before turn i of the run; at a run's beginning, the whole allowance."""
+        total, open_ = F.lit(0).cast("long"), F.lit(True)
+        for back in range(1, history_turns + 1):
+            more = total + F.coalesce(F.get("run", i - back)["tokens"], F.lit(0).cast("long"))
+            open_ = open_ & (more <= history_tokens)
+            total = F.when(open_, more).otherwise(total)
+        known = (i >= history_turns) | (F.col("chunk") == 0)
+        return F.when(known, total).otherwise(F.lit(history_tokens).cast("long"))
+
+    turn = F.transform("run", lambda t, i: F.struct(t["place"].alias("place"), t["tokens"].alias("tokens"), (F.lit(budget).cast("long") - F.col("held") - history(i)).alias("room")))
+    nothing = F.struct(F.array().cast("array<bigint>").alias("starts"), F.lit(0).cast("long").alias("used"), F.lit(-1).cast("long").alias("room"))
+
+    def step(acc: Column, t: Column) -> Column:
+        fits = acc["used"] + t["tokens"] <= acc["room"]
+        return F.struct(
+            F.when(fits, acc["starts"]).otherwise(F.concat(acc["starts"], F.array(t["place"]))).alias("starts"),
+            F.when(fits, acc["used"] + t["tokens"]).otherwise(t["tokens"]).alias("used"),
+            F.when(fits, acc["room"]).otherwise(t["room"]).alias("room"),
+        )
+
+    chosen = chunks.withColumn("turns", turn).select("conv_id", "system", "held", "chunk", F.aggregate("turns", nothing, step)["starts"].alias("starts"))
+    # a window is named by its first place; a turn belongs to the last window of its run that begins at or before it
+    own = _meet(own.withColumn("chunk", F.floor(F.col("place") / CHUNK)), chosen.select("conv_id", "chunk", "starts"), "conv_id", "chunk")
+    own = own.withColumn("window", F.array_max(F.filter("starts", lambda s: s <= F.col("place")))).drop("starts", "chunk")
     spans = own.groupBy("conv_id", "window", "system").agg(F.min("place").alias("from"), F.min("begin").alias("at"))
 
     # repeated turns: up to history_turns before a window's first one, and the system turn
