@@ -20,13 +20,22 @@ from ..session import ensure_checkpoint_dir
 #: Bytes of text handled at once inside a task (arrays are 8 bytes per byte).
 CHUNK_BYTES = 1 << 20
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 ASCII_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
 def small_batches(spark: SparkSession, records: int = 1000) -> None:
-    """Arrow batches small enough for very long texts; a setting of the caller stays."""
-    if "spark.sql.execution.arrow.maxRecordsPerBatch" not in spark.conf.getAll:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    """Arrow batches small enough for very long texts. A setting of the caller stays; one
+    that an operator made is only ever lowered, so it does not matter which ran first."""
+    name, mark = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.ledgerline.arrow.records"
+    now = spark.conf.getAll
+    if name not in now or now[name] == now.get(mark):
+        least = str(min(records, int(now.get(mark, records))))
+        spark.conf.set(name, least)
+        spark.conf.set(mark, least)
+    if BATCH_BYTES not in now:
+        spark.conf.set(BATCH_BYTES, "16m")  # a thousand long texts are too much at once
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -42,3 +42,41 @@ def test_estimate_of_larger_sets_keeps_pairs_at_the_threshold():
         signature = minhash.packed(minhash.minima(sets, scheme))
         lost += sum(minhash.similarity(signature[i], signature[i + 1 : i + 2], scheme.hashes)[0] < scheme.estimate_from for i in range(0, 1000, 2))
     assert lost == 0
+
+
+def test_blocks_of_any_size_give_the_same_components(spark):
+    """Large clusters, dealt out as pairs of blocks of sketches and of texts, against plain pairs."""
+    import random
+    from collections import defaultdict
+
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(400)]
+    docs = []
+    for family in range(3):
+        base = [rng.choice(vocabulary) for _ in range(80)]
+        for _ in range(40):
+            words = list(base)
+            for _ in range(rng.choice([0, 1, 2, 6, 12])):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            docs.append((len(docs), " ".join(words)))
+    docs += [(1000 + i, " ".join(rng.choice(vocabulary) for _ in range(30))) for i in range(40)]
+    sets = {i: {tuple(t.split()[j : j + 3]) for j in range(len(t.split()) - 2)} for i, t in docs}
+    near = defaultdict(set)
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a != b and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                near[a].add(b)
+    want = {}
+    for i in sorted(sets):
+        if i not in want:
+            todo = [i]
+            while todo:
+                j = todo.pop()
+                if j not in want:
+                    want[j] = i
+                    todo += near[j]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    for block, sketch_block in ((256, 4096), (4, 4096), (256, 8), (3, 5)):
+        found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, shingle=3, percent=85, block=block, sketch_block=sketch_block).collect()}
+        assert found == want, (block, sketch_block)
