@@ -19,6 +19,7 @@ from ..operators.knn import exact_knn
 from ..sources.tables import Tables, stage
 from ..sources.testbed import raw_entities
 from . import dq_report, fraud, incremental, insights, retrieval
+from .gold import ORDER_COLUMNS
 from .lakehouse import Lakehouse
 from .silver import ENTITIES, SilverOptions
 
@@ -26,8 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 # Staging rule: a query writes once (under spark.checkpoint.dir) whatever it
-# reads more than once; clean orders feed both facts.
-BOTH_FACTS_STAGE = ("orders",)
+# reads more than once, and of it only the columns it reads; clean orders feed both facts.
+BOTH_FACTS_STAGE = {"orders": ORDER_COLUMNS}
 GOLD_STAGE = {"agg_vendor_performance": BOTH_FACTS_STAGE}
 
 
@@ -270,7 +271,7 @@ def queries() -> dict[str, Query]:
 
 # ---- UC2: return-abuse scoring --------------------------------------------
 # fact_returns feeds both the profile and its as-of date; orders feed both facts
-SCORING_STAGE = ("orders", "fact_returns")
+SCORING_STAGE = {**BOTH_FACTS_STAGE, "fact_returns": ["customer_id", "refund_amount", "date"]}
 
 
 def _scored(spark, sf_dir):
@@ -329,7 +330,8 @@ def kpi_slow_moving(spark, sf_dir):
 def _insight_tree(spark, sf_dir):
     # the three views read both facts, and each view is read twice (its count and
     # its pages): facts and the small views are written once
-    views = _kpi_views(spark, sf_dir, stage=("orders", "fact_transactions", "fact_returns"))
+    sold = ["order_id", "vendor_id", "product_id", "region", "date", "sales_amount", "quantity"]
+    views = _kpi_views(spark, sf_dir, stage={**BOTH_FACTS_STAGE, "fact_transactions": sold, "fact_returns": ["vendor_id"]})
     return insights.summary_tree({name: stage(v, name) for name, v in views.items()})
 
 
@@ -377,7 +379,7 @@ def vendor_documents(spark, sf_dir):
 
 
 # documents read fact_transactions twice (slow movers, vendor rates)
-RAG_STAGE = ("orders", "fact_transactions")
+RAG_STAGE = {**BOTH_FACTS_STAGE, "fact_transactions": ["order_id", "vendor_id", "product_id", "region", "quantity"]}
 
 
 def rag_documents(spark, sf_dir):

@@ -21,18 +21,18 @@ from . import gold, silver
 class Lakehouse:
     """``stage`` names the facts (or clean entities) to write once (parquet
     under the shared checkpoint folder) because the consumer reads them
-    several times with different column sets; everything else stays one lazy
-    plan."""
+    several times with different column sets; given as a mapping, only the named columns
+    of each are written. Everything else stays one lazy plan."""
 
-    def __init__(self, raw: Mapping[str, DataFrame], options: silver.SilverOptions = silver.SilverOptions(), stage: Iterable[str] = ()):
+    def __init__(self, raw: Mapping[str, DataFrame], options: silver.SilverOptions = silver.SilverOptions(), stage: Iterable[str] | Mapping[str, list[str]] = ()):
         self.raw = raw
         self.opts = options
-        self.staged = frozenset(stage)
+        self.staged = dict(stage) if isinstance(stage, Mapping) else dict.fromkeys(stage)
         self._staged_clean: dict[str, DataFrame] = {}
 
     @classmethod
     def from_testbed(
-        cls, spark: SparkSession, sf_dir: str, options: silver.SilverOptions = silver.SilverOptions(), stage: Iterable[str] = ()
+        cls, spark: SparkSession, sf_dir: str, options: silver.SilverOptions = silver.SilverOptions(), stage: Iterable[str] | Mapping[str, list[str]] = ()
     ) -> "Lakehouse":
         return cls(raw_entities(Tables(spark, sf_dir)), options, stage)
 
@@ -67,10 +67,16 @@ class Lakehouse:
     def clean(self, entity: str) -> DataFrame:
         if entity in self.staged:
             if entity not in self._staged_clean:
-                self._staged_clean[entity] = stage(clean(self.base(entity)), f"{entity}_clean")
+                self._staged_clean[entity] = self._written(clean(self.base(entity)), entity)
             return self._staged_clean[entity]
         return clean(self.base(entity))
 
+    def _written(self, df: DataFrame, name: str) -> DataFrame:
+        if name not in self.staged:
+            return df
+        columns = self.staged[name]
+        return stage(df.select(*columns) if columns else df, name)
+
     def quarantine(self, entity: str) -> DataFrame:
         return quarantine(self.base(entity))
 
@@ -94,12 +100,12 @@ class Lakehouse:
     @cached_property
     def fact_transactions(self) -> DataFrame:
         df = gold.fact_transactions(self.clean("orders"), self.clean("transactions"))
-        return stage(df, "fact_transactions") if "fact_transactions" in self.staged else df
+        return self._written(df, "fact_transactions")
 
     @cached_property
     def fact_returns(self) -> DataFrame:
         df = gold.fact_returns(self.clean("returns"), self.clean("orders"))
-        return stage(df, "fact_returns") if "fact_returns" in self.staged else df
+        return self._written(df, "fact_returns")
 
     @cached_property
     def agg_monthly_revenue(self) -> DataFrame:

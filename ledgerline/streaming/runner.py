@@ -284,10 +284,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("landing")
     ap.add_argument("lake_root")
     ap.add_argument("--max-files", type=int, default=1000)
+    ap.add_argument("--buckets", type=int, default=BUCKETS, help="key buckets of Gold tables that are written for the first time")
+    ap.add_argument("--keep-raw", action="store_true", help="keep raw columns beside the canonical ones in Silver")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     apply_runtime_conf(spark)
-    Runner(spark, Layout(args.lake_root)).run(args.landing, max_files=args.max_files)
+    options = silver.SilverOptions(keep_raw=args.keep_raw)
+    Runner(spark, Layout(args.lake_root), options, buckets=args.buckets).run(args.landing, max_files=args.max_files)
 
 
 if __name__ == "__main__":
