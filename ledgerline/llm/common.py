@@ -20,8 +20,6 @@ from ..session import ensure_checkpoint_dir
 #: Bytes of text handled at once inside a task (arrays are 8 bytes per byte).
 CHUNK_BYTES = 1 << 20
 
-BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-
 ASCII_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
@@ -34,8 +32,6 @@ def small_batches(spark: SparkSession, records: int = 1000) -> None:
         least = str(min(records, int(now.get(mark, records))))
         spark.conf.set(name, least)
         spark.conf.set(mark, least)
-    if BATCH_BYTES not in now:
-        spark.conf.set(BATCH_BYTES, "16m")  # a thousand long texts are too much at once
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
