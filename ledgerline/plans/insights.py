@@ -13,6 +13,7 @@ and no group ever holds more than a page or ``FANOUT`` children.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -180,8 +181,9 @@ def summary_tree(views: dict[str, DataFrame], model: TextModel | None = None, pa
     """Every node of the three trees: insight_type, level (0: pages), node, n_entries,
     ``root``, prompt, summary and kpi_data. A view without rows has no node. The views
     are read twice (their count, their pages): hand in written ones."""
-    out = []
-    for spec in kpi_specs():
+
+    def grown(spec: KpiSpec) -> list[DataFrame]:
+        out = []
         view = views[spec.insight_type]
         n = max(1, -(-view.count() // page_size))
         level, nodes = 0, _nodes(kpi_pages(view, spec, n), spec, 0, model)
@@ -192,7 +194,12 @@ def summary_tree(views: dict[str, DataFrame], model: TextModel | None = None, pa
                 break
             n, level = -(-n // fanout), level + 1
             nodes = _nodes(kpi_parents(nodes, spec, fanout), spec, level, model)
-    return reduce(DataFrame.unionByName, out)
+        return out
+
+    specs = kpi_specs()
+    with ThreadPoolExecutor(len(specs)) as pool:  # the trees do not depend on each other
+        trees = list(pool.map(grown, specs))
+    return reduce(DataFrame.unionByName, [level for tree in trees for level in tree])
 
 
 def insights(tree: DataFrame, stamp: bool = True) -> DataFrame:

@@ -15,6 +15,7 @@ from tools.check_oracle import TABLES, digest
 
 # what SQL cannot say is named by the optional subpackage and tested there
 NO_ORACLE: set[str] = set(E.llm.NO_ORACLE) if E.llm else set()
+NO_ORACLE |= {"pipeline"} if E.corpus_pipeline and not E.corpus_pipeline.ORACLE_SQL else set()
 
 
 def test_entry_smoke(spark):
