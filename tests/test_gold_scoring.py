@@ -104,6 +104,19 @@ def test_insight_tree_has_one_root_at_every_size(spark):
     assert roots[0] == roots[1]  # figures do not depend on the shape of the tree
 
 
+def test_insights_hold_every_entry_of_a_view(spark):
+    """The insight of each view, and pages whose lists together are the whole view."""
+    from ledgerline.plans import catalog
+
+    rows = catalog.QUERIES["ai_insights_kpi"](spark, SF_SMALL).collect()
+    assert sorted(r.insight_type for r in rows if r.page is None) == sorted(insights.INSTRUCTIONS)
+    for kind, name, key in (("revenue_performance", "kpi_revenue", "region"), ("vendor_return_rate", "kpi_vendor", "vendor_id"), ("slow_moving_inventory", "kpi_slow_moving", "region")):
+        keys = sorted(r[key] for r in catalog.QUERIES[name](spark, SF_SMALL).collect())
+        pages = [r for r in rows if r.insight_type == kind and r.page is not None]
+        assert sorted(e[key] for p in pages for e in json.loads(p.kpi_data)) == keys
+        assert {p.n_pages for p in pages} == {max(1, -(-len(keys) // 20))} and len({p.page for p in pages}) == len(pages)
+
+
 def test_insight_tree_asks_the_model_once_a_node(spark, scratch):
     lh = Lakehouse.from_testbed(spark, SF_SMALL, stage=("orders",))
     view = stage(insights.kpi_revenue(lh.agg_monthly_revenue), "revenue")
