@@ -156,3 +156,18 @@ def test_catalog_names_have_comments(spark):
     incremental.QUERIES["stream_sql_tables"](spark, SF_SMALL).collect()
     for name in ("bronze_orders", "silver_orders", "quarantine_orders", "dim_customer", "agg_monthly_revenue"):
         assert spark.catalog.getTable(f"ledgerline_lake.{name}").description
+
+
+def test_rows_of_a_drop_are_chosen_before_they_are_multiplied(spark):
+    """No row is copied to be filtered out again, and every arrival is landed once in its drop."""
+    raw = incremental.raw_entities(incremental.Tables(spark, "/root/testdata/sf0.001"))
+    counts = [0, 0]
+    for drop in range(1, incremental.DROPS + 1):
+        rows = incremental.arrivals(raw, drop)
+        assert all("Generate" not in df._jdf.queryExecution().optimizedPlan().toString() for df in rows.values())
+        counts[0] += rows["Region 1/orders"].count()
+        counts[1] += rows["vendors"].count()
+    keys = [int(r[0]) for r in raw["orders"].select("Order ID").collect()]
+    assert counts[0] == sum(2 if k % incremental.REPEATED_ORDER == 0 and k % 3 < 2 else 1 for k in keys)
+    ids = [r[0] for r in raw["vendors"].select("VendorID").collect()]
+    assert counts[1] == sum(2 if i is not None and int(i) % 4 == 0 else 1 for i in ids)

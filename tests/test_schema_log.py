@@ -59,6 +59,23 @@ def test_heads_of_many_files_by_one_job(spark, scratch):
     assert len(jobs) <= 2  # Spark lists many paths by a job of its own, however many they are
 
 
+def test_head_of_a_large_file_is_read_in_pieces(spark, scratch):
+    """A long file is no single task's work, and its later pieces add no line."""
+    put(f"{scratch}/long/a.csv", "id,text\n" + "".join(f"{i},some text\n" for i in range(60_000)))
+    put(f"{scratch}/long/b.csv", "other\n1\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
+    spark.sparkContext.setJobGroup("long", "long")
+    try:
+        found = head_lines(spark, [f"{scratch}/long/a.csv", f"{scratch}/long/b.csv"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("long") for s in tracker.getJobInfo(j).stageIds]
+    assert found == {f"{scratch}/long/a.csv": "id,text", f"{scratch}/long/b.csv": "other"}
+    assert max(tasks) > 8
+
+
 def test_json_documents_with_any_name(spark, scratch):
     path = f"{scratch}/a[b]{{c}}*?%41 d.json"
     put(path, json.dumps([{"id": 1, "Id": "x", "o": {"k": [1, 2]}, "n": 6.40e11}, {"id": None, "new": True}, 7], indent=1))
