@@ -1,6 +1,8 @@
 """Exact kNN against a numpy brute force, retrieval edge cases and answer
 routing (FIXTURES §3)."""
 
+from decimal import ROUND_HALF_UP, Decimal
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -155,3 +157,18 @@ def test_knn_scans_the_corpus_once_for_many_queries(spark, scratch):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert plan.split("== Initial Plan")[0].count("FileScan") == 1
         assert found.count() == 20_000
+
+
+def test_many_queries_are_shared_out_and_equal_brute_force(spark):
+    """A corpus in one partition meets many queries on every core; copies, ties and half-way roundings included."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in np.round(rng.random(4), 1)]) for i in range(400)] + [(400 + i, [0.0005, 0.0, 0.0, 0.0]) for i in range(50)]
+    vecs = spark.createDataFrame(rows, "vec_id long, v array<double>").coalesce(1)
+    hits = exact_knn(vecs, vecs.selectExpr("vec_id AS query_id", "v AS q"), 5, corpus_id="vec_id", corpus_vec="v", query_id="query_id", query_vec="q")
+    assert f"Exchange RoundRobinPartitioning({spark.sparkContext.defaultParallelism})" in hits._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in sorted(hits.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append((r["distance"], r["vec_id"]))
+    for qid, q in rows:
+        exact = sorted((float(Decimal(repr(sum((a - b) ** 2 for a, b in zip(v, q)))).quantize(Decimal("0.000001"), ROUND_HALF_UP)), i) for i, v in rows)
+        assert got[qid] == exact[:5]
