@@ -172,3 +172,23 @@ def test_many_queries_are_shared_out_and_equal_brute_force(spark):
     for qid, q in rows:
         exact = sorted((float(Decimal(repr(sum((a - b) ** 2 for a, b in zip(v, q)))).quantize(Decimal("0.000001"), ROUND_HALF_UP)), i) for i, v in rows)
         assert got[qid] == exact[:5]
+
+
+def test_default_embedding_is_worked_out_by_tokens_alone(spark):
+    """Counts by bucket, also for repeated, empty and missing texts; no pass over all buckets for each token."""
+    import hashlib
+    import re
+
+    texts = ["Slow slow-moving products, products!", "", None, "...", "a b c " * 60, "Vendors: Überfluß 12 99"]
+    df = embed(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "text", "v")
+    assert "lambda j" not in df._jdf.queryExecution().optimizedPlan().toString()
+    for r in df.collect():
+        if r["text"] is None:
+            assert r["v"] is None
+            continue
+        want = [0.0] * 128
+        for t in re.split("[^a-z0-9]+", r["text"].lower()):
+            if t:
+                t = re.sub("s$", "", t) if len(t) > 3 else t
+                want[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 128] += 1.0
+        assert r["v"] == want
