@@ -19,6 +19,8 @@ from ..session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task (arrays are 8 bytes per byte).
 CHUNK_BYTES = 1 << 20
+#: Bytes that a task writes of a staged copy of known size.
+STAGED_BYTES = 4 << 20
 
 ASCII_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
@@ -34,10 +36,14 @@ def small_batches(spark: SparkSession, records: int = 1000) -> None:
         spark.conf.set(mark, least)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, most: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the cluster's checkpoint folder and read it
-    back: lineage is cut there, and the copy outlives any executor."""
+    back: lineage is cut there, and the copy outlives any executor. most: about the bytes
+    it can come to; a small copy is then written by a task for each core, not by one for
+    each shuffle partition. For frames whose last step is light and spread evenly."""
     spark = df.sparkSession
+    if most is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, -(-most // STAGED_BYTES)))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -42,17 +42,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import LOWER, byte_table, gram_hashes, mix, row_key, small_batches, sorted_groups, staged, text_parts, word_hashes, word_spans
-from .components import connected
+from .components import EDGE, connected
 
 BITS = 2
 BLOCK = 256
 SKETCH_BLOCK = 4096
+#: sets of up to so many shingles are compared without the estimate
+SMALL = 64
 #: large clusters whose facts are broadcast, at most
 BROADCAST_CLUSTERS = 500_000
+#: bytes of a staged node without its signature and set
+NODE = 64
 #: how far below the threshold an estimate may be and the pair still be checked (six standard errors)
 ERRORS = 6.0
-#: sets of up to so many shingles are compared without the estimate
-SMALL = 64
 #: chance that a pair just at the threshold shares no band
 MISS = 2e-5
 
@@ -310,10 +312,10 @@ def _links(groups, scheme: Scheme):
             yield _forest(node, root, found, alone)
 
 
-def _large(clusters: DataFrame, block: int, *facts) -> tuple[DataFrame, int]:
-    """(root, n, facts) of the clusters of more than ``block`` nodes, and how many these are: at most
+def _large(clusters: DataFrame, block: int, n_nodes: int, *facts) -> tuple[DataFrame, int]:
+    """(root, n, facts) of the clusters of more than ``block`` of at most ``n_nodes`` nodes, and how many these are: at most
     nodes / block, counted before they are broadcast."""
-    large = staged(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"), *facts).where(F.col("n") > block), "large-clusters")
+    large = staged(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n"), *facts).where(F.col("n") > block), "large-clusters", n_nodes * NODE)
     n = large.count()
     return F.broadcast(large) if n <= BROADCAST_CLUSTERS else large, n
 
@@ -322,7 +324,7 @@ def _components(forest: DataFrame, large: int, label: str) -> DataFrame:
     """(node, root) of the groups' forests; the links of clusters dealt out in several blocks are followed, if there are such clusters."""
     forest = staged(forest, f"{label}-forest")
     settled = forest.where("whole").select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return settled.unionByName(connected(forest.where("NOT whole").select("a", "b"))) if large else settled
+    return settled.unionByName(connected(forest.where("NOT whole").select("a", "b"), most=forest.count())) if large else settled
 
 
 def _dealt(placed: DataFrame, block: int, columns: list[str]) -> DataFrame:
@@ -347,24 +349,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block:
     scheme = Scheme(shingle, percent)
     rows = staged(sketch(docs, scheme), "sketches")
     nodes = rows.where("node IS NOT NULL")
+    n = rows.count()
 
     # candidate clusters: stars around the smallest node of each band key
     keyed = nodes.select("node", F.explode("bands").alias("band"))
     shared = keyed.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("band", "least")
-    shared = staged(shared, "shared-bands")
+    shared = staged(shared, "shared-bands", n * scheme.bands * EDGE // 2)
     stars = keyed.join(shared, "band").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
-    clusters = staged(connected(stars), "clusters")
-    firsts = staged(nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), *[F.min(c).alias(c) for c in ("n_shingles", "signature", "set")]), "nodes")
+    clusters = connected(stars, most=n * scheme.bands)
+    firsts = staged(nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), *[F.min(c).alias(c) for c in ("n_shingles", "signature", "set")]), "nodes", n * (NODE + scheme.hashes * BITS // 8 + SMALL * 8))
 
     # the signatures alone split the clusters
-    large, n_large = _large(clusters, sketch_block)
+    large, n_large = _large(clusters, sketch_block, n)
     sketched = clusters.join(large, "root", "left").join(firsts.drop("doc_id", "row"), "node")
     dealt = _dealt(sketched, sketch_block, ["node", "n_shingles", "signature", "set"])
     likely = dealt.mapInArrow(lambda batches: _candidates(sorted_groups(batches, ["root", "i", "j"]), scheme), FOREST)
     clusters = _components(likely, n_large, "likely")
-    large, n_large = _large(clusters, block)
+    large, n_large = _large(clusters, block, n)
     placed = clusters.join(large, "root", "left").join(firsts.select("node", "row"), "node").select("row", "node", "root", "n")
-    placed = staged(placed, "cluster-nodes")
+    placed = staged(placed, "cluster-nodes", n * NODE)
 
     # one text meets each node, rows that repeat id and text are one (combined before the
     # shuffle); larger clusters go out as pairs of blocks
@@ -374,15 +377,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, block:
     labels = _components(links, n_large, "linked")
 
     ids = firsts.select("node", "doc_id")
-    named = staged(labels.join(ids, "node"), "component-nodes")
+    named = staged(labels.join(ids, "node"), "component-nodes", n * NODE)
     least = F.min("doc_id").alias("component_id")
-    large = _large(named, block, least)[0].withColumn("large", F.lit(True))
+    large = _large(named, block, n, least)[0].withColumn("large", F.lit(True))
     split = named.join(large.drop("n"), "root", "left")
     known = split.where("large").select("node", "component_id")
     others = split.where("large IS NULL").select("node", "root")
     small = named.groupBy("root").agg(F.count(F.lit(1)).alias("n"), least).where(F.col("n") <= block).select("root", "component_id")
     alone = ids.join(labels, "node", "left_anti").select("node", F.col("doc_id").alias("component_id"))
-    of_node = staged(known.unionByName(others.join(small, "root").select("node", "component_id")).unionByName(alone), "node-components")
+    of_node = staged(known.unionByName(others.join(small, "root").select("node", "component_id")).unionByName(alone), "node-components", n * NODE)
     out = rows.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", "node", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
